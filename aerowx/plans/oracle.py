@@ -50,7 +50,8 @@ grid_readings AS (
          CASE (h * 3 + n) % 11 WHEN 0 THEN 'RA' WHEN 1 THEN '-RA FG+' WHEN 2 THEN 'M' WHEN 3 THEN NULL
               WHEN 4 THEN 'FZFG' WHEN 5 THEN 'SN BR' ELSE '' END AS WeatherType,
          CASE (h + n * 2) % 13 WHEN 0 THEN 'T' WHEN 1 THEN ' ' WHEN 2 THEN NULL
-              ELSE '0.0' || cast((h + n) % 7 AS VARCHAR) END AS HourlyPrecip
+              ELSE CASE (h + n) % 4 WHEN 0 THEN '0.25' WHEN 1 THEN '0.5' WHEN 2 THEN '0.75' ELSE '1.5' END
+         END AS HourlyPrecip
   FROM grid),
 ev AS (
   SELECT ts, event_type, value, cast(user_id % 25 AS INTEGER) AS n,
@@ -66,7 +67,7 @@ event_readings AS (
          cast(cast(floor(value) AS BIGINT) % 11 AS VARCHAR) AS Visibility,
          CASE WHEN event_type = 'signup' THEN 'VR' ELSE cast(cast(floor(value * 3) AS BIGINT) % 30 AS VARCHAR) END AS WindSpeed,
          CASE event_type WHEN 'error' THEN 'TS RA' WHEN 'purchase' THEN 'FZRA' ELSE 'M' END AS WeatherType,
-         CASE WHEN event_type = 'view' THEN 'T' ELSE '0.1' END AS HourlyPrecip
+         CASE WHEN event_type = 'view' THEN 'T' ELSE '0.5' END AS HourlyPrecip
   FROM ev WHERE (h * 131 + n * 977) % 509 <> 0),
 weather_raw AS (SELECT * FROM grid_readings UNION ALL SELECT * FROM event_readings),
 fl_clean AS (

@@ -3,6 +3,8 @@ driver's tables, so every query's work grows with the scale factor.
 
 * station map: one airport per ``nation`` row.
 * trips: one per ``orders`` row, origin = the customer's nation.
+* readings: measures are small integers or quarters, so sums (and hence
+  means) are exact in any summation order;
 * readings: an hourly grid per station (with gaps that make some days
   incomplete) plus one extra reading per ``events`` row (extra readings in
   the same hours, at other minutes, with their own sentinels).  Event
@@ -94,7 +96,8 @@ def _grid_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise("").alias("WeatherType"),
         F.when((h + n * 2) % 13 == 0, "T").when((h + n * 2) % 13 == 1, " ")
          .when((h + n * 2) % 13 == 2, F.lit(None))
-         .otherwise(F.concat(F.lit("0.0"), s((h + n) % 7))).alias("HourlyPrecip"),
+         .when((h + n) % 4 == 0, "0.25").when((h + n) % 4 == 1, "0.5")
+         .when((h + n) % 4 == 2, "0.75").otherwise("1.5").alias("HourlyPrecip"),
     )
 
 
@@ -123,7 +126,7 @@ def _event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(s(F.floor(F.col("value") * 3).cast("long") % 30)).alias("WindSpeed"),
         F.when(et == "error", "TS RA").when(et == "purchase", "FZRA")
          .otherwise("M").alias("WeatherType"),
-        F.when(et == "view", "T").otherwise("0.1").alias("HourlyPrecip"),
+        F.when(et == "view", "T").otherwise("0.5").alias("HourlyPrecip"),
     )
 
 
