@@ -7,7 +7,7 @@ sorts a whole key group inside one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerowx.functions.timecols import split_hhmm, weather_ts
@@ -99,8 +99,32 @@ def to_observations(w: DataFrame) -> DataFrame:
              .select(*OBS_FIELDS))
 
 
-def hourly_observations(weather: DataFrame, airports: DataFrame) -> DataFrame:
-    """Raw readings -> one cleaned, imputed observation per airport-hour."""
-    w = dedup_readings(clean_readings(weather, airports))
-    w = impute(w, daily_mean(w))
+def impute_by_day(w: DataFrame) -> DataFrame:
+    """Window form of ``impute(w, daily_mean(w))``: conditional means over
+    ``PARTITION BY (AIRPORT_ID, Date)`` (no join, no second pass); days
+    without a complete-case reading are dropped, as the inner join does."""
+    day = Window.partitionBy(*DAY_KEYS)
+    cc = ((F.col("WindSpeed") != -1) & F.col("DryBulbCelsius").isNotNull()
+          & F.col("WindSpeed").isNotNull() & F.col("HourlyPrecip").isNotNull()
+          & F.col("Visibility").isNotNull())
+    means = {a: F.avg(F.when(cc, F.col(c))).over(day) for c, a in MEAN_COLUMNS.items()}
+    j = (w.withColumns(means).withColumn("_n_cc", F.count(F.when(cc, 1)).over(day))
+          .where(F.col("_n_cc") > 0))
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(a)) for c, a in MEAN_COLUMNS.items()}
+    return j.withColumns(filled).drop("_n_cc", *MEAN_COLUMNS.values())
+
+
+def hourly_observations(weather: DataFrame, airports: DataFrame,
+                        partitions: int | None = None) -> DataFrame:
+    """Raw readings -> one cleaned, imputed observation per airport-hour.
+
+    One shuffle: readings are hash-partitioned by (AIRPORT_ID, Date) once;
+    the minute dedup, the daily means (window) and the first-reading-per-hour
+    aggregate all need a clustering that contains those keys, so no further
+    exchange is planned.  A group is one airport-day of one station's
+    reports — bounded by the reporting rate, whatever the data volume.
+    """
+    w = clean_readings(weather, airports)
+    w = w.repartition(partitions, *DAY_KEYS) if partitions else w.repartition(*DAY_KEYS)
+    w = impute_by_day(dedup_readings(w))
     return to_observations(first_reading_per_hour(w))

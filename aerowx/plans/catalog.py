@@ -98,7 +98,11 @@ class Ctx:
 
     @property
     def w_imp(self):
-        return self._get("w_imp", lambda: W.impute(self.w_dedup, self.w_mean))
+        return self._get("w_imp", lambda: W.impute_by_day(self.w_dedup))
+
+    @property
+    def w_imp_join(self):
+        return self._get("w_imp_join", lambda: W.impute(self.w_dedup, self.w_mean))
 
     @property
     def w_hour(self):
@@ -324,7 +328,7 @@ def _round_measures(df: DataFrame) -> DataFrame:
 
 @_q
 def join_hour_representative(c: Ctx):
-    return _round_measures(c.w_hour.select(
+    return _round_measures(W.first_reading_per_hour(c.w_imp_join).select(
         "AIRPORT_ID", "Date", "Time_hh", "Time_mm", "DryBulbCelsius", "SkyCondition",
         "Visibility", "WindSpeed", "WeatherType", "HourlyPrecip"))
 

@@ -30,8 +30,19 @@ GRID_START = "2024-01-01"
 FIRST_FLIGHT_DATE = "2024-01-02"
 
 
+_TABLE_CACHE: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  The (lazy) DataFrame is memoized per session and
+    path, so repeated queries skip file listing and footer reads; nothing is
+    cached in memory."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLE_CACHE.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLE_CACHE[key] = spark.read.parquet(path)
+    return df
 
 
 def _grid_gap(h, n):
