@@ -78,7 +78,7 @@ def observation_dates(ts, hours: int = 12) -> Column:
 
 
 def week_of_month(ts) -> Column:
-    """Aligned week-of-month field ``F``: ((day - 1) mod 7) + 1."""
+    """Pattern field ``F`` (aligned day-of-week-in-month): ((day - 1) mod 7) + 1."""
     return ((F.dayofmonth(_c(ts)) - 1) % 7 + 1).cast("int")
 
 
