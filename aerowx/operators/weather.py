@@ -33,10 +33,10 @@ def project_weather(weather: DataFrame) -> DataFrame:
     return weather.select(*READING_COLUMNS)
 
 
-def clean_readings(weather: DataFrame, airports: DataFrame) -> DataFrame:
+def clean_readings(weather: DataFrame, airports: DataFrame, small_airports: bool = False) -> DataFrame:
     """Readings per served airport with sentinel-free typed measures and
     the time split into hour / minute."""
-    w = weather_by_airport(project_weather(weather), airports)
+    w = weather_by_airport(project_weather(weather), airports, small_airports)
     hh, mm = split_hhmm("Time")
     return w.select(
         "AIRPORT_ID", "Date", "Time",
@@ -115,7 +115,7 @@ def impute_by_day(w: DataFrame) -> DataFrame:
 
 
 def hourly_observations(weather: DataFrame, airports: DataFrame,
-                        partitions: int | None = None) -> DataFrame:
+                        partitions: int | None = None, small_airports: bool = False) -> DataFrame:
     """Raw readings -> one cleaned, imputed observation per airport-hour.
 
     One shuffle: readings are hash-partitioned by (AIRPORT_ID, Date) once;
@@ -124,7 +124,7 @@ def hourly_observations(weather: DataFrame, airports: DataFrame,
     exchange is planned.  A group is one airport-day of one station's
     reports — bounded by the reporting rate, whatever the data volume.
     """
-    w = clean_readings(weather, airports)
+    w = clean_readings(weather, airports, small_airports)
     w = w.repartition(partitions, *DAY_KEYS) if partitions else w.repartition(*DAY_KEYS)
     w = impute_by_day(dedup_readings(w))
     return to_observations(first_reading_per_hour(w))

@@ -4,7 +4,8 @@ Two equivalent physical forms:
 
 ``attach_window`` (list form)
     equi-join trips to the complete (airport, date) lists, then keep the
-    list items in ``(t - 12h, t]`` with a higher-order ``filter``.  The list
+    list items in ``(t - 12h, t]`` (a positional ``slice`` on complete lists,
+    the interval ``filter`` otherwise).  The list
     side is small (one row per airport-day); AQE broadcasts it when its
     measured size allows, otherwise it is a sort-merge join whose hot
     (airport, date) keys AQE's skew handling splits.
@@ -41,14 +42,27 @@ def in_window(list_col: str, t_col: str, hours: int = HOURS) -> F.Column:
                     lambda x: (x["Weather_TIMESTAMP"] > lo) & (x["Weather_TIMESTAMP"] <= t))
 
 
+def in_complete_window(list_col: str, t_col: str, hours: int = HOURS) -> F.Column:
+    """Same items as ``in_window`` for a *complete* list: one reading per
+    hour from ``D-1 (24-hours):00`` to ``D 23:00`` sorted by time, so the
+    readings in ``(t - hours, t]`` for ``t`` on ``D`` at hour ``H`` are
+    exactly positions ``H + 1 .. H + hours`` (0-based; ``D H:00`` sits at
+    ``hours + H``).  ``slice`` is compiled into the generated code; the
+    lambda ``filter`` is interpreted per element."""
+    return F.slice(F.col(list_col), F.hour(F.col(t_col)) + 2, F.lit(hours))
+
+
 def attach_window(trips: DataFrame, lists: DataFrame, airport_col: str, ts_col: str,
-                  out_col: str, hours: int = HOURS) -> DataFrame:
-    """Inner-join trips to complete lists on (airport, date(ts)) and keep the
-    list items in ``(ts - hours, ts]`` as ``out_col``."""
+                  out_col: str, hours: int = HOURS, complete: bool = True) -> DataFrame:
+    """Inner-join trips to lists on (airport, date(ts)) and keep the list
+    items in ``(ts - hours, ts]`` as ``out_col``.  ``complete`` states that
+    ``lists`` holds only complete days (``observations.complete``), which
+    allows the positional ``slice``; otherwise the interval ``filter`` runs."""
     l = lists.select(F.col("AIRPORT_ID").alias("_la"), F.col("obs_date").alias("_ld"),
                      F.col("Weather_List").alias("_wl"))
     j = trips.join(l, (trips[airport_col] == l["_la"]) & (obs_date(trips[ts_col]) == l["_ld"]), "inner")
-    return j.withColumn(out_col, in_window("_wl", ts_col, hours)).drop("_la", "_ld", "_wl")
+    pick = in_complete_window if complete else in_window
+    return j.withColumn(out_col, pick("_wl", ts_col, hours)).drop("_la", "_ld", "_wl")
 
 
 def attach_windows(trips: DataFrame, lists: DataFrame, hours: int = HOURS) -> DataFrame:

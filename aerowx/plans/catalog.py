@@ -84,9 +84,15 @@ class Ctx:
         return self._get("airports", lambda: S.all_airports(self.fl_st))
 
     # readings
+    @property
+    def small_map(self) -> bool:
+        if "_small" not in self._memo:
+            self._memo["_small"] = S.is_small(self.stations)
+        return self._memo["_small"]
+
     @property
     def w_clean(self):
-        return self._get("w_clean", lambda: W.clean_readings(self.weather_raw, self.airports))
+        return self._get("w_clean", lambda: W.clean_readings(self.weather_raw, self.airports, self.small_map))
 
     @property
     def w_dedup(self):

@@ -10,11 +10,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from aerowx.operators.clean import clean_flights
 from aerowx.operators.observations import complete_lists
 from aerowx.operators.schedule import schedule
-from aerowx.operators.stations import all_airports, attach_stations
+from aerowx.operators.stations import all_airports, attach_stations, is_small
 from aerowx.operators.weather import hourly_observations
 from aerowx.operators.windows import (attach_window, attach_windows,
                                       attach_windows_frame, widen, ORIGIN)
@@ -28,11 +29,18 @@ class Prepared:
 
 
 def prepare(flights_raw: DataFrame, weather_raw: DataFrame, stations: DataFrame,
-            keep: list[str] | None = None) -> Prepared:
-    ft = attach_stations(clean_flights(flights_raw), stations)
+            keep: list[str] | None = None, weather_partitions: int | None = None) -> Prepared:
+    """Trip records, served airports and hourly observations.
+
+    The station map is size-checked once; when it is small it is broadcast
+    to both map joins, and the served-airport set (a subset of it) is
+    broadcast to the readings."""
+    small = is_small(stations)
+    m = F.broadcast(stations) if small else stations
+    ft = attach_stations(clean_flights(flights_raw), stations, small_map=m)
     airports = all_airports(ft)
     trips = schedule(ft, keep=keep)
-    obs = hourly_observations(weather_raw, airports)
+    obs = hourly_observations(weather_raw, airports, weather_partitions, small_airports=small)
     return Prepared(trips, airports, obs)
 
 
