@@ -743,6 +743,31 @@ def forest_shards(c: Ctx):
     return p.select("label", "prediction")
 
 
+def _grid(c: Ctx):
+    tr, _te = MD.split(MD.balance(c.encoded))
+    return MD.grid_search(tr, num_trees=[2, 4], depths=[3, 5], min_instances=[20], folds=2, parallelism=2)
+
+
+@_q
+def grid_search(c: Ctx):
+    """Cross-validated grid (trees x depth x min instances), mean AUC each."""
+    cv = _grid(c)
+    rows = []
+    for pm, metric in zip(cv.getEstimatorParamMaps(), cv.avgMetrics):
+        d = {p.name: v for p, v in pm.items()}
+        rows.append((int(d["numTrees"]), int(d["maxDepth"]), int(d["minInstancesPerNode"]), float(metric)))
+    return c.spark.createDataFrame(rows, "numTrees int, maxDepth int, minInstancesPerNode int, auc double")
+
+
+@_q
+def best_params(c: Ctx):
+    """Grid point with the best mean metric."""
+    b = MD.best_params(_grid(c))
+    return c.spark.createDataFrame([(int(b["numTrees"]), int(b["maxDepth"]), int(b["minInstancesPerNode"]),
+                                     float(b["metric"]))],
+                                   "numTrees int, maxDepth int, minInstancesPerNode int, auc double")
+
+
 @_q
 def ml_table(c: Ctx):
     """The full learning table (scalar view of every field)."""
@@ -833,5 +858,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weather_type_closed": weather_type_closed,
     "weather_features": weather_features,
     "forest_shards": forest_shards,
+    "grid_search": grid_search,
+    "best_params": best_params,
     "ml_table": ml_table,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from aerowx.operators.features import prepare_features
 from aerowx.operators.metrics import auc, prf
+from aerowx.session import cut_lineage
 from aerowx.operators.model import (balance, colocate, encode, fit_encoder,
                                     split, train_forest)
 
@@ -33,7 +34,10 @@ def learn(ml: DataFrame, threshold: float = 45, num_trees: int = 10, *,
         model = fit_encoder(feats, train_only=tr_raw)
     else:
         model = fit_encoder(feats)
-    enc = encode(feats, model).persist()
+    # Reliable checkpoint into the shared spark.checkpoint.dir: sampling and
+    # splitting below must see the same rows in the same partitions even if
+    # an executor is lost and partitions are recomputed.
+    enc = cut_lineage(encode(feats, model))
     n = enc.count()
     bal = balance(enc, seed=seed)
     train, test = split(bal, seed=seed)
@@ -41,5 +45,5 @@ def learn(ml: DataFrame, threshold: float = 45, num_trees: int = 10, *,
     pred = rf.transform(test).persist()
     a = auc(pred, score_col=score_col)
     m = prf(pred).collect()[0]
-    enc.unpersist()
+    pred.unpersist()
     return LearnResult(n, a, m["precision"], m["recall"], m["f1"], pred)

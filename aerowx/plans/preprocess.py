@@ -58,7 +58,11 @@ def with_windows(p: Prepared, method: str = "list", hours: int = 12,
     lists = complete_lists(p.observations, hours)
     trips = p.trips
     if colocate_partitions:
-        lists = lists.repartition(colocate_partitions, "AIRPORT_ID", "obs_date")
+        # hash both sides of the origin join by the same keys into the same
+        # number of partitions: the join then plans no further exchange
+        n = colocate_partitions
+        lists = lists.repartition(n, "AIRPORT_ID", "obs_date")
+        trips = trips.repartition(n, F.col("ORIGIN_AIRPORT_ID"), F.to_date("CRS_DEP_TIMESTAMP"))
     if persist_lists:
         lists = lists.persist()
     return attach_windows(trips, lists, hours)
