@@ -745,7 +745,7 @@ def forest_shards(c: Ctx):
 
 def _grid(c: Ctx):
     tr, _te = MD.split(MD.balance(c.encoded))
-    return MD.grid_search(tr, num_trees=[2, 4], depths=[3, 5], min_instances=[20], folds=2, parallelism=2)
+    return MD.grid_search(tr, num_trees=[2, 4], depths=[3], min_instances=[20], folds=2, parallelism=2)
 
 
 @_q
