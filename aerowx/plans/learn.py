@@ -29,15 +29,17 @@ def learn(ml: DataFrame, threshold: float = 45, num_trees: int = 10, *,
           fit_on_train_only: bool = False, score_col: str = "prediction") -> LearnResult:
     feats = prepare_features(ml, threshold, weather, n_origin, n_dest)
     feats = colocate(feats, partitions, "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID")
+    # Reliable checkpoint of the (narrow) feature frame into the shared
+    # spark.checkpoint.dir: the preprocess plan runs once for the encoder
+    # fits and the encoding, and sampling / splitting see the same rows in
+    # the same partitions even if an executor is lost.
+    feats = cut_lineage(feats)
     if fit_on_train_only:
-        tr_raw, te_raw = split(feats, seed=seed)
+        tr_raw, _ = split(feats, seed=seed)
         model = fit_encoder(feats, train_only=tr_raw)
     else:
         model = fit_encoder(feats)
-    # Reliable checkpoint into the shared spark.checkpoint.dir: sampling and
-    # splitting below must see the same rows in the same partitions even if
-    # an executor is lost and partitions are recomputed.
-    enc = cut_lineage(encode(feats, model))
+    enc = encode(feats, model).persist()
     n = enc.count()
     bal = balance(enc, seed=seed)
     train, test = split(bal, seed=seed)
@@ -46,4 +48,5 @@ def learn(ml: DataFrame, threshold: float = 45, num_trees: int = 10, *,
     a = auc(pred, score_col=score_col)
     m = prf(pred).collect()[0]
     pred.unpersist()
+    enc.unpersist()
     return LearnResult(n, a, m["precision"], m["recall"], m["f1"], pred)

@@ -45,100 +45,81 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def _grid_gap(h, n):
-    """True where the station has no report in that hour."""
-    return (h * 131 + n * 977) % 509 == 0
+GAP = "(h * 131 + n * 977) % 509 = 0"    # station has no report in hour h
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("n_nationkey")
-    return (table(spark, sf_dir, "nation")
-            .select(n.cast("int").alias("AirportID"),
-                    (F.lit(10000) + n).cast("int").alias("WBAN"),
-                    (F.lit(-5) - n % 4).cast("double").alias("TimeZone")))
+    return table(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey AS int) AS AirportID",
+        "cast(10000 + n_nationkey AS int) AS WBAN",
+        "cast(-5 - n_nationkey % 4 AS double) AS TimeZone")
+
+
+FLIGHT_EXPRS = [
+    f"date_add(DATE'{FIRST_FLIGHT_DATE}', cast(o_orderkey % 28 AS int)) AS FL_DATE",
+    "cast(c_nationkey AS int) AS ORIGIN_AIRPORT_ID",
+    "cast((c_nationkey + 1 + o_orderkey % 24) % 25 AS int) AS DEST_AIRPORT_ID",
+    "cast(((o_orderkey * 7) % 24) * 100 + (o_orderkey * 13) % 60 AS int) AS CRS_DEP_TIME",
+    "CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE cast(45 + o_orderkey % 400 AS double) END AS CRS_ELAPSED_TIME",
+    "CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE cast(floor(o_totalprice) % 60 AS double) END AS ARR_DELAY_NEW",
+    "CASE WHEN o_orderkey % 7 = 0 THEN cast(o_orderkey % 30 AS double) END AS WEATHER_DELAY",
+    "CASE WHEN o_orderkey % 11 = 0 THEN cast(o_orderkey % 45 AS double) END AS NAS_DELAY",
+    "cast(CASE WHEN o_orderkey % 41 = 0 THEN 1 ELSE 0 END AS int) AS CANCELLED",
+    "cast(CASE WHEN o_orderkey % 83 = 0 THEN 1 ELSE 0 END AS int) AS DIVERTED",
+]
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    k = F.col("o_orderkey")
     df = o.join(c, o.o_custkey == c.c_custkey, "inner")
-    return df.select(
-        F.date_add(F.lit(FIRST_FLIGHT_DATE).cast("date"), (k % 28).cast("int")).alias("FL_DATE"),
-        F.col("c_nationkey").cast("int").alias("ORIGIN_AIRPORT_ID"),
-        ((F.col("c_nationkey") + 1 + k % 24) % 25).cast("int").alias("DEST_AIRPORT_ID"),
-        (((k * 7) % 24) * 100 + (k * 13) % 60).cast("int").alias("CRS_DEP_TIME"),
-        F.when(k % 97 == 0, F.lit(None)).otherwise((45 + k % 400).cast("double"))
-         .alias("CRS_ELAPSED_TIME"),
-        F.when(k % 53 == 0, F.lit(None))
-         .otherwise((F.floor("o_totalprice").cast("long") % 60).cast("double"))
-         .alias("ARR_DELAY_NEW"),
-        F.when(k % 7 == 0, (k % 30).cast("double")).alias("WEATHER_DELAY"),
-        F.when(k % 11 == 0, (k % 45).cast("double")).alias("NAS_DELAY"),
-        F.when(k % 41 == 0, 1).otherwise(0).cast("int").alias("CANCELLED"),
-        F.when(k % 83 == 0, 1).otherwise(0).cast("int").alias("DIVERTED"),
-    ).select(*[f.name for f in FLIGHTS_RAW.fields])
+    return df.selectExpr(*FLIGHT_EXPRS).select(*[f.name for f in FLIGHTS_RAW.fields])
+
+
+GRID_EXPRS = [
+    "cast(10000 + n AS int) AS WBAN",
+    "cast(20240101 + h div 24 AS int) AS Date",
+    "cast((h % 24) * 100 + (h * 11 + n * 17) % 60 AS int) AS Time",
+    "CASE WHEN (h * 5 + n) % 89 = 0 THEN 'M' ELSE cast((h * 3 + n * 7) % 41 - 10 AS string) END AS DryBulbCelsius",
+    "CASE (h + n) % 5 WHEN 0 THEN 'CLR' WHEN 1 THEN 'FEW010 OVC100' WHEN 2 THEN 'M' WHEN 3 THEN '' "
+    "ELSE 'SCT025 BKN040' END AS SkyCondition",
+    "CASE WHEN (h * 7 + n) % 71 = 0 THEN 'M' ELSE cast((h * 7 + n * 3) % 11 AS string) END AS Visibility",
+    "CASE WHEN (h + n * 3) % 31 = 0 THEN 'VR' ELSE cast((h * 7 + n) % 30 AS string) END AS WindSpeed",
+    "CASE (h * 3 + n) % 11 WHEN 0 THEN 'RA' WHEN 1 THEN '-RA FG+' WHEN 2 THEN 'M' WHEN 3 THEN NULL "
+    "WHEN 4 THEN 'FZFG' WHEN 5 THEN 'SN BR' ELSE '' END AS WeatherType",
+    "CASE (h + n * 2) % 13 WHEN 0 THEN 'T' WHEN 1 THEN ' ' WHEN 2 THEN NULL "
+    "ELSE CASE (h + n) % 4 WHEN 0 THEN '0.25' WHEN 1 THEN '0.5' WHEN 2 THEN '0.75' ELSE '1.5' END "
+    "END AS HourlyPrecip",
+]
 
 
 def _grid_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.col("n_nationkey")
-    h = F.col("h")
-    s = lambda x: x.cast("string")
-    grid = (table(spark, sf_dir, "nation").select("n_nationkey")
-            # generator, not a cross join: each station emits its hours
-            .select(n, F.explode(F.sequence(F.lit(0), F.lit(GRID_HOURS - 1))).alias("h"))
-            .where(~_grid_gap(h, n)))
-    return grid.select(
-        (F.lit(10000) + n).cast("int").alias("WBAN"),
-        (F.lit(20240101) + F.expr("h div 24")).cast("int").alias("Date"),
-        ((h % 24) * 100 + (h * 11 + n * 17) % 60).cast("int").alias("Time"),
-        F.when((h * 5 + n) % 89 == 0, F.lit("M")).otherwise(s((h * 3 + n * 7) % 41 - 10))
-         .alias("DryBulbCelsius"),
-        F.when((h + n) % 5 == 0, "CLR").when((h + n) % 5 == 1, "FEW010 OVC100")
-         .when((h + n) % 5 == 2, "M").when((h + n) % 5 == 3, "")
-         .otherwise("SCT025 BKN040").alias("SkyCondition"),
-        F.when((h * 7 + n) % 71 == 0, F.lit("M")).otherwise(s((h * 7 + n * 3) % 11))
-         .alias("Visibility"),
-        F.when((h + n * 3) % 31 == 0, F.lit("VR")).otherwise(s((h * 7 + n) % 30))
-         .alias("WindSpeed"),
-        F.when((h * 3 + n) % 11 == 0, "RA").when((h * 3 + n) % 11 == 1, "-RA FG+")
-         .when((h * 3 + n) % 11 == 2, "M").when((h * 3 + n) % 11 == 3, F.lit(None))
-         .when((h * 3 + n) % 11 == 4, "FZFG").when((h * 3 + n) % 11 == 5, "SN BR")
-         .otherwise("").alias("WeatherType"),
-        F.when((h + n * 2) % 13 == 0, "T").when((h + n * 2) % 13 == 1, " ")
-         .when((h + n * 2) % 13 == 2, F.lit(None))
-         .when((h + n) % 4 == 0, "0.25").when((h + n) % 4 == 1, "0.5")
-         .when((h + n) % 4 == 2, "0.75").otherwise("1.5").alias("HourlyPrecip"),
-    )
+    # a generator, not a cross join: each station row emits its hours
+    return (table(spark, sf_dir, "nation")
+            .selectExpr("n_nationkey AS n", f"explode(sequence(0, {GRID_HOURS - 1})) AS h")
+            .where(f"NOT ({GAP})").selectExpr(*GRID_EXPRS))
+
+
+EVENT_EXPRS = [
+    "cast(10000 + n AS int) AS WBAN",
+    "cast(year(ts) * 10000 + month(ts) * 100 + day(ts) AS int) AS Date",
+    "cast(hour(ts) * 100 + minute(ts) AS int) AS Time",
+    "CASE WHEN event_type = 'error' THEN 'M' ELSE cast(floor(value) % 41 - 10 AS string) END AS DryBulbCelsius",
+    "CASE event_type WHEN 'view' THEN 'BKN015' WHEN 'click' THEN 'FEW020 SCT035 OVC050' "
+    "WHEN 'signup' THEN 'VV002' WHEN 'purchase' THEN ' CLR' ELSE NULL END AS SkyCondition",
+    "cast(floor(value) % 11 AS string) AS Visibility",
+    "CASE WHEN event_type = 'signup' THEN 'VR' ELSE cast(floor(value * 3) % 30 AS string) END AS WindSpeed",
+    "CASE event_type WHEN 'error' THEN 'TS RA' WHEN 'purchase' THEN 'FZRA' ELSE 'M' END AS WeatherType",
+    "CASE WHEN event_type = 'view' THEN 'T' ELSE '0.5' END AS HourlyPrecip",
+]
 
 
 def _event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
-    ts = F.col("ts")
-    n = (F.col("user_id") % 25).cast("int")
-    h = F.datediff(F.to_date(ts), F.lit(GRID_START).cast("date")) * 24 + F.hour(ts)
-    et = F.col("event_type")
-    v = F.floor("value").cast("long")
-    s = lambda x: x.cast("string")
-    e = (e.where((ts >= F.lit(GRID_START).cast("timestamp_ntz"))
-                 & (ts < F.lit("2024-01-31").cast("timestamp_ntz")))
-          .withColumn("n", n).withColumn("h", h)
-          .where(~_grid_gap(F.col("h"), F.col("n"))))
-    return e.select(
-        (F.lit(10000) + F.col("n")).cast("int").alias("WBAN"),
-        (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int").alias("Date"),
-        (F.hour(ts) * 100 + F.minute(ts)).cast("int").alias("Time"),
-        F.when(et == "error", F.lit("M")).otherwise(s(v % 41 - 10)).alias("DryBulbCelsius"),
-        F.when(et == "view", "BKN015").when(et == "click", "FEW020 SCT035 OVC050")
-         .when(et == "signup", "VV002").when(et == "purchase", " CLR")
-         .otherwise(F.lit(None)).alias("SkyCondition"),
-        s(v % 11).alias("Visibility"),
-        F.when(et == "signup", F.lit("VR"))
-         .otherwise(s(F.floor(F.col("value") * 3).cast("long") % 30)).alias("WindSpeed"),
-        F.when(et == "error", "TS RA").when(et == "purchase", "FZRA")
-         .otherwise("M").alias("WeatherType"),
-        F.when(et == "view", "T").otherwise("0.5").alias("HourlyPrecip"),
-    )
+    return (table(spark, sf_dir, "events")
+            .where(f"ts >= TIMESTAMP_NTZ'{GRID_START} 00:00:00' AND ts < TIMESTAMP_NTZ'2024-01-31 00:00:00'")
+            .selectExpr("ts", "event_type", "value", "cast(user_id % 25 AS int) AS n",
+                        f"datediff(to_date(ts), DATE'{GRID_START}') * 24 + hour(ts) AS h")
+            .where(f"NOT ({GAP})").selectExpr(*EVENT_EXPRS))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
