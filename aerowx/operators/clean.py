@@ -76,11 +76,15 @@ def cast_cols(df: DataFrame, cols: Sequence[str], dtype: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(dtype) for c in cols})
 
 
-def clean_flights(df: DataFrame) -> DataFrame:
-    """Fill delays, require a scheduled duration, keep operated trips, drop
-    the flag / artefact columns and exact duplicates."""
+def operated_trips(df: DataFrame) -> DataFrame:
+    """Fill delays, require a scheduled duration, keep operated trips and
+    drop the flag / artefact columns (row-local, no shuffle)."""
     df = fill_zero(df)
     df = require(df)
     df = operated_only(df)
-    df = drop_columns(df, FLAG_COLUMNS + ARTEFACT_COLUMNS)
-    return dedup(df)
+    return drop_columns(df, FLAG_COLUMNS + ARTEFACT_COLUMNS)
+
+
+def clean_flights(df: DataFrame) -> DataFrame:
+    """``operated_trips`` and then exact-duplicate removal."""
+    return dedup(operated_trips(df))

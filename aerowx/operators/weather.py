@@ -114,6 +114,24 @@ def impute_by_day(w: DataFrame) -> DataFrame:
     return j.withColumns(filled).drop("_n_cc", *MEAN_COLUMNS.values())
 
 
+def hour_readings_by_day(w: DataFrame) -> DataFrame:
+    """Minute dedup, daily-mean imputation and first reading per hour in one
+    pass over data already hash-partitioned by (AIRPORT_ID, Date).
+
+    Three window specs whose orderings nest — (A, D, hh, mm, measures...) ⊇
+    (A, D, hh) ⊇ (A, D) — so Spark sorts each partition once and streams the
+    rest; groups are one airport-day.  Same rows as
+    ``first_reading_per_hour(impute_by_day(dedup_readings(w)))``.
+    """
+    minute = Window.partitionBy(*READING_KEYS).orderBy(
+        *[F.col(c).asc_nulls_first() for c in MEASURES + ["Time"]])
+    hour = Window.partitionBy("AIRPORT_ID", "Date", "Time_hh")
+    w = w.withColumn("_rn", F.row_number().over(minute)).where(F.col("_rn") == 1).drop("_rn")
+    w = impute_by_day(w)
+    return (w.withColumn("_first", F.min("Time_mm").over(hour))
+             .where(F.col("Time_mm") == F.col("_first")).drop("_first"))
+
+
 def hourly_observations(weather: DataFrame, airports: DataFrame,
                         partitions: int | None = None, small_airports: bool = False) -> DataFrame:
     """Raw readings -> one cleaned, imputed observation per airport-hour.
@@ -126,5 +144,4 @@ def hourly_observations(weather: DataFrame, airports: DataFrame,
     """
     w = clean_readings(weather, airports, small_airports)
     w = w.repartition(partitions, *DAY_KEYS) if partitions else w.repartition(*DAY_KEYS)
-    w = impute_by_day(dedup_readings(w))
-    return to_observations(first_reading_per_hour(w))
+    return to_observations(hour_readings_by_day(w))

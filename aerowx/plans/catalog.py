@@ -81,7 +81,9 @@ class Ctx:
 
     @property
     def airports(self):
-        return self._get("airports", lambda: S.all_airports(self.fl_st))
+        return self._get("airports", lambda: S.all_airports(S.attach_stations(
+            C.operated_trips(self.flights_raw).select("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"),
+            self.stations)))
 
     # readings
     @property

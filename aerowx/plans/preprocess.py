@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerowx.operators.clean import clean_flights
+from aerowx.operators.clean import dedup, operated_trips
 from aerowx.operators.observations import complete_lists
 from aerowx.operators.schedule import schedule
 from aerowx.operators.stations import all_airports, attach_stations, is_small
@@ -37,8 +37,13 @@ def prepare(flights_raw: DataFrame, weather_raw: DataFrame, stations: DataFrame,
     broadcast to the readings."""
     small = is_small(stations)
     m = F.broadcast(stations) if small else stations
-    ft = attach_stations(clean_flights(flights_raw), stations, small_map=m)
-    airports = all_airports(ft)
+    operated = operated_trips(flights_raw)
+    ft = attach_stations(dedup(operated), stations, small_map=m)
+    # exact-duplicate removal cannot change the set of (airport, station)
+    # pairs, so the served set is taken before the dedup: a scan plus a
+    # map-side partial distinct, instead of waiting on the full trip shuffle
+    pairs = operated.select("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID")
+    airports = all_airports(attach_stations(pairs, stations, small_map=m))
     trips = schedule(ft, keep=keep)
     obs = hourly_observations(weather_raw, airports, weather_partitions, small_airports=small)
     return Prepared(trips, airports, obs)
