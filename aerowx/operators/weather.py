@@ -1,8 +1,8 @@
 """Station readings: cleaning, daily means, imputation, one reading per hour.
 
-Each step is a hash aggregate or an equi-join on its own keys; map-side
-partial aggregation pre-reduces hot keys before any shuffle, and no step
-sorts a whole key group inside one task.
+The plan (``hourly_observations``) pre-reduces repeated reports with a
+partially aggregated dedup before the single (airport, date) exchange, so
+every later group is bounded by one airport-day of minutes.
 """
 
 from __future__ import annotations
@@ -125,9 +125,14 @@ def hour_readings_by_day(w: DataFrame) -> DataFrame:
     """
     minute = Window.partitionBy(*READING_KEYS).orderBy(
         *[F.col(c).asc_nulls_first() for c in MEASURES + ["Time"]])
-    hour = Window.partitionBy("AIRPORT_ID", "Date", "Time_hh")
     w = w.withColumn("_rn", F.row_number().over(minute)).where(F.col("_rn") == 1).drop("_rn")
-    w = impute_by_day(w)
+    return first_by_hour(impute_by_day(w))
+
+
+def first_by_hour(w: DataFrame) -> DataFrame:
+    """Window form of ``first_reading_per_hour`` for rows with one reading
+    per minute (after the minute dedup)."""
+    hour = Window.partitionBy("AIRPORT_ID", "Date", "Time_hh")
     return (w.withColumn("_first", F.min("Time_mm").over(hour))
              .where(F.col("Time_mm") == F.col("_first")).drop("_first"))
 
@@ -136,12 +141,16 @@ def hourly_observations(weather: DataFrame, airports: DataFrame,
                         partitions: int | None = None, small_airports: bool = False) -> DataFrame:
     """Raw readings -> one cleaned, imputed observation per airport-hour.
 
-    One shuffle: readings are hash-partitioned by (AIRPORT_ID, Date) once;
-    the minute dedup, the daily means (window) and the first-reading-per-hour
-    aggregate all need a clustering that contains those keys, so no further
-    exchange is planned.  A group is one airport-day of one station's
-    reports — bounded by the reporting rate, whatever the data volume.
+    1. minute dedup as an aggregate: map-side partial aggregation collapses
+       repeated reports inside each task before anything is shuffled, so
+       even a station flooding one minute with copies cannot concentrate
+       rows in one task;
+    2. one hash exchange by (AIRPORT_ID, Date): a group is now at most one
+       reading per minute of one airport-day (<= 1440 rows), whatever the
+       data volume;
+    3. daily means (window) and the first reading of each hour (window)
+       reuse that partitioning and one sort — no further exchange.
     """
-    w = clean_readings(weather, airports, small_airports)
+    w = dedup_readings(clean_readings(weather, airports, small_airports))
     w = w.repartition(partitions, *DAY_KEYS) if partitions else w.repartition(*DAY_KEYS)
-    return to_observations(hour_readings_by_day(w))
+    return to_observations(first_by_hour(impute_by_day(w)))

@@ -53,23 +53,38 @@ def in_complete_window(list_col: str, t_col: str, hours: int = HOURS) -> F.Colum
 
 
 def attach_window(trips: DataFrame, lists: DataFrame, airport_col: str, ts_col: str,
-                  out_col: str, hours: int = HOURS, complete: bool = True) -> DataFrame:
+                  out_col: str, hours: int = HOURS, complete: bool = True,
+                  salt: int = 0) -> DataFrame:
     """Inner-join trips to lists on (airport, date(ts)) and keep the list
     items in ``(ts - hours, ts]`` as ``out_col``.  ``complete`` states that
     ``lists`` holds only complete days (``observations.complete``), which
-    allows the positional ``slice``; otherwise the interval ``filter`` runs."""
+    allows the positional ``slice``; otherwise the interval ``filter`` runs.
+
+    ``salt`` > 1 spreads every (airport, date) key of the trips over
+    ``salt`` buckets (a seeded hash of the trip's own columns) and replicates
+    the list side — at most 36 readings per key — once per bucket, so a hot
+    airport-day is joined by ``salt`` tasks.  Without it, AQE's skew-join
+    handling splits oversized partitions at run time.
+    """
     l = lists.select(F.col("AIRPORT_ID").alias("_la"), F.col("obs_date").alias("_ld"),
                      F.col("Weather_List").alias("_wl"))
-    j = trips.join(l, (trips[airport_col] == l["_la"]) & (obs_date(trips[ts_col]) == l["_ld"]), "inner")
+    cond = (trips[airport_col] == l["_la"]) & (obs_date(trips[ts_col]) == l["_ld"])
+    if salt and salt > 1:
+        t = trips.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in trips.columns]), F.lit(salt)))
+        l = l.withColumn("_lsalt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
+        cond = (t[airport_col] == l["_la"]) & (obs_date(t[ts_col]) == l["_ld"]) & (t["_salt"] == l["_lsalt"])
+        j = t.join(l, cond, "inner").drop("_salt", "_lsalt")
+    else:
+        j = trips.join(l, cond, "inner")
     pick = in_complete_window if complete else in_window
     return j.withColumn(out_col, pick("_wl", ts_col, hours)).drop("_la", "_ld", "_wl")
 
 
-def attach_windows(trips: DataFrame, lists: DataFrame, hours: int = HOURS) -> DataFrame:
+def attach_windows(trips: DataFrame, lists: DataFrame, hours: int = HOURS, salt: int = 0) -> DataFrame:
     """Origin window before departure, then destination window before the
     scheduled arrival; trips lacking either complete day drop out."""
-    df = attach_window(trips, lists, *ORIGIN, hours=hours)
-    return attach_window(df, lists, *DEST, hours=hours)
+    df = attach_window(trips, lists, *ORIGIN, hours=hours, salt=salt)
+    return attach_window(df, lists, *DEST, hours=hours, salt=salt)
 
 
 # ---------------------------------------------------------------- frame form

@@ -704,6 +704,12 @@ def repartition_join_keys(c: Ctx):
     return WN.window_summary(df, "WD_List")
 
 
+@_q
+def salted_window_join(c: Ctx):
+    """Both window joins with the (airport, date) keys salted over 8 buckets."""
+    return WN.window_summary(PP.with_windows(c.prepared, salt=8), "WD_List")
+
+
 @_q
 def persist_lists(c: Ctx):
     df = PP.with_windows(c.prepared, persist_lists=True)
@@ -855,6 +861,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "precision_recall_f1": precision_recall_f1,
     "repartition_join_keys": repartition_join_keys,
     "persist_lists": persist_lists,
+    "salted_window_join": salted_window_join,
     "repartition_training": repartition_training,
     "impute_zero": impute_zero,
     "weather_type_closed": weather_type_closed,

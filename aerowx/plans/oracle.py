@@ -435,6 +435,7 @@ BODIES: dict[str, str] = {
     # ---- physical controls
     "repartition_join_keys": _summary("wd_rows"),
     "persist_lists": _summary("wd_rows"),
+    "salted_window_join": _summary("wd_rows"),
     "repartition_training": f"SELECT {LEARN_COLS} FROM learn_base",
     # ---- dormant options
     "impute_zero": """SELECT AIRPORT_ID, "Date", "Time", coalesce(DryBulbCelsius, 0) AS DryBulbCelsius,

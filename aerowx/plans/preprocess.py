@@ -50,7 +50,8 @@ def prepare(flights_raw: DataFrame, weather_raw: DataFrame, stations: DataFrame,
 
 
 def with_windows(p: Prepared, method: str = "list", hours: int = 12,
-                 colocate_partitions: int | None = None, persist_lists: bool = False) -> DataFrame:
+                 colocate_partitions: int | None = None, persist_lists: bool = False,
+                 salt: int = 0) -> DataFrame:
     """Trips with both windows (``WO_List``, ``WD_List``).
 
     ``method`` = ``"list"`` (bucketed equi-join + interval filter) or
@@ -70,7 +71,7 @@ def with_windows(p: Prepared, method: str = "list", hours: int = 12,
         trips = trips.repartition(n, F.col("ORIGIN_AIRPORT_ID"), F.to_date("CRS_DEP_TIMESTAMP"))
     if persist_lists:
         lists = lists.persist()
-    return attach_windows(trips, lists, hours)
+    return attach_windows(trips, lists, hours, salt=salt)
 
 
 def origin_windows(p: Prepared, hours: int = 12) -> DataFrame:

@@ -36,10 +36,14 @@ def test_scans_are_pruned(parts, spark):
         assert "o_orderstatus" not in s and "o_orderpriority" not in s and "props" not in s
 
 
-def test_weather_chain_has_one_exchange(parts):
+def test_weather_chain_pre_reduces_then_shuffles_once_by_day(parts):
+    """Two hash exchanges on the reading side: the minute dedup (with a
+    map-side partial aggregate under it) and the (airport, date) exchange
+    that the daily-mean and first-of-hour windows reuse."""
     f, w, s = parts
     obs = PP.prepare(f, w, s).observations
     plan = _plan(obs)
-    # exchanges of the weather side only: everything above the airport-set join
-    top = plan.split("BroadcastHashJoin")[0]
-    assert top.count("Exchange hashpartitioning") == 1, top
+    top = plan.split("BroadcastHashJoin")[0]     # above the airport-set join
+    assert top.count("Exchange hashpartitioning") == 2, top
+    assert "partial_min" in plan
+    assert re.search(r"Exchange hashpartitioning\(AIRPORT_ID#\d+, Date#\d+, \d+\), REPARTITION", top), top

@@ -95,3 +95,20 @@ def test_hot_airport_skew_is_handled(spark):
     out = WN.attach_windows(trips, O.complete_lists(obs))
     assert out.count() == 3000
     assert out.where(F.size("WO_List") != 12).count() == 0
+    salted = WN.attach_windows(trips, O.complete_lists(obs), salt=8)
+    assert salted.count() == 3000
+    assert salted.exceptAll(out).count() == 0 and out.exceptAll(salted).count() == 0
+
+
+def test_flooded_station_minute_is_pre_reduced(spark):
+    """One reading repeated many times: the partially aggregated dedup
+    collapses it; the observation is the same as with a single copy."""
+    from aerowx.operators import weather as W
+    base = [(10001, 20240105, 1000 + m, "5", "CLR", "10", "3", "", "0.5") for m in range(0, 60, 10)]
+    flood = [(10001, 20240105, 1000, "5", "CLR", "10", "3", "", "0.5")] * 5000
+    schema = "WBAN int, Date int, Time int, DryBulbCelsius string, SkyCondition string, " \
+             "Visibility string, WindSpeed string, WeatherType string, HourlyPrecip string"
+    airports = spark.createDataFrame([(1, 10001)], "AIRPORT_ID int, F_WBAN int")
+    one = W.hourly_observations(spark.createDataFrame(base, schema), airports).collect()
+    many = W.hourly_observations(spark.createDataFrame(base + flood, schema).repartition(8), airports).collect()
+    assert one == many and len(one) == 1
