@@ -71,9 +71,14 @@ class Ctx:
     def fl_clean(self):
         return self._get("fl_clean", lambda: C.clean_flights(self.flights_raw))
 
+    @property
+    def station_map(self):
+        """The map, broadcast-hinted when the size check passed (once)."""
+        return F.broadcast(self.stations) if self.small_map else self.stations
+
     @property
     def fl_st(self):
-        return self._get("fl_st", lambda: S.attach_stations(self.fl_clean, self.stations))
+        return self._get("fl_st", lambda: S.attach_stations(self.fl_clean, self.stations, self.station_map))
 
     @property
     def trips(self):
@@ -83,7 +88,7 @@ class Ctx:
     def airports(self):
         return self._get("airports", lambda: S.all_airports(S.attach_stations(
             C.operated_trips(self.flights_raw).select("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"),
-            self.stations)))
+            self.stations, self.station_map)))
 
     # readings
     @property

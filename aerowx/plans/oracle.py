@@ -310,6 +310,30 @@ GROUP BY l.tid, l.ORIGIN_AIRPORT_ID, l.DEST_AIRPORT_ID, l.Hour_SO, l.Hour_SA, l.
          l.Day_SA, l.Year_SO, l.Year_SA, l.Target"""
 
 
+def weather_features_sql(n_origin: int = 2, n_dest: int = 2) -> str:
+    """Feature frame with the window columns on: measures of each kept hour,
+    its hour of day (year/month/day dropped by granularity 0,0,0) and the
+    weather-type flags."""
+    parts = []
+    for side, n in (("WO", n_origin), ("WD", n_dest)):
+        s = side.lower()
+        for k in range(n, -1, -1):
+            w, pos = f"{side}_{k:02d}H", 12 - k
+            for i, f in enumerate(W_FIELDS):
+                if f in ("AIRPORT_ID", "Weather_TIMESTAMP", "WeatherType"):
+                    continue
+                parts.append(f"max(CASE WHEN {s}.pos = {pos} THEN {s}.{f} END) AS \"{i}_{w}\"")
+            parts.append(f"max(CASE WHEN {s}.pos = {pos} THEN cast(hour({s}.Weather_TIMESTAMP) AS INTEGER) END) AS \"Hour_1_{w}\"")
+            for code in CODES:
+                parts.append(f"max(CASE WHEN {s}.pos = {pos} THEN (CASE WHEN contains({s}.WeatherType, '{code}') "
+                             f"THEN 1 ELSE 0 END) END) AS \"6_{w}_{code}\"")
+    return f"""
+SELECT l.ORIGIN_AIRPORT_ID, l.DEST_AIRPORT_ID, l.Hour_SO, l.Hour_SA, l.Target,
+  {",\n  ".join(parts)}
+FROM learn_base l JOIN wo_rows wo ON l.tid = wo.tid JOIN wd_rows wd ON l.tid = wd.tid AND wo.pos = wd.pos
+GROUP BY l.tid, l.ORIGIN_AIRPORT_ID, l.DEST_AIRPORT_ID, l.Hour_SO, l.Hour_SA, l.Target"""
+
+
 LEARN_COLS = ("ORIGIN_AIRPORT_ID, DEST_AIRPORT_ID, Hour_SO, Hour_SA, Month_SO, Month_SA, "
               "Day_SO, Day_SA, Year_SO, Year_SA, Target")
 
@@ -444,6 +468,7 @@ BODIES: dict[str, str] = {
     "weather_type_closed": """SELECT AIRPORT_ID, "Date", "Time",
         CASE WHEN WeatherType IN ('RA', 'SN', 'FG', 'FG+', 'WIND', 'FZDZ', 'FZRA', 'MIFG', 'FZFG') THEN WeatherType
              ELSE 'OTHER' END AS WeatherType FROM w_clean""",
+    "weather_features": weather_features_sql(),
     "ml_table": wide_sql(("Weather_TIMESTAMP", "DryBulbCelsius", "SkyCondition", "Visibility",
                           "WindSpeed", "WeatherType", "HourlyPrecip")),
 }

@@ -14,7 +14,7 @@ def test_every_query_has_a_callable_and_most_an_oracle():
     assert set(SQL) <= set(qs)
     rows_only = set(qs) - set(SQL)
     assert rows_only <= {"feature_names", "class_balance", "train_test_split", "random_forest",
-                         "predict", "weather_features", "forest_shards", "grid_search",
+                         "predict", "forest_shards", "grid_search",
                          "best_params"}
 
 
