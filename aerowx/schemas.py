@@ -100,11 +100,19 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFra
     missing = [f.name for f in schema.fields if f.name.lower() not in cols]
     if missing and strict:
         raise SchemaMismatch(f"missing columns {missing}; have {df.columns}")
+    types = dict(df.dtypes)
     out = []
     for f in schema.fields:
         src = cols.get(f.name.lower())
         if src is None:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif types[src] == "string" and isinstance(f.dataType, _INTEGRAL):
+            # exports write integral fields as "0.00" / "0930": go through
+            # double (fraction truncated, as the non-ANSI cast did)
+            out.append(F.col(src).try_cast("double").try_cast(f.dataType).alias(f.name))
         else:
             out.append(F.col(src).try_cast(f.dataType).alias(f.name))
     return df.select(*out)
+
+
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

@@ -1,34 +1,50 @@
-"""CSV sources (header row, explicit schemas) and a matching writer."""
+"""CSV sources (header row) and a matching writer.
+
+Files are read with every column as text and then conformed to the schema
+*by header name* (case-insensitive, ``try_cast``): extra columns, a different
+column order and the empty trailing-comma column are all tolerated, and no
+schema-inference pass runs over the data.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerowx.schemas import FLIGHTS_RAW, STATIONS_RAW, WEATHER_RAW
+from aerowx.schemas import FLIGHTS_RAW, STATIONS_RAW, WEATHER_RAW, conform
 
 # keep blanks: the precipitation sentinel is a single space
-_READ_OPTS = {"header": "true", "ignoreLeadingWhiteSpace": "false",
+_READ_OPTS = {"header": "true", "inferSchema": "false", "ignoreLeadingWhiteSpace": "false",
               "ignoreTrailingWhiteSpace": "false", "mode": "PERMISSIVE"}
 _WRITE_OPTS = {"header": "true", "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
 
+# columns a trip file may lack (filled with null, later with 0)
+OPTIONAL_FLIGHT_COLUMNS = ("WEATHER_DELAY", "NAS_DELAY")
+
 
-def read_csv(spark: SparkSession, path: str, schema, **opts) -> DataFrame:
-    return spark.read.options(**(_READ_OPTS | opts)).schema(schema).csv(path)
+def read_csv(spark: SparkSession, path: str, schema, optional=(), **opts) -> DataFrame:
+    """Header CSV -> ``schema`` columns by name; a missing required column
+    raises ``SchemaMismatch``."""
+    raw = spark.read.options(**(_READ_OPTS | opts)).csv(path)
+    have = {c.lower() for c in raw.columns}
+    missing = [f.name for f in schema.fields
+               if f.name.lower() not in have and f.name not in optional]
+    if missing:
+        from aerowx.schemas import SchemaMismatch
+        raise SchemaMismatch(f"{path}: missing columns {missing}")
+    return conform(raw, schema, strict=False)
 
 
 def read_flights(spark: SparkSession, path: str) -> DataFrame:
-    """Trip CSV directory.  Columns are matched by the header names of the
-    schema; a trailing-comma artefact column is tolerated and dropped."""
-    return read_csv(spark, path, FLIGHTS_RAW, enforceSchema="false")
+    return read_csv(spark, path, FLIGHTS_RAW, optional=OPTIONAL_FLIGHT_COLUMNS)
 
 
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, WEATHER_RAW, enforceSchema="false")
+    return read_csv(spark, path, WEATHER_RAW)
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, STATIONS_RAW, enforceSchema="false")
+    return read_csv(spark, path, STATIONS_RAW)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
