@@ -26,11 +26,21 @@ def with_chunks(df: DataFrame, n: int = N_CHUNKS, seed: int = 42) -> DataFrame:
     return df.withColumn("chunk", chunk_id(n, seed))
 
 
-def write_chunks(df: DataFrame, path: str, n: int = N_CHUNKS, seed: int = 42) -> None:
-    """One pass: ``chunk`` column + ``partitionBy("chunk")``.  No shuffle:
-    each task sorts its own rows by chunk and writes at most ``n`` files
-    (hash-repartitioning by chunk would put 1/n of all rows in one task)."""
-    with_chunks(df, n, seed).write.mode("overwrite").partitionBy("chunk").parquet(path)
+def write_chunks(df: DataFrame, path: str, n: int = N_CHUNKS, seed: int = 42,
+                 rebalance: bool = True) -> None:
+    """One job: ``chunk`` column + ``partitionBy("chunk")``.
+
+    ``rebalance`` (default) adds the ``REBALANCE(chunk)`` hint: one shuffle
+    of the output, after which AQE splits each chunk (1/n of all rows) into
+    advisory-sized tasks and coalesces small ones — well-sized files instead
+    of up to ``n`` small files per input task.  With ``rebalance=False``
+    there is no shuffle; each task sorts its own rows by chunk and writes at
+    most ``n`` files.  (A plain ``repartition("chunk")`` would put 1/n of all
+    rows in one task.)"""
+    out = with_chunks(df, n, seed)
+    if rebalance:
+        out = out.hint("rebalance", "chunk")
+    out.write.mode("overwrite").partitionBy("chunk").parquet(path)
 
 
 def read_chunks(spark: SparkSession, path: str, chunks: list[int] | None = None) -> DataFrame:
