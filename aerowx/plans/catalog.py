@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from aerowx.functions.timecols import (arrival_ts, departure_ts, format_date,
                                        split_hhmm, to_seconds, weather_ts)
-from aerowx.functions.weathercols import (precip, sky_condition, to_double,
-                                          weather_type, wind_speed)
+from aerowx.functions.weathercols import sky_condition, to_double
 from aerowx.operators import clean as C
 from aerowx.operators import features as FT
 from aerowx.operators import metrics as M
@@ -202,10 +201,6 @@ def _roundtrip_csv(spark, df, reader, name):
     return reader(spark, path)
 
 
-def _one_row(spark, **vals) -> DataFrame:
-    return spark.createDataFrame([tuple(vals.values())], list(vals.keys()))
-
-
 # --------------------------------------------------------------- sources/sinks
 
 @_q

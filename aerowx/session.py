@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,7 +64,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def is_local_path(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:") or os.path.isabs(p)

@@ -17,7 +17,6 @@ two in step.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from aerowx.schemas import FLIGHTS_RAW, STATIONS_RAW, WEATHER_RAW
 
