@@ -15,6 +15,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # let AQE turn a sort-merge join into a shuffled hash join when every
+    # post-shuffle partition of one side (the observation lists: <= 36
+    # readings per airport-day) is below this size: the big trip side is
+    # then joined without being sorted
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.ui.enabled": "false",
 }
 
