@@ -28,7 +28,7 @@ from aerowx.operators import windows as WN
 from aerowx.operators.schedule import schedule
 from aerowx.plans import preprocess as PP
 from aerowx.schemas import FLIGHT_RECORD, OBS_FIELDS, conform
-from aerowx.session import scratch_path
+from aerowx.session import cut_lineage, scratch_path
 from aerowx.sources import chunks as CH
 from aerowx.sources import csv as CSV
 from aerowx.sources import fixtures as FX
@@ -154,7 +154,10 @@ class Ctx:
 
     @property
     def features(self):
-        return self._get("features", lambda: FT.prepare_features(self.ml, THRESHOLD))
+        # narrow frame (5 columns) reused by both encoder fits and the
+        # encoding: a reliable checkpoint in the shared folder computes the
+        # preprocess plan once per query
+        return self._get("features", lambda: cut_lineage(FT.prepare_features(self.ml, THRESHOLD)))
 
     @property
     def encoder(self):
