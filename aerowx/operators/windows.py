@@ -80,6 +80,41 @@ def attach_window(trips: DataFrame, lists: DataFrame, airport_col: str, ts_col:
     return j.withColumn(out_col, pick("_wl", ts_col, hours)).drop("_la", "_ld", "_wl")
 
 
+def hot_keys(trips: DataFrame, airport_col: str, ts_col: str, fraction: float) -> DataFrame:
+    """(airport, date) keys holding more than ``fraction`` of all trips.
+
+    There are fewer than ``1 / fraction`` such keys, so the result has a
+    proven size bound and may be broadcast.  Computed with one partially
+    aggregated count per key plus the total (two small jobs)."""
+    total = trips.count()
+    per_key = trips.groupBy(F.col(airport_col).alias("_ha"),
+                            obs_date(F.col(ts_col)).alias("_hd")).count()
+    return per_key.where(F.col("count") > F.lit(fraction * total)).select("_ha", "_hd")
+
+
+def attach_window_hot_salted(trips: DataFrame, lists: DataFrame, airport_col: str, ts_col: str,
+                             out_col: str, buckets: int = 16, fraction: float = 0.01,
+                             hours: int = HOURS) -> DataFrame:
+    """``attach_window`` with only the hot (airport, date) keys salted: their
+    trips are spread over ``buckets`` and only their lists are replicated
+    ``buckets`` times; every other key joins as usual (bucket 0)."""
+    hot = F.broadcast(hot_keys(trips, airport_col, ts_col, fraction).withColumn("_hot", F.lit(True)))
+    t = trips.join(hot, (trips[airport_col] == hot["_ha"]) & (obs_date(trips[ts_col]) == hot["_hd"]), "left")
+    t = t.withColumn("_salt", F.when(F.col("_hot"), F.pmod(
+        F.xxhash64(*[F.col(c) for c in trips.columns]), F.lit(buckets))).otherwise(F.lit(0).cast("long")))
+    t = t.drop("_ha", "_hd", "_hot")
+    l = lists.select(F.col("AIRPORT_ID").alias("_la"), F.col("obs_date").alias("_ld"),
+                     F.col("Weather_List").alias("_wl"))
+    l = l.join(hot, (l["_la"] == hot["_ha"]) & (l["_ld"] == hot["_hd"]), "left")
+    l = (l.withColumn("_lsalt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"),
+                                                                           F.lit(buckets - 1).cast("long")))
+                                          .otherwise(F.array(F.lit(0).cast("long")))))
+          .drop("_ha", "_hd", "_hot"))
+    cond = ((t[airport_col] == l["_la"]) & (obs_date(t[ts_col]) == l["_ld"]) & (t["_salt"] == l["_lsalt"]))
+    j = t.join(l, cond, "inner").drop("_salt", "_lsalt")
+    return j.withColumn(out_col, in_complete_window("_wl", ts_col, hours)).drop("_la", "_ld", "_wl")
+
+
 def attach_windows(trips: DataFrame, lists: DataFrame, hours: int = HOURS, salt: int = 0) -> DataFrame:
     """Origin window before departure, then destination window before the
     scheduled arrival; trips lacking either complete day drop out."""

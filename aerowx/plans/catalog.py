@@ -713,6 +713,14 @@ def salted_window_join(c: Ctx):
     return WN.window_summary(PP.with_windows(c.prepared, salt=8), "WD_List")
 
 
+@_q
+def hot_key_salted_join(c: Ctx):
+    """Origin window join with only the hot (airport, date) keys (> 0.2 % of
+    all trips each) salted over 8 buckets."""
+    df = WN.attach_window_hot_salted(c.trips, c.full_lists, *WN.ORIGIN, buckets=8, fraction=0.002)
+    return WN.window_summary(df, "WO_List")
+
+
 @_q
 def persist_lists(c: Ctx):
     df = PP.with_windows(c.prepared, persist_lists=True)
@@ -865,6 +873,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repartition_join_keys": repartition_join_keys,
     "persist_lists": persist_lists,
     "salted_window_join": salted_window_join,
+    "hot_key_salted_join": hot_key_salted_join,
     "repartition_training": repartition_training,
     "impute_zero": impute_zero,
     "weather_type_closed": weather_type_closed,

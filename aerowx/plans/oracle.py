@@ -460,6 +460,7 @@ BODIES: dict[str, str] = {
     "repartition_join_keys": _summary("wd_rows"),
     "persist_lists": _summary("wd_rows"),
     "salted_window_join": _summary("wd_rows"),
+    "hot_key_salted_join": _WO_ORIGIN_ONLY + _summary("wo1", "t_origin"),
     "repartition_training": f"SELECT {LEARN_COLS} FROM learn_base",
     # ---- dormant options
     "impute_zero": """SELECT AIRPORT_ID, "Date", "Time", coalesce(DryBulbCelsius, 0) AS DryBulbCelsius,

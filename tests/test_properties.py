@@ -98,6 +98,15 @@ def test_hot_airport_skew_is_handled(spark):
     salted = WN.attach_windows(trips, O.complete_lists(obs), salt=8)
     assert salted.count() == 3000
     assert salted.exceptAll(out).count() == 0 and out.exceptAll(salted).count() == 0
+    # only the hot key is salted; a cold trip on another airport-day joins unsalted
+    cold = trips.limit(1).withColumn("CRS_DEP_TIMESTAMP", F.lit(dt.datetime(2024, 1, 6, 9)).cast("timestamp_ntz"))
+    mixed = trips.unionByName(cold)
+    hot = WN.hot_keys(mixed, "ORIGIN_AIRPORT_ID", "CRS_DEP_TIMESTAMP", 0.3).collect()
+    assert [(r._ha, r._hd) for r in hot] == [(1, dt.date(2024, 1, 5))]
+    a = WN.attach_window_hot_salted(mixed, O.complete_lists(obs), *WN.ORIGIN, buckets=8, fraction=0.3)
+    b = WN.attach_window(mixed, O.complete_lists(obs), *WN.ORIGIN)
+    assert a.count() == b.count() == 3001
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_flooded_station_minute_is_pre_reduced(spark):
