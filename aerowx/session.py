@@ -52,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors; "
+                               "a machine-local temporary folder is not safe on a cluster")
         d = tempfile.mkdtemp(prefix="aerowx-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
