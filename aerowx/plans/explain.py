@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import sys
 
-from aerowx.operators.windows import window_summary
+from aerowx.operators.observations import complete_lists
+from aerowx.operators.windows import ORIGIN, attach_window_hot_salted, window_summary
 from aerowx.plans import preprocess as PP
 from aerowx.session import get_spark
 from aerowx.sources import fixtures as FX
@@ -33,6 +34,8 @@ def main(sf_dir: str = "/root/testdata/sf0.01", out: str = "PLANS.md") -> None:
         ("learning table, list form", PP.ml_table(f, w, s, method="list")),
         ("learning table, window-frame form", PP.ml_table(f, w, s, method="frame")),
         ("both windows, salted over 8 buckets", window_summary(PP.with_windows(p, salt=8), "WD_List")),
+        ("origin window, hot keys only salted", window_summary(attach_window_hot_salted(
+            p.trips, complete_lists(p.observations), *ORIGIN, buckets=8, fraction=0.002), "WO_List")),
     ]
     parts = [f"# Physical plans ({sf_dir})\n",
              "Generated by `python -m aerowx.plans.explain`; AQE is on, so join strategies\n"
