@@ -7,6 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .lang_id import language_id
+from .mixing import mix
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to 150 % of their words."""
+    return mix(table(spark, sf_dir, "documents"))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,10 +27,44 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op5_source_mix": op5_source_mix,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op5_source_mix": r"""
+        WITH sized AS (
+          SELECT doc_id, source, md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS place,
+                 len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+          FROM documents),
+        src AS (
+          SELECT source, sum(size)::BIGINT AS source_size, 2.0::DOUBLE * sum(size)::DOUBLE AS cap,
+                 [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+          FROM sized GROUP BY source),
+        filled AS (  -- k sources capped, in the order in which they fill up
+          SELECT *, row_number() OVER f AS k, sum(cap) OVER f AS caps, sum(weight) OVER f AS gone
+          FROM src WINDOW f AS (ORDER BY cap / weight, source NULLS LAST)),
+        sums AS (SELECT 1.5::DOUBLE * sum(source_size)::DOUBLE AS want, sum(weight) AS all_weight FROM src),
+        levels AS (
+          SELECT 0 AS k, want / all_weight AS level FROM sums
+          UNION ALL
+          SELECT k, (want - caps) / (all_weight - gone) FROM filled, sums WHERE all_weight > gone),
+        fits AS (  -- the first level that no open source is above
+          SELECT min_by(level, l.k) AS level FROM levels l
+          WHERE NOT EXISTS (SELECT 1 FROM filled f WHERE f.k > l.k AND f.weight * l.level > f.cap)),
+        targets AS (
+          SELECT source, source_size, CASE WHEN weight * level >= cap THEN cap ELSE weight * level END AS target
+          FROM src, fits),
+        cut AS (
+          SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
+        placed AS (
+          SELECT s.*, c.source_size, c.target, c.whole, c.target - c.whole * c.source_size AS rest,
+                 sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place) - s.size / 2.0 AS mid
+          FROM sized s JOIN cut c ON s.source IS NOT DISTINCT FROM c.source),
+        taking AS (
+          SELECT *, (whole + CASE WHEN mid < rest THEN 1 ELSE 0 END)::INTEGER AS repetitions FROM placed)
+        SELECT doc_id, size, source_size, target, size * repetitions AS taken, repetitions FROM taking""",
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
