@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def slices(batches: Iterable[pa.RecordBatch], text_col: str,
         if b.num_rows == 1 or col.nbytes <= max_bytes:
             yield b
             continue
-        lens = pa.compute.binary_length(col).fill_null(0).to_pylist()
+        lens = pc.binary_length(col).fill_null(0).to_pylist()
         lo = size = 0
         for i, n in enumerate(lens):
             if i > lo and size + n > max_bytes:

@@ -3,8 +3,11 @@ it.  Each query is a thin application of one operator to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .binary_records import write_and_read
+from .byte_bpe import encode_and_decode
 from .common import table
 from .exact_dedup import exact_dedup
 from .lang_id import language_id
@@ -16,6 +19,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    return encode_and_decode(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of their words."""
     return mix(table(spark, sf_dir, "documents"))
@@ -26,10 +35,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to record files and read back."""
+    return write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_byte_bpe": op2_byte_bpe,
     "op5_source_mix": op5_source_mix,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_binary_records": op10_binary_records,
 }
 
 ORACLE_SQL = {
