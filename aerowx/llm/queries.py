@@ -11,6 +11,7 @@ from .byte_bpe import encode_and_decode
 from .common import table
 from .exact_dedup import exact_dedup
 from .lang_id import language_id
+from .minhash_dedup import near_dedup
 from .mixing import mix
 
 
@@ -25,6 +26,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all documents, at 85 % of the shingles."""
+    return near_dedup(table(spark, sf_dir, "documents"), 85)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of their words."""
     return mix(table(spark, sf_dir, "documents"))
@@ -43,6 +49,7 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_near_dedup": op4_near_dedup,
     "op5_source_mix": op5_source_mix,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_binary_records": op10_binary_records,
