@@ -13,6 +13,7 @@ from .exact_dedup import exact_dedup
 from .lang_id import language_id
 from .minhash_dedup import near_dedup
 from .mixing import mix
+from .secret_scan import secret_scan
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, with the ownership of their values."""
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents."""
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -51,6 +57,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_near_dedup": op4_near_dedup,
     "op5_source_mix": op5_source_mix,
+    "op6_secret_scan": op6_secret_scan,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_binary_records": op10_binary_records,
 }
