@@ -5,11 +5,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .binary_records import write_and_read
 from .byte_bpe import encode_and_decode
 from .common import table
 from .exact_dedup import exact_dedup
+from .hnsw import nearest
 from .lang_id import language_id
 from .minhash_dedup import near_dedup
 from .mixing import mix
@@ -47,6 +49,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector among all."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to record files and read back."""
     return write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -59,6 +66,7 @@ QUERIES = {
     "op5_source_mix": op5_source_mix,
     "op6_secret_scan": op6_secret_scan,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_nearest": op9_nearest,
     "op10_binary_records": op10_binary_records,
 }
 
