@@ -16,6 +16,7 @@ from .lang_id import language_id
 from .minhash_dedup import near_dedup
 from .mixing import mix
 from .secret_scan import secret_scan
+from .token_counts import tokens_by_line
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +50,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return tokens_by_line(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
+
+
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every 20th vector among all."""
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -66,6 +73,7 @@ QUERIES = {
     "op5_source_mix": op5_source_mix,
     "op6_secret_scan": op6_secret_scan,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_token_counts": op8_token_counts,
     "op9_nearest": op9_nearest,
     "op10_binary_records": op10_binary_records,
 }
