@@ -15,6 +15,7 @@ from .hnsw import nearest
 from .lang_id import language_id
 from .minhash_dedup import near_dedup
 from .mixing import mix
+from .pii import replace_pii
 from .secret_scan import secret_scan
 from .token_counts import tokens_by_line
 
@@ -30,6 +31,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced."""
+    return replace_pii(table(spark, sf_dir, "documents"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents, at 85 % of the shingles."""
     return near_dedup(table(spark, sf_dir, "documents"), 85)
@@ -69,6 +75,7 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op4_near_dedup": op4_near_dedup,
     "op5_source_mix": op5_source_mix,
     "op6_secret_scan": op6_secret_scan,
