@@ -25,30 +25,33 @@ from __future__ import annotations
 
 import base64
 import heapq
-import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import encode_pieces, slices
 
 LONG_WORD = 256
-#: Words in one recursive query, tokens in one decoding query, entries that a
-#: task keeps in each cache before it starts it anew.
+#: Words in one recursive query, tokens in one decoding query, pieces that a
+#: worker keeps before it starts anew, bytes of text taken at a time.
 BLOCK_WORDS = 40_000
-BLOCK_TOKENS = 1 << 20
-CACHE_ENTRIES = 300_000
+BLOCK_TOKENS = 1 << 19
+CACHE_ENTRIES = 400_000
+SLICE_BYTES = 6 << 20
 
 #: The code points of Unicode's White_Space property, which is
 #: what the pattern's \s stands for.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: No match of the pattern crosses the end of such a unit, so a unit's words
-#: can be looked up together.
-UNIT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: Where a space has white space beside it, a match of the pattern may hold
+#: both; everywhere else matches end at spaces, and a text can be encoded piece
+#: by piece, each with the space before it.
+BLANK_RUN = f" [{SPACE}]|[{SPACE}] "
 
 CONTRACT = """
 WITH RECURSIVE state(step, word, pos, token, nxt) AS (
@@ -57,20 +60,22 @@ WITH RECURSIVE state(step, word, pos, token, nxt) AS (
   (WITH ranked AS (
      SELECT s.*, m.rank FROM state s LEFT JOIN merges m ON m.pair = s.token::BIGINT * 4294967296 + s.nxt),
    best AS (  -- of the smallest rank, the leftmost position
-     SELECT word, min(rank * 1048576 + pos) AS k FROM ranked WHERE rank IS NOT NULL GROUP BY word),
-   merge AS (SELECT word, k // 1048576 AS token, k % 1048576 AS pos FROM best)
+     SELECT word, min(rank::BIGINT * 1048576 + pos) AS k FROM ranked WHERE rank IS NOT NULL GROUP BY word),
+   merge AS (SELECT word, (k >> 20)::INTEGER AS token, (k & 1048575)::INTEGER AS pos FROM best)
    -- the row at the position goes, the one after it becomes the merged token
    SELECT r.step + 1, r.word, CASE WHEN r.pos > m.pos THEN r.pos - 1 ELSE r.pos END,
           CASE WHEN r.pos = m.pos + 1 THEN m.token ELSE r.token END,
           CASE WHEN r.pos = m.pos - 1 THEN m.token ELSE r.nxt END
-   FROM ranked r JOIN merge m ON r.word = m.word WHERE r.pos <> m.pos))
-SELECT word, token FROM (SELECT *, max(step) OVER (PARTITION BY word) AS last FROM state)
-WHERE step = last ORDER BY word, pos
+   FROM ranked r JOIN merge m ON r.word = m.word WHERE r.pos <> m.pos)),
+last AS (SELECT word, max(step) AS step FROM state GROUP BY word)
+SELECT word, token FROM state JOIN last USING (word, step) ORDER BY word, pos
 """
 
+#: The connection runs one thread, so the aggregation meets the pieces in the
+#: order of the sorted rows.
 DECODE = """
-SELECT doc, unhex(string_agg(v.hex, '' ORDER BY t.pos)) AS bytes
-FROM tokens t JOIN vocabulary v ON v.token = t.token GROUP BY doc
+SELECT doc, unhex(string_agg(hex, '')) AS bytes
+FROM (SELECT doc, hex FROM tokens JOIN vocabulary USING (token) ORDER BY doc, pos) GROUP BY doc
 """
 
 
@@ -85,15 +90,15 @@ class Codec:
         self.pattern = regex.compile(pattern.replace(r"\S", f"[^{SPACE}]").replace(r"[^\s", f"[^{SPACE}")
                                      .replace(r"\s", f"[{SPACE}]"))
         self.byte_tokens = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": ""})
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items()
                  for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         left, right, rank = (np.array(c, dtype=np.int64) for c in zip(*pairs))
-        self._table("merges", pair=left * 4294967296 + right, rank=rank)
+        self._table("merges", pair=left * 4294967296 + right, rank=rank.astype(np.int32))
         self._table("vocabulary", token=np.fromiter(self.ranks.values(), dtype=np.int32),
                     hex=[t.hex().upper() for t in self.ranks])
         self.words: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _table(self, name, **cols):
         self.db.register("incoming", pa.table(cols))
@@ -114,8 +119,8 @@ class Codec:
             nxt[ends - 1] = -1
             self.db.register("first_state", pa.table({
                 "word": np.repeat(np.arange(len(block), dtype=np.int32), lens),
-                "pos": np.arange(len(token)) - np.repeat(ends - lens, lens), "token": token.astype(np.int64),
-                "nxt": nxt.astype(np.int64)}))
+                "pos": (np.arange(len(token)) - np.repeat(ends - lens, lens)).astype(np.int32),
+                "token": token, "nxt": nxt.astype(np.int32)}))
             got = self.db.sql(CONTRACT).to_arrow_table()
             self.db.unregister("first_state")
             stop = np.cumsum(np.bincount(got["word"].to_numpy(), minlength=len(block))) * 4
@@ -151,19 +156,29 @@ class Codec:
                     heapq.heappush(heap, p)
         return np.array([self.ranks[p] for p in parts if p is not None], dtype="<u4").tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [UNIT.findall(t) if t else [] for t in texts]
-        if max(len(self.units), len(self.words)) > CACHE_ENTRIES:
-            self.units.clear()
-            self.words.clear()
-        fresh = list({u for units in cut for u in units if u not in self.units})
-        words = [self.pattern.findall(u) for u in fresh]
-        new = list({w for found in words for w in found if w not in self.words})
+    def ids_of(self, words: Iterable[str]) -> list[bytes]:
+        words = list(words)
+        new = {w for w in words if w not in self.words}
         if new:
-            self.merge_words(new)
-        of_word, of_unit = self.words.__getitem__, self.units.__getitem__
-        self.units.update((u, b"".join(map(of_word, found))) for u, found in zip(fresh, words))
-        return [b"".join(map(of_unit, units)) for units in cut]
+            self.merge_words(list(new))
+        return list(map(self.words.__getitem__, words))
+
+    def ids_of_pieces(self, pieces: list[str]) -> list[bytes]:
+        fresh = [p for p in pieces if p not in self.pieces]
+        cut = [self.pattern.findall(p) for p in fresh]
+        ids = iter(self.ids_of(chain.from_iterable(cut)))
+        self.pieces.update((p, b"".join(islice(ids, len(words)))) for p, words in zip(fresh, cut))
+        return list(map(self.pieces.__getitem__, pieces))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        if len(self.pieces) > CACHE_ENTRIES:
+            self.pieces.clear()
+            self.words.clear()
+        texts = pc.fill_null(texts, "")
+        apart = pc.match_substring_regex(texts, BLANK_RUN)
+        found = iter(encode_pieces(texts.filter(pc.invert(apart)), self.ids_of_pieces, 4, keep_blank=True))
+        whole = (b"".join(self.ids_of(self.pattern.findall(t))) for t in texts.filter(apart).to_pylist())
+        return [next(whole if a else found) for a in apart.to_pylist()]
 
     def decode(self, sequences: list[bytes | None]) -> list[bytes]:
         out = [b""] * len(sequences)
@@ -191,25 +206,28 @@ def codec(ranks_path: str, pattern: str) -> Codec:
     return Codec(ranks_path, pattern)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``docs`` (id, text) -> id, n_tokens, ids."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, decoded: bool = False) -> DataFrame:
+    """``docs`` (id, text) -> id, n_tokens, ids; with ``decoded`` also
+    ``bytes``, decoded from the ids in the same pass over the rows."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks_path, pattern)
-        for b in slices(batches, "text"):
-            ids = c.encode(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=["id", "n_tokens", "ids"])
+        for b in slices(batches, "text", SLICE_BYTES):
+            ids = c.encode(b.column("text"))
+            cols = [b.column("id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if decoded:
+                cols.append(pa.array(c.decode(ids), pa.binary()))
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "n_tokens", "ids", "bytes"][:len(cols)])
 
     id_type = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"id {id_type}, n_tokens long, ids binary")
+    return docs.select("id", "text").mapInArrow(
+        run, f"id {id_type}, n_tokens long, ids binary" + ", bytes binary" * decoded)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``encoded`` (id, n_tokens, ids) -> with ``bytes``, which the ids stand for."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks_path, pattern)
-        for b in slices(batches, "ids"):
+        for b in slices(batches, "ids", SLICE_BYTES):
             data = c.decode(b.column("ids").to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(data, pa.binary())],
                                              names=[*b.schema.names, "bytes"])
@@ -222,7 +240,6 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256.
     ``docs`` needs doc_id and text."""
-    encoded = encode(docs.select(F.col("doc_id").alias("id"), "text"), ranks_path, pattern)
-    return decode(encoded, ranks_path, pattern).select(
-        F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"))
+    found = encode(docs.select(F.col("doc_id").alias("id"), "text"), ranks_path, pattern, decoded=True)
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,3 +55,34 @@ def slices(batches: Iterable[pa.RecordBatch], text_col: str,
                 lo, size = i, 0
             size += n
         yield b.slice(lo)
+
+
+def encode_pieces(texts: pa.Array, ids_of: Callable[[list[str]], list[bytes]], width: int,
+                  keep_blank: bool = False) -> list[bytes]:
+    """Ids of texts whose pieces between blanks can be encoded each alone.
+
+    Arrow cuts the texts and numbers the distinct pieces, ``ids_of`` encodes
+    those, and the ids are dealt back by number.  Without ``keep_blank``, line
+    ends count as blanks and blanks are dropped; with it, only spaces cut and
+    each goes with the piece that follows.  ``width`` is the bytes of an id.
+    """
+    cut = pc.split_pattern(texts if keep_blank else pc.replace_substring(texts, "\n", " "), " ")
+    pieces = cut.flatten()
+    ends = cut.offsets.to_numpy()
+    ends = ends - ends[0]
+    if keep_blank:  # the first piece of a text has no blank before it
+        inner = np.ones(len(pieces), dtype=bool)
+        inner[ends[:-1][ends[:-1] < len(pieces)]] = False
+        space, nothing = (pa.scalar(x, pieces.type) for x in (" ", ""))
+        pieces = pc.binary_join_element_wise(pc.if_else(pa.array(inner), space, nothing), pieces, nothing)
+    numbered = pieces.dictionary_encode()
+    of_piece = ids_of(numbered.dictionary.to_pylist())
+    n = np.fromiter(map(len, of_piece), dtype=np.int64, count=len(of_piece)) // width
+    start = np.cumsum(n) - n
+    number = numbered.indices.to_numpy()
+    size = n[number]
+    stop = np.concatenate(([0], np.cumsum(size)))
+    ids = np.frombuffer(b"".join(of_piece), dtype=f"<u{width}")
+    dealt = ids[np.arange(stop[-1]) + np.repeat(start[number] - stop[:-1], size)]
+    at = stop[ends].tolist()
+    return [dealt[a:b].tobytes() for a, b in zip(at, at[1:])]
