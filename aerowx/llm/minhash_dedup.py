@@ -371,7 +371,10 @@ def near_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     roots = materialize(links(rows.select("text_key", "text"), sketched, percent), "near-roots")
     named = sketched.select("doc_id", "n_shingles", "node").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("least")).where("root IS NOT NULL")
+    # written apart: the join below then deals its rows anew, and a component
+    # that holds a third of them can be split
+    least = materialize(named.groupBy("root").agg(F.min("doc_id").alias("least")).where("root IS NOT NULL"),
+                        "near-least")
     found = named.join(least, "root", "left").withColumn(
         "component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")))
     return found.select("doc_id", "n_shingles", "component_id",
