@@ -39,8 +39,9 @@ def departure_ts(date_col, hhmm) -> Column:
 
 
 def to_seconds(col, unit_seconds: int) -> Column:
-    """A duration in ``unit_seconds`` units -> whole seconds, truncated."""
-    return (_c(col) * unit_seconds).cast("long")
+    """A duration in ``unit_seconds`` units -> whole seconds, truncated; NaN and
+    what is too large give null."""
+    return (_c(col) * unit_seconds).try_cast("long")
 
 
 def arrival_ts(dep_ts, elapsed_minutes, tz_shift_hours) -> Column:

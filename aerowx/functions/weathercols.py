@@ -47,7 +47,7 @@ def wind_speed(col) -> Column:
     """``VR`` -> -1, else the integer speed (fraction truncated); bad -> null."""
     c = _c(col)
     return (F.when(c == VARIABLE_WIND, F.lit(-1))
-             .otherwise(c.try_cast("double").cast("int")))
+             .otherwise(c.try_cast("double").try_cast("int")))
 
 
 def weather_type(col) -> Column:

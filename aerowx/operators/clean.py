@@ -54,9 +54,9 @@ def dedup_by(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = N
     columns, ascending, nulls first) — deterministic where a keyed
     ``dropDuplicates`` keeps an arbitrary row.
 
-    Written as ``min(struct(order..., rest...))`` per key: a hash aggregate
-    with map-side partial aggregation, so a hot key is pre-reduced in every
-    task instead of being sorted whole inside one window partition.
+    Written as ``min(struct(order..., rest...))`` per key with a map-side
+    partial aggregate (a sort aggregate, as the buffer holds text), so a hot
+    key is reduced in every task before it is shuffled.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -68,10 +68,6 @@ def dedup_by(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = N
     return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def project(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols)
-
-
 def cast_cols(df: DataFrame, cols: Sequence[str], dtype: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(dtype) for c in cols})
 

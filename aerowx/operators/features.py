@@ -154,6 +154,3 @@ def feature_columns(df: DataFrame, target: str = TARGET) -> tuple[list[str], lis
     txt = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     return num, txt
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + [
-    "WO_COLUMNS", "WD_COLUMNS"]

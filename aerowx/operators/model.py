@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -12,48 +13,60 @@ from pyspark.sql import functions as F
 
 from aerowx.operators.features import TARGET, feature_columns
 
-INDEX_PREFIX = "indexed_"
-ASSEMBLED = "featuresVec"
+ASSEMBLED = "assembled"
 FEATURES = "features"
 LABEL = "label"
 # Fixed values that must equal the reference's for identical results.
-MAX_CATEGORIES = 270
+INDEX_PREFIX = "indexed_"
+CATEGORIES = 270
 HANDLE_INVALID = "skip"
 FOREST_DEPTH = 20
 FOREST_SUBSAMPLE = 0.5
 FOREST_MIN_INSTANCES = 20
 
 
-def build_encoder(text_cols: Sequence[str], numeric_cols: Sequence[str],
-                  max_categories: int = MAX_CATEGORIES,
-                  handle_invalid: str = HANDLE_INVALID) -> Pipeline:
-    """StringIndexer (frequency order, ties alphabetical) -> VectorAssembler
-    -> VectorIndexer (<= max_categories distinct values => categorical)."""
-    out = [INDEX_PREFIX + c for c in text_cols]
-    stages = []
-    if text_cols:
-        stages.append(StringIndexer(inputCols=list(text_cols), outputCols=out,
-                                    handleInvalid=handle_invalid))
-    stages.append(VectorAssembler(inputCols=out + list(numeric_cols), outputCol=ASSEMBLED,
-                                  handleInvalid=handle_invalid))
-    stages.append(VectorIndexer(inputCol=ASSEMBLED, outputCol=FEATURES,
-                                maxCategories=max_categories, handleInvalid=handle_invalid))
-    return Pipeline(stages=stages)
+@dataclass(frozen=True)
+class ModelOptions:
+    """What the encoder and the forest share or need.  ``categories`` is both
+    the most values of a categorical feature and the number of bins: a forest
+    needs a bin for every category."""
+    categories: int = CATEGORIES
+    handle_invalid: str = HANDLE_INVALID
+    max_depth: int = FOREST_DEPTH
+    subsampling: float = FOREST_SUBSAMPLE
+    min_instances: int = FOREST_MIN_INSTANCES
+    # deep trees: more node statistics per pass over the data, and a cached
+    # row -> node map instead of walking every tree again
+    memory_mb: int = 1024
+    cache_node_ids: bool = True
+
+
+def encoder_for(df: DataFrame, options: ModelOptions = ModelOptions()) -> Pipeline:
+    """Text columns numbered by frequency (ties by value), all columns in one
+    vector, and features of few values marked as categorical."""
+    numeric, text = feature_columns(df)
+    numbered = {c: INDEX_PREFIX + c for c in text}
+    number = [StringIndexer(inputCols=list(numbered), outputCols=list(numbered.values()),
+                            handleInvalid=options.handle_invalid)] if text else []
+    collect = VectorAssembler(inputCols=[*numbered.values(), *numeric], outputCol=ASSEMBLED,
+                              handleInvalid=options.handle_invalid)
+    mark = VectorIndexer(inputCol=ASSEMBLED, outputCol=FEATURES, maxCategories=options.categories,
+                         handleInvalid=options.handle_invalid)
+    return Pipeline(stages=[*number, collect, mark])
 
 
 def feature_names(df: DataFrame) -> list[tuple[str, str]]:
-    """("feature i", column) in assembled-vector order."""
+    """("feature i", column) in assembled-vector order; reads the schema only."""
     num, txt = feature_columns(df)
     cols = [INDEX_PREFIX + c for c in txt] + num
     return [(f"feature {i}", c) for i, c in enumerate(cols)]
 
 
-def fit_encoder(df: DataFrame, max_categories: int = MAX_CATEGORIES,
+def fit_encoder(df: DataFrame, options: ModelOptions = ModelOptions(),
                 train_only: DataFrame | None = None) -> PipelineModel:
     """Fit the encoder on ``df`` (or on ``train_only`` when given, to keep
     the held-out rows out of the category statistics)."""
-    num, txt = feature_columns(df)
-    return build_encoder(txt, num, max_categories).fit(train_only if train_only is not None else df)
+    return encoder_for(df, options).fit(train_only if train_only is not None else df)
 
 
 def encode(df: DataFrame, model: PipelineModel, target: str = TARGET) -> DataFrame:
@@ -61,9 +74,14 @@ def encode(df: DataFrame, model: PipelineModel, target: str = TARGET) -> DataFra
     return model.transform(df).select(FEATURES, F.col(target).alias(LABEL))
 
 
-def colocate(df: DataFrame, n: int | None, *cols: str) -> DataFrame:
-    """Hash rows by ``cols`` into ``n`` partitions (``None``: leave it)."""
-    return df.repartition(n, *cols) if n else df
+def colocate(df: DataFrame, n: int | None, *cols: str, salt: int = 1) -> DataFrame:
+    """Hash rows by ``cols`` into ``n`` partitions (``None``: leave it).  With
+    ``salt`` > 1 the rows of one key are spread over as many buckets, by a
+    hash of the whole row, so that a hot key is no single task's work."""
+    if not n:
+        return df
+    bucket = [F.pmod(F.xxhash64(*df.columns), F.lit(salt))] if salt > 1 else []
+    return df.repartition(n, *cols, *bucket)
 
 
 def balance(df: DataFrame, label_col: str = LABEL, seed: int = 42) -> DataFrame:
@@ -82,45 +100,38 @@ def split(df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int | None
     return df.randomSplit(list(weights), seed=seed)
 
 
-def forest(num_trees: int, max_depth: int = FOREST_DEPTH, max_bins: int = MAX_CATEGORIES,
-           subsampling: float = FOREST_SUBSAMPLE, min_instances: int = FOREST_MIN_INSTANCES,
-           seed: int | None = 42) -> RandomForestClassifier:
+def forest(num_trees: int, options: ModelOptions = ModelOptions(), seed: int | None = 42) -> RandomForestClassifier:
     rf = RandomForestClassifier(labelCol=LABEL, featuresCol=FEATURES, numTrees=num_trees,
-                                maxDepth=max_depth, maxBins=max_bins,
-                                subsamplingRate=subsampling, minInstancesPerNode=min_instances)
-    if seed is not None:
-        rf = rf.setSeed(seed)
-    return rf
-
-
-def train_forest(train: DataFrame, num_trees: int, **kw):
-    return forest(num_trees, **kw).fit(train)
+                                maxDepth=options.max_depth, maxBins=options.categories,
+                                subsamplingRate=options.subsampling, minInstancesPerNode=options.min_instances,
+                                maxMemoryInMB=options.memory_mb, cacheNodeIds=options.cache_node_ids)
+    return rf if seed is None else rf.setSeed(seed)
 
 
-def predict(model, df: DataFrame) -> DataFrame:
-    return model.transform(df)
+def train_forest(train: DataFrame, num_trees: int, options: ModelOptions = ModelOptions(), seed: int | None = 42):
+    return forest(num_trees, options, seed).fit(train)
 
 
 def train_sharded(train: DataFrame, test: DataFrame, shards: int, num_trees: int,
-                  seed: int = 42, **kw) -> DataFrame:
+                  options: ModelOptions = ModelOptions(), seed: int = 42) -> DataFrame:
     """Train one forest per random shard of the training rows and score the
     matching shard of the test rows; the predictions are unioned."""
     tr = train.randomSplit([1.0] * shards, seed=seed)
     te = test.randomSplit([1.0] * shards, seed=seed)
     out = None
     for a, b in zip(tr, te):
-        p = train_forest(a, num_trees, **kw).transform(b)
+        p = train_forest(a, num_trees, options).transform(b)
         out = p if out is None else out.unionByName(p)
     return out
 
 
 def grid_search(train: DataFrame, num_trees: Sequence[int], depths: Sequence[int],
                 min_instances: Sequence[int], folds: int = 3, parallelism: int = 4,
-                seed: int = 42):
+                options: ModelOptions = ModelOptions(), seed: int = 42):
     """Cross-validated grid over trees x depth x min instances (AUC)."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    rf = forest(num_trees[0], seed=seed)
+    rf = forest(num_trees[0], options, seed)
     grid = (ParamGridBuilder().addGrid(rf.numTrees, list(num_trees))
             .addGrid(rf.maxDepth, list(depths))
             .addGrid(rf.minInstancesPerNode, list(min_instances)).build())

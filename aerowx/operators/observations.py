@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from aerowx.functions.timecols import observation_dates
 from aerowx.schemas import OBS_FIELDS
 
-FULL_DAY = 36
+def full_day(hours: int) -> int:
+    """Readings of a complete list: the day's 24 and the ``hours`` before it."""
+    if not 1 <= hours <= 24:
+        raise ValueError(f"hours is between 1 and 24 (lists reach back one day), not {hours}")
+    return 24 + hours
 
 
 def observation_keys(obs: DataFrame, hours: int = 12) -> DataFrame:
@@ -35,17 +39,25 @@ def observation_lists(obs: DataFrame, hours: int = 12) -> DataFrame:
              .agg(F.array_sort(F.collect_list(F.struct(*OBS_FIELDS))).alias("Weather_List")))
 
 
-def complete(lists: DataFrame, n: int = FULL_DAY) -> DataFrame:
-    """Keep keys whose list has exactly ``n`` readings."""
-    return lists.where(F.size("Weather_List") == n)
+def complete(lists: DataFrame, hours: int = 12) -> DataFrame:
+    """Keep keys whose list has one reading for each hour from ``hours``
+    before the day to its end: as many as that, no two alike, the first and
+    the last in place.  (A doubled hour beside a missing one is not
+    complete.)"""
+    n = full_day(hours)
+    times = F.col("Weather_List.Weather_TIMESTAMP")
+    day = F.col("obs_date").cast("timestamp_ntz")
+    return lists.where((F.size("Weather_List") == n) & (F.size(F.array_distinct(times)) == n)
+                       & (times[0] == day - F.make_dt_interval(F.lit(0), F.lit(hours)))
+                       & (times[n - 1] == day + F.make_dt_interval(F.lit(0), F.lit(23))))
 
 
-def complete_lists(obs: DataFrame, hours: int = 12, n: int = FULL_DAY) -> DataFrame:
-    return complete(observation_lists(obs, hours), n)
+def complete_lists(obs: DataFrame, hours: int = 12) -> DataFrame:
+    return complete(observation_lists(obs, hours), hours)
 
 
-def complete_days(obs: DataFrame, hours: int = 12, n: int = FULL_DAY) -> DataFrame:
-    """(AIRPORT_ID, obs_date) keys with a complete list — counts only, no
-    arrays (used by the window-frame form)."""
+def complete_days(obs: DataFrame, hours: int = 12) -> DataFrame:
+    """(AIRPORT_ID, obs_date) keys with a complete list of hourly
+    observations — counts only, no arrays."""
     return (observation_keys(obs, hours).groupBy("AIRPORT_ID", "obs_date")
-            .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == n).drop("_n"))
+            .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == full_day(hours)).drop("_n"))

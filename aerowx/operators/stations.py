@@ -5,30 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only below this many rows (checked, not assumed).
-BROADCAST_MAX_ROWS = 200_000
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only after proving it has at most ``max_rows``
-    rows; otherwise leave it to a shuffle join (AQE may still switch on the
-    measured runtime size)."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def attach_station(flights: DataFrame, stations: DataFrame, side: str,
-                   small_map: DataFrame | None = None) -> DataFrame:
+def attach_station(flights: DataFrame, stations: DataFrame, side: str) -> DataFrame:
     """Inner-join the map on ``<SIDE>_AIRPORT_ID`` and bring in the station
     (as ``<SIDE>_WBAN``) and time zone (as ``TZone_<SIDE>_AIRPORT_ID``)."""
     side = side.upper()
     key = f"{side}_AIRPORT_ID"
-    m = (small_map if small_map is not None else stations).select(
+    m = stations.select(
         F.col("AirportID").alias("_aid"),
         F.col("WBAN").alias(f"{side}_WBAN"),
         F.col("TimeZone").alias(f"TZone_{side}_AIRPORT_ID"))
@@ -42,15 +24,10 @@ def tz_shift(df: DataFrame) -> DataFrame:
               .drop("TZone_DEST_AIRPORT_ID", "TZone_ORIGIN_AIRPORT_ID"))
 
 
-def attach_stations(flights: DataFrame, stations: DataFrame,
-                    small_map: DataFrame | None = None) -> DataFrame:
-    """Origin and destination station + time-zone difference.  The map is a
-    small dimension: broadcast after a size check, shared by both joins
-    (``small_map`` passes an already checked/hinted map)."""
-    m = small_map if small_map is not None else broadcast_if_small(stations)
-    df = attach_station(flights, stations, "origin", m)
-    df = attach_station(df, stations, "dest", m)
-    return tz_shift(df)
+def attach_stations(flights: DataFrame, stations: DataFrame) -> DataFrame:
+    """Origin and destination station + time-zone difference.  Spark
+    broadcasts the map when its bytes allow."""
+    return tz_shift(attach_station(attach_station(flights, stations, "origin"), stations, "dest"))
 
 
 def airports_of(df: DataFrame, side: str) -> DataFrame:
@@ -76,12 +53,9 @@ def served_only(weather: DataFrame, airports: DataFrame) -> DataFrame:
     return weather.join(a, weather["WBAN"] == a["_w"], "left_semi")
 
 
-def weather_by_airport(weather: DataFrame, airports: DataFrame, small: bool = False) -> DataFrame:
+def weather_by_airport(weather: DataFrame, airports: DataFrame) -> DataFrame:
     """Readings re-keyed by airport (a station serving several airports
-    yields one row per airport).  ``small`` = the airport set is known to be
-    bounded (it is a subset of a station map that passed ``is_small``), so
-    it is broadcast and the readings are not shuffled for this join."""
+    yields one row per airport).  AQE broadcasts the served airports when
+    their measured bytes allow."""
     a = airports.select("AIRPORT_ID", F.col("F_WBAN").alias("_w"))
-    if small:
-        a = F.broadcast(a)
     return weather.join(a, weather["WBAN"] == a["_w"], "inner").drop("_w")

@@ -33,10 +33,10 @@ def project_weather(weather: DataFrame) -> DataFrame:
     return weather.select(*READING_COLUMNS)
 
 
-def clean_readings(weather: DataFrame, airports: DataFrame, small_airports: bool = False) -> DataFrame:
+def clean_readings(weather: DataFrame, airports: DataFrame) -> DataFrame:
     """Readings per served airport with sentinel-free typed measures and
     the time split into hour / minute."""
-    w = weather_by_airport(project_weather(weather), airports, small_airports)
+    w = weather_by_airport(project_weather(weather), airports)
     hh, mm = split_hhmm("Time")
     return w.select(
         "AIRPORT_ID", "Date", "Time",
@@ -55,6 +55,26 @@ def dedup_readings(w: DataFrame) -> DataFrame:
     return dedup_by(w, READING_KEYS, order=MEASURES + ["Time"])
 
 
+ZERO_FILLED = ["DryBulbCelsius", "SkyCondition", "Visibility", "WindDirection", "WindSpeed", "WeatherType",
+               "StationPressure"]
+
+
+def impute_zero(weather: DataFrame, airports: DataFrame) -> DataFrame:
+    """The simpler cleaning: raw measures to numbers, what is missing or does
+    not parse (variable wind too) to 0, the missing code of a text to empty,
+    and one reading per minute.  Takes raw readings with wind direction and
+    station pressure."""
+    w = weather_by_airport(weather.select("WBAN", "Date", "Time", *ZERO_FILLED), airports)
+    hh, mm = split_hhmm("Time")
+    whole = lambda c: F.coalesce(to_double(c).try_cast("int"), F.lit(0)).alias(c)
+    real = lambda c: F.coalesce(to_double(c), F.lit(0.0)).alias(c)
+    w = w.select("AIRPORT_ID", "Date", "Time", hh.alias("Time_hh"), mm.alias("Time_mm"),
+                 real("DryBulbCelsius"), weather_type("SkyCondition").alias("SkyCondition"), real("Visibility"),
+                 whole("WindDirection"), whole("WindSpeed"), weather_type("WeatherType").alias("WeatherType"),
+                 real("StationPressure"))
+    return dedup_by(w, READING_KEYS, order=ZERO_FILLED + ["Time"])
+
+
 def complete_case(w: DataFrame) -> DataFrame:
     """Readings with every averaged measure present and a definite wind."""
     return w.where((F.col("WindSpeed") != -1) & F.col("DryBulbCelsius").isNotNull()
@@ -114,21 +134,6 @@ def impute_by_day(w: DataFrame) -> DataFrame:
     return j.withColumns(filled).drop("_n_cc", *MEAN_COLUMNS.values())
 
 
-def hour_readings_by_day(w: DataFrame) -> DataFrame:
-    """Minute dedup, daily-mean imputation and first reading per hour in one
-    pass over data already hash-partitioned by (AIRPORT_ID, Date).
-
-    Three window specs whose orderings nest — (A, D, hh, mm, measures...) ⊇
-    (A, D, hh) ⊇ (A, D) — so Spark sorts each partition once and streams the
-    rest; groups are one airport-day.  Same rows as
-    ``first_reading_per_hour(impute_by_day(dedup_readings(w)))``.
-    """
-    minute = Window.partitionBy(*READING_KEYS).orderBy(
-        *[F.col(c).asc_nulls_first() for c in MEASURES + ["Time"]])
-    w = w.withColumn("_rn", F.row_number().over(minute)).where(F.col("_rn") == 1).drop("_rn")
-    return first_by_hour(impute_by_day(w))
-
-
 def first_by_hour(w: DataFrame) -> DataFrame:
     """Window form of ``first_reading_per_hour`` for rows with one reading
     per minute (after the minute dedup)."""
@@ -138,7 +143,7 @@ def first_by_hour(w: DataFrame) -> DataFrame:
 
 
 def hourly_observations(weather: DataFrame, airports: DataFrame,
-                        partitions: int | None = None, small_airports: bool = False) -> DataFrame:
+                        partitions: int | None = None) -> DataFrame:
     """Raw readings -> one cleaned, imputed observation per airport-hour.
 
     1. minute dedup as an aggregate: map-side partial aggregation collapses
@@ -151,6 +156,6 @@ def hourly_observations(weather: DataFrame, airports: DataFrame,
     3. daily means (window) and the first reading of each hour (window)
        reuse that partitioning and one sort — no further exchange.
     """
-    w = dedup_readings(clean_readings(weather, airports, small_airports))
+    w = dedup_readings(clean_readings(weather, airports))
     w = w.repartition(partitions, *DAY_KEYS) if partitions else w.repartition(*DAY_KEYS)
     return to_observations(first_by_hour(impute_by_day(w)))

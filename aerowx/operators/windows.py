@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerowx.functions.timecols import obs_date
-from aerowx.operators.observations import FULL_DAY, observation_keys
-from aerowx.schemas import HOURS, OBS_FIELDS, WD_COLUMNS, WO_COLUMNS
+from aerowx.operators.observations import full_day, observation_keys
+from aerowx.schemas import HOURS, OBS_FIELDS, window_columns
 
 ORIGIN = ("ORIGIN_AIRPORT_ID", "CRS_DEP_TIMESTAMP", "WO_List")
 DEST = ("DEST_AIRPORT_ID", "SCHEDULED_ARRIVAL_TIMESTAMP", "WD_List")
@@ -81,15 +81,17 @@ def attach_window(trips: DataFrame, lists: DataFrame, airport_col: str, ts_col:
 
 
 def hot_keys(trips: DataFrame, airport_col: str, ts_col: str, fraction: float) -> DataFrame:
-    """(airport, date) keys holding more than ``fraction`` of all trips.
+    """(airport, date) keys holding more than ``fraction`` (0 to 1) of all trips.
 
     There are fewer than ``1 / fraction`` such keys, so the result has a
     proven size bound and may be broadcast.  Computed with one partially
-    aggregated count per key plus the total (two small jobs)."""
-    total = trips.count()
+    aggregated count per key; the total is the sum of the counts."""
+    if not 0 < fraction < 1:
+        raise ValueError("fraction lies between 0 and 1; the key set is bounded by 1 / fraction")
     per_key = trips.groupBy(F.col(airport_col).alias("_ha"),
                             obs_date(F.col(ts_col)).alias("_hd")).count()
-    return per_key.where(F.col("count") > F.lit(fraction * total)).select("_ha", "_hd")
+    total = per_key.agg(F.sum("count")).scalar()
+    return per_key.where(F.col("count") > F.lit(fraction) * total).select("_ha", "_hd")
 
 
 def attach_window_hot_salted(trips: DataFrame, lists: DataFrame, airport_col: str, ts_col: str,
@@ -115,16 +117,17 @@ def attach_window_hot_salted(trips: DataFrame, lists: DataFrame, airport_col: st
     return j.withColumn(out_col, in_complete_window("_wl", ts_col, hours)).drop("_la", "_ld", "_wl")
 
 
-def attach_windows(trips: DataFrame, lists: DataFrame, hours: int = HOURS, salt: int = 0) -> DataFrame:
+def attach_windows(trips: DataFrame, lists: DataFrame, hours: int = HOURS, salt: int = 0,
+                   complete: bool = True) -> DataFrame:
     """Origin window before departure, then destination window before the
     scheduled arrival; trips lacking either complete day drop out."""
-    df = attach_window(trips, lists, *ORIGIN, hours=hours, salt=salt)
-    return attach_window(df, lists, *DEST, hours=hours, salt=salt)
+    df = attach_window(trips, lists, *ORIGIN, hours=hours, salt=salt, complete=complete)
+    return attach_window(df, lists, *DEST, hours=hours, salt=salt, complete=complete)
 
 
 # ---------------------------------------------------------------- frame form
 
-def hour_windows(obs: DataFrame, hours: int = HOURS, n: int = FULL_DAY) -> DataFrame:
+def hour_windows(obs: DataFrame, hours: int = HOURS) -> DataFrame:
     """(AIRPORT_ID, obs_date, hour, Window) for every hour of every complete
     day: the ``hours`` readings ending at that hour, oldest first."""
     k = observation_keys(obs, hours)
@@ -132,7 +135,7 @@ def hour_windows(obs: DataFrame, hours: int = HOURS, n: int = FULL_DAY) -> DataF
     frame = day.orderBy("Weather_TIMESTAMP").rowsBetween(-(hours - 1), 0)
     rec = F.struct(*OBS_FIELDS)
     w = (k.withColumn("_n", F.count(F.lit(1)).over(day))
-          .where(F.col("_n") == n)
+          .where(F.col("_n") == full_day(hours))
           .withColumn("Window", F.collect_list(rec).over(frame))
           .where(F.to_date("Weather_TIMESTAMP") == F.col("obs_date")))
     return w.select("AIRPORT_ID", "obs_date", F.hour("Weather_TIMESTAMP").alias("hour"), "Window")
@@ -158,24 +161,23 @@ def attach_windows_frame(trips: DataFrame, obs: DataFrame, hours: int = HOURS) -
 
 def widen(df: DataFrame, hours: int = HOURS) -> DataFrame:
     """Window lists -> one struct column per hour (item 0, the oldest, is
-    ``*_11H``; the last, at the trip's hour, ``*_00H``) and ``Class`` =
+    ``*_11H`` of a 12-hour window; the last, at the trip's hour, ``*_00H``) and ``Class`` =
     ARR_DELAY_NEW."""
-    wo = [F.col("WO_List")[i].alias(c) for i, c in enumerate(WO_COLUMNS[:hours])]
-    wd = [F.col("WD_List")[i].alias(c) for i, c in enumerate(WD_COLUMNS[:hours])]
+    wo = [F.col("WO_List")[i].alias(c) for i, c in enumerate(window_columns("WO", hours))]
+    wd = [F.col("WD_List")[i].alias(c) for i, c in enumerate(window_columns("WD", hours))]
     return df.select(*wo, "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", "CRS_DEP_TIMESTAMP",
                      "SCHEDULED_ARRIVAL_TIMESTAMP", *wd, F.col("ARR_DELAY_NEW").alias("Class"))
 
 
-def window_summary(df: DataFrame, list_col: str) -> DataFrame:
-    """Scalar view of a window column (for checks): size, first/last time,
-    summed temperature and the sky codes in order."""
-    l = F.col(list_col)
-    return df.select(
-        "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", "CRS_DEP_TIMESTAMP",
-        "SCHEDULED_ARRIVAL_TIMESTAMP", "ARR_DELAY_NEW",
-        F.size(l).cast("long").alias("n_obs"),
-        l[0]["Weather_TIMESTAMP"].alias("first_obs_ts"),
-        F.element_at(l, -1)["Weather_TIMESTAMP"].alias("last_obs_ts"),
-        F.round(F.aggregate(l, F.lit(0.0), lambda acc, x: acc + x["DryBulbCelsius"]), 6).alias("sum_temp"),
-        F.array_join(F.transform(l, lambda x: x["SkyCondition"]), ",").alias("sky_seq"),
-    )
+def window_summary(df: DataFrame, *list_cols: str) -> DataFrame:
+    """Scalar view of window columns (for checks): for each, size, first and
+    last time, summed temperature and the sky codes in order."""
+    cols = []
+    for name in list_cols:
+        l, p = F.col(name), name.split("_")[0].lower()
+        cols += [F.size(l).cast("long").alias(f"{p}_n_obs"), l[0]["Weather_TIMESTAMP"].alias(f"{p}_first_obs_ts"),
+                 F.element_at(l, -1)["Weather_TIMESTAMP"].alias(f"{p}_last_obs_ts"),
+                 F.round(F.aggregate(l, F.lit(0.0), lambda acc, x: acc + x["DryBulbCelsius"]), 6).alias(f"{p}_sum_temp"),
+                 F.array_join(l["SkyCondition"], ",").alias(f"{p}_sky_seq")]
+    return df.select("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", "CRS_DEP_TIMESTAMP", "SCHEDULED_ARRIVAL_TIMESTAMP",
+                     "ARR_DELAY_NEW", *cols)

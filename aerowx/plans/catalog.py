@@ -27,6 +27,7 @@ from aerowx.operators import weather as W
 from aerowx.operators import windows as WN
 from aerowx.operators.schedule import schedule
 from aerowx.plans import preprocess as PP
+from aerowx.plans.application import preprocess_csv
 from aerowx.schemas import FLIGHT_RECORD, OBS_FIELDS, conform
 from aerowx.session import cut_lineage, scratch_path
 from aerowx.sources import chunks as CH
@@ -70,14 +71,9 @@ class Ctx:
     def fl_clean(self):
         return self._get("fl_clean", lambda: C.clean_flights(self.flights_raw))
 
-    @property
-    def station_map(self):
-        """The map, broadcast-hinted when the size check passed (once)."""
-        return F.broadcast(self.stations) if self.small_map else self.stations
-
     @property
     def fl_st(self):
-        return self._get("fl_st", lambda: S.attach_stations(self.fl_clean, self.stations, self.station_map))
+        return self._get("fl_st", lambda: S.attach_stations(self.fl_clean, self.stations))
 
     @property
     def trips(self):
@@ -86,19 +82,12 @@ class Ctx:
     @property
     def airports(self):
         return self._get("airports", lambda: S.all_airports(S.attach_stations(
-            C.operated_trips(self.flights_raw).select("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"),
-            self.stations, self.station_map)))
+            C.operated_trips(self.flights_raw).select("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"), self.stations)))
 
     # readings
-    @property
-    def small_map(self) -> bool:
-        if "_small" not in self._memo:
-            self._memo["_small"] = S.is_small(self.stations)
-        return self._memo["_small"]
-
     @property
     def w_clean(self):
-        return self._get("w_clean", lambda: W.clean_readings(self.weather_raw, self.airports, self.small_map))
+        return self._get("w_clean", lambda: W.clean_readings(self.weather_raw, self.airports))
 
     @property
     def w_dedup(self):
@@ -184,7 +173,7 @@ def _q(fn: Callable[[Ctx], DataFrame]) -> Callable[[SparkSession, str], DataFram
 
 # --------------------------------------------------------------- helpers
 
-def wide_view(ml: DataFrame, fields=("Weather_TIMESTAMP", "DryBulbCelsius", "SkyCondition")) -> DataFrame:
+def wide_view(ml: DataFrame, fields=tuple(f for f in OBS_FIELDS if f != "AIRPORT_ID")) -> DataFrame:
     """Scalar view of the learning table: chosen fields of every window
     column (doubles rounded to 6 places)."""
     cols = [F.col(c) for c in ["ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", "CRS_DEP_TIMESTAMP",
@@ -198,10 +187,14 @@ def wide_view(ml: DataFrame, fields=("Weather_TIMESTAMP", "DryBulbCelsius", "Sky
     return ml.select(*cols)
 
 
+# null is written apart from empty text
+CSV_MARKS = {"nullValue": "<null>"}
+
+
 def _roundtrip_csv(spark, df, reader, name):
     path = scratch_path(spark, name)
-    CSV.write_csv(df, path)
-    return reader(spark, path)
+    CSV.write_csv(df, path, **CSV_MARKS)
+    return reader(spark, path, **CSV_MARKS)
 
 
 # --------------------------------------------------------------- sources/sinks
@@ -244,8 +237,19 @@ def src_chunks_union(c: Ctx):
     """Chunks written as separate directories and unioned by name."""
     path = scratch_path(c.spark, "ml-chunk-dirs")
     CH.write_chunks(c.ml, path)
-    dirs = [f"{path}/chunk={i}" for i in range(CH.N_CHUNKS)]
-    return wide_view(CH.read_chunk_dirs(c.spark, dirs))
+    return wide_view(CH.read_chunk_dirs(c.spark, CH.chunk_dirs(c.spark, path)))
+
+
+@_q
+def application(c: Ctx):
+    """Three CSV exports to a chunked learning table, read back from its
+    chunks."""
+    exports = {}
+    for name, df in (("flights", c.flights_raw), ("weather", c.weather_raw), ("stations", c.stations)):
+        exports[name] = scratch_path(c.spark, f"export-{name}")
+        CSV.write_csv(df, exports[name], **CSV_MARKS)
+    out = preprocess_csv(c.spark, *exports.values(), scratch_path(c.spark, "application-chunks"), **CSV_MARKS)
+    return wide_view(CH.read_chunks(c.spark, out))
 
 
 # --------------------------------------------------------------- cleaning
@@ -302,13 +306,12 @@ def cast_ids_string(c: Ctx):
 
 @_q
 def join_origin_station(c: Ctx):
-    return S.attach_station(c.fl_clean, c.stations, "origin", S.broadcast_if_small(c.stations))
+    return S.attach_station(c.fl_clean, c.stations, "origin")
 
 
 @_q
 def join_dest_station(c: Ctx):
-    m = S.broadcast_if_small(c.stations)
-    return S.attach_station(S.attach_station(c.fl_clean, c.stations, "origin", m), c.stations, "dest", m)
+    return S.attach_station(S.attach_station(c.fl_clean, c.stations, "origin"), c.stations, "dest")
 
 
 @_q
@@ -360,7 +363,7 @@ def join_obs_origin(c: Ctx):
 @_q
 def join_obs_dest(c: Ctx):
     """Origin-window trips ⋈ complete lists on (destination, arrival date)."""
-    return _obs_join(c, c.origin.select(*TRIP5), "DEST_AIRPORT_ID", "SCHEDULED_ARRIVAL_TIMESTAMP")
+    return _obs_join(c, c.origin, "DEST_AIRPORT_ID", "SCHEDULED_ARRIVAL_TIMESTAMP")
 
 
 @_q
@@ -370,13 +373,35 @@ def interval_window_origin(c: Ctx):
 
 @_q
 def interval_window_dest(c: Ctx):
-    return WN.window_summary(c.both, "WD_List")
+    return WN.window_summary(c.both, "WO_List", "WD_List")
+
+
+@_q
+def interval_filter(c: Ctx):
+    """Both windows by the interval predicate itself, on complete lists."""
+    return WN.window_summary(WN.attach_windows(c.trips, c.full_lists, complete=False), "WO_List", "WD_List")
 
 
 @_q
 def window_join_lag(c: Ctx):
     """Window-frame form of the two window joins (hour-grain equi-join)."""
-    return WN.window_summary(WN.attach_windows_frame(c.trips, c.obs), "WD_List")
+    return WN.window_summary(WN.attach_windows_frame(c.trips, c.obs), "WO_List", "WD_List")
+
+
+def _hours_window(c: Ctx, hours: int) -> DataFrame:
+    return WN.window_summary(PP.with_windows(c.prepared, hours=hours), "WO_List", "WD_List")
+
+
+@_q
+def window_6h(c: Ctx):
+    """Both windows, six hours long."""
+    return _hours_window(c, 6)
+
+
+@_q
+def window_24h(c: Ctx):
+    """Both windows, a whole day long."""
+    return _hours_window(c, 24)
 
 
 # --------------------------------------------------------------- aggregation
@@ -637,12 +662,6 @@ def assemble_vector(c: Ctx):
                      *[arr[i].alias(f"f{i}") for i in range(4)])
 
 
-@_q
-def feature_names(c: Ctx):
-    names = MD.feature_names(c.features)
-    return c.spark.createDataFrame(names, ["feature", "column_name"])
-
-
 @_q
 def vector_index(c: Ctx):
     """Number of categories per feature chosen by the vector indexer."""
@@ -652,46 +671,67 @@ def vector_index(c: Ctx):
 
 
 @_q
-def encode_features(c: Ctx):
+def encode_pipeline(c: Ctx):
     arr = vector_to_array(F.col(MD.FEATURES))
     return c.encoded.select(*[arr[i].alias(f"v{i}") for i in range(4)], "label")
 
 
 @_q
 def class_balance(c: Ctx):
-    return M.label_counts(MD.balance(c.encoded))
+    """Per label: rows before, whether balancing keeps all of them, and
+    whether what stays lies within five standard deviations of the smaller
+    class's size."""
+    before = M.label_counts(c.encoded).withColumnRenamed("count", "n_before")
+    after = M.label_counts(MD.balance(c.encoded)).select(F.col("label").alias("l"), F.col("count").alias("n_after"))
+    least = before.agg(F.min("n_before")).scalar()
+    return before.join(after, before.label == after.l).select(
+        "label", "n_before", (F.col("n_after") == F.col("n_before")).alias("kept_whole"),
+        (F.abs(F.col("n_after") - least) <= 5 * F.sqrt(least) + 1).alias("within_bound"))
 
 
 @_q
 def train_test_split(c: Ctx):
-    tr, te = MD.split(c.encoded)
-    return tr.select(F.lit("train").alias("part"), "label").unionByName(
-        te.select(F.lit("test").alias("part"), "label")).groupBy("part").count()
+    """Rows, rows in the two parts, and rows in both of them."""
+    rows = cut_lineage(c.encoded.withColumn("row", F.monotonically_increasing_id()))
+    train, test = (p.select("row") for p in MD.split(rows))
+    shared = train.join(test, "row").agg(F.count("*")).scalar()
+    parts = train.unionByName(test).agg(F.count("*")).scalar()
+    return rows.agg(F.count("*").alias("n_rows"), F.first(parts).alias("n_in_parts"), F.first(shared).alias("n_in_both"))
+
 
+TREES = 10
 
-def _small_forest(c: Ctx):
-    tr, te = MD.split(MD.balance(c.encoded))
-    model = MD.train_forest(tr, num_trees=5, max_depth=5)
-    return model, te
+
+def _forest(c: Ctx):
+    """A forest of the reference's settings on the balanced training part."""
+    train, _ = MD.split(MD.balance(c.encoded))
+    return MD.train_forest(train, TREES)
+
+
+def _scored(predictions: DataFrame) -> DataFrame:
+    """Rows of each label that got one of the two classes."""
+    return predictions.where(F.col("prediction").isin(0.0, 1.0)).groupBy("label").agg(F.count("*").alias("n_scored"))
 
 
 @_q
 def random_forest(c: Ctx):
-    model, _ = _small_forest(c)
-    imp = model.featureImportances.toArray().tolist()
-    return c.spark.createDataFrame([(i, float(v)) for i, v in enumerate(imp)], "feature int, importance double")
+    """Rows that the forest scores, its trees, and whether all of them keep
+    the asked depth."""
+    model = _forest(c)
+    kept = all(t.depth <= MD.FOREST_DEPTH for t in model.trees)
+    return model.transform(c.encoded).agg(F.count("prediction").alias("n_scored")).select(
+        "n_scored", F.lit(model.getNumTrees).alias("n_trees"), F.lit(kept).alias("depth_kept"))
 
 
 @_q
 def predict(c: Ctx):
-    model, te = _small_forest(c)
-    return model.transform(te).select("label", "prediction")
+    """Every row scored once, by label."""
+    return _scored(_forest(c).transform(c.encoded))
 
 
 @_q
 def auc(c: Ctx):
-    a = M.auc(c.fixture_pred)
-    return c.spark.createDataFrame([(float(a),)], "auc double").select(F.round("auc", 6).alias("auc"))
+    return M.hard_auc(c.fixture_pred).select(F.round("auc", 6).alias("auc"))
 
 
 @_q
@@ -703,14 +743,14 @@ def precision_recall_f1(c: Ctx):
 
 @_q
 def repartition_join_keys(c: Ctx):
-    df = PP.with_windows(c.prepared, colocate_partitions=8)
-    return WN.window_summary(df, "WD_List")
+    """Both joins hashed by (airport, date), lists as hash tables."""
+    return WN.window_summary(PP.with_windows(c.prepared, colocate=True), "WO_List", "WD_List")
 
 
 @_q
 def salted_window_join(c: Ctx):
     """Both window joins with the (airport, date) keys salted over 8 buckets."""
-    return WN.window_summary(PP.with_windows(c.prepared, salt=8), "WD_List")
+    return WN.window_summary(PP.with_windows(c.prepared, salt=8), "WO_List", "WD_List")
 
 
 @_q
@@ -723,23 +763,21 @@ def hot_key_salted_join(c: Ctx):
 
 @_q
 def persist_lists(c: Ctx):
-    df = PP.with_windows(c.prepared, persist_lists=True)
-    return WN.window_summary(df, "WD_List")
+    """Lists computed once, in a checkpoint that both joins read."""
+    return WN.window_summary(PP.with_windows(c.prepared, persist_lists=True), "WO_List", "WD_List")
 
 
 @_q
 def repartition_training(c: Ctx):
-    return MD.colocate(c.learn, 8, "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID").select(*LEARN_COLS)
+    return MD.colocate(c.learn.select(*LEARN_COLS), 8, "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", salt=4).select(*LEARN_COLS)
 
 
 # --------------------------------------------------------------- dormant options
 
 @_q
 def impute_zero(c: Ctx):
-    w = c.w_clean
-    return w.select("AIRPORT_ID", "Date", "Time",
-                    *[F.coalesce(F.col(x).cast("double"), F.lit(0.0)).alias(x)
-                      for x in ("DryBulbCelsius", "Visibility", "WindSpeed", "HourlyPrecip")])
+    """Missing measures as zero, one reading per minute."""
+    return W.impute_zero(c.weather_raw, c.airports)
 
 
 @_q
@@ -757,41 +795,45 @@ def weather_features(c: Ctx):
 
 @_q
 def forest_shards(c: Ctx):
-    tr, te = MD.split(MD.balance(c.encoded))
-    p = MD.train_sharded(tr, te, shards=3, num_trees=3, max_depth=4)
-    return p.select("label", "prediction")
+    """A forest per shard of the training rows scores its shard of all rows."""
+    train, _ = MD.split(MD.balance(c.encoded))
+    return _scored(MD.train_sharded(train, c.encoded, shards=3, num_trees=TREES))
+
+
+GRID = {"num_trees": [2, 4], "depths": [3, 5], "min_instances": [10, 20]}
 
 
 def _grid(c: Ctx):
-    tr, _te = MD.split(MD.balance(c.encoded))
-    return MD.grid_search(tr, num_trees=[2, 4], depths=[3], min_instances=[20], folds=2, parallelism=2)
+    train, _ = MD.split(MD.balance(c.encoded))
+    return MD.grid_search(train, **GRID, folds=3, parallelism=2)
 
 
 @_q
 def grid_search(c: Ctx):
-    """Cross-validated grid (trees x depth x min instances), mean AUC each."""
+    """Every point of the cross-validated grid, and whether it got a mean AUC."""
     cv = _grid(c)
     rows = []
     for pm, metric in zip(cv.getEstimatorParamMaps(), cv.avgMetrics):
-        d = {p.name: v for p, v in pm.items()}
-        rows.append((int(d["numTrees"]), int(d["maxDepth"]), int(d["minInstancesPerNode"]), float(metric)))
-    return c.spark.createDataFrame(rows, "numTrees int, maxDepth int, minInstancesPerNode int, auc double")
+        d = {p.name: int(v) for p, v in pm.items()}
+        rows.append((d["numTrees"], d["maxDepth"], d["minInstancesPerNode"], bool(0.0 <= metric <= 1.0)))
+    return c.spark.createDataFrame(rows, "numTrees int, maxDepth int, minInstancesPerNode int, scored boolean")
 
 
 @_q
 def best_params(c: Ctx):
-    """Grid point with the best mean metric."""
-    b = MD.best_params(_grid(c))
-    return c.spark.createDataFrame([(int(b["numTrees"]), int(b["maxDepth"]), int(b["minInstancesPerNode"]),
-                                     float(b["metric"]))],
-                                   "numTrees int, maxDepth int, minInstancesPerNode int, auc double")
+    """Whether the winner is a grid point and no other has a better mean."""
+    cv = _grid(c)
+    b = MD.best_params(cv)
+    in_grid = (b["numTrees"] in GRID["num_trees"] and b["maxDepth"] in GRID["depths"]
+               and b["minInstancesPerNode"] in GRID["min_instances"])
+    return c.spark.createDataFrame([(bool(in_grid), bool(b["metric"] == max(cv.avgMetrics)))],
+                                   "in_grid boolean, is_best boolean")
 
 
 @_q
 def ml_table(c: Ctx):
     """The full learning table (scalar view of every field)."""
-    return wide_view(c.ml, ("Weather_TIMESTAMP", "DryBulbCelsius", "SkyCondition", "Visibility",
-                            "WindSpeed", "WeatherType", "HourlyPrecip"))
+    return wide_view(c.ml)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -801,6 +843,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_schema": conform_schema,
     "sink_chunks": sink_chunks,
     "src_chunks_union": src_chunks_union,
+    "application": application,
     "fill_nulls": fill_nulls,
     "drop_null_rows": drop_null_rows,
     "filter_operated": filter_operated,
@@ -820,7 +863,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_obs_dest": join_obs_dest,
     "interval_window_origin": interval_window_origin,
     "interval_window_dest": interval_window_dest,
+    "interval_filter": interval_filter,
     "window_join_lag": window_join_lag,
+    "window_6h": window_6h,
+    "window_24h": window_24h,
     "distinct_airports": distinct_airports,
     "union_distinct": union_distinct,
     "count_airports": count_airports,
@@ -861,9 +907,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "columns_by_type": columns_by_type,
     "string_index": string_index,
     "assemble_vector": assemble_vector,
-    "feature_names": feature_names,
     "vector_index": vector_index,
-    "encode_features": encode_features,
+    "encode_pipeline": encode_pipeline,
     "class_balance": class_balance,
     "train_test_split": train_test_split,
     "random_forest": random_forest,

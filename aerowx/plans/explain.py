@@ -19,7 +19,7 @@ from aerowx.sources import fixtures as FX
 def final_plan(df) -> tuple[int, str]:
     """Run ``df`` through its own query execution (so the adaptive plan is
     finalized) and return (rows, formatted plan)."""
-    rows = len(df.collect())
+    rows = df._jdf.queryExecution().toRdd().count()  # counted on the executors
     mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     return rows, df._jdf.queryExecution().explainString(mode)
 

@@ -20,13 +20,17 @@ CODES = ["RA", "SN", "FG", "FG+", "WIND", "FZDZ", "FZRA", "MIFG", "FZFG"]
 
 PREFIX = r"""
 WITH tz AS (
-  SELECT cast(n_nationkey AS INTEGER) AS AirportID, cast(10000 + n_nationkey AS INTEGER) AS WBAN,
-         cast(-5 - (n_nationkey % 4) AS DOUBLE) AS TimeZone
-  FROM nation),
+  SELECT cast(s_suppkey AS INTEGER) AS AirportID, cast(10000 + s_suppkey AS INTEGER) AS WBAN,
+         cast(-5 - (s_nationkey % 4) AS DOUBLE) AS TimeZone
+  FROM supplier),
+n_stations AS (SELECT count(*) AS n_st FROM supplier),
+placed AS (
+  SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE (o_custkey + c_nationkey) % n_st END AS origin
+  FROM orders JOIN customer ON o_custkey = c_custkey, n_stations),
 flights_raw AS (
   SELECT cast(DATE '2024-01-02' + cast(o_orderkey % 28 AS INTEGER) AS DATE) AS FL_DATE,
-         cast(c_nationkey AS INTEGER) AS ORIGIN_AIRPORT_ID,
-         cast((c_nationkey + 1 + o_orderkey % 24) % 25 AS INTEGER) AS DEST_AIRPORT_ID,
+         cast(origin AS INTEGER) AS ORIGIN_AIRPORT_ID,
+         cast((origin + 1 + o_orderkey % (n_st - 1)) % n_st AS INTEGER) AS DEST_AIRPORT_ID,
          cast(((o_orderkey * 7) % 24) * 100 + (o_orderkey * 13) % 60 AS INTEGER) AS CRS_DEP_TIME,
          CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE cast(45 + o_orderkey % 400 AS DOUBLE) END AS CRS_ELAPSED_TIME,
          CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE cast(cast(floor(o_totalprice) AS BIGINT) % 60 AS DOUBLE) END AS ARR_DELAY_NEW,
@@ -34,11 +38,11 @@ flights_raw AS (
          CASE WHEN o_orderkey % 11 = 0 THEN cast(o_orderkey % 45 AS DOUBLE) END AS NAS_DELAY,
          cast(CASE WHEN o_orderkey % 41 = 0 THEN 1 ELSE 0 END AS INTEGER) AS CANCELLED,
          cast(CASE WHEN o_orderkey % 83 = 0 THEN 1 ELSE 0 END AS INTEGER) AS DIVERTED
-  FROM orders JOIN customer ON o_custkey = c_custkey),
+  FROM placed),
 grid AS (
-  SELECT cast(n_nationkey AS INTEGER) AS n, cast(h AS INTEGER) AS h
-  FROM nation, range(0, 720) t(h)
-  WHERE (h * 131 + n_nationkey * 977) % 509 <> 0),
+  SELECT cast(s_suppkey AS INTEGER) AS n, cast(h AS INTEGER) AS h
+  FROM supplier, range(0, 720) t(h)
+  WHERE (h * 131 + s_suppkey * 977) % 509 <> 0),
 grid_readings AS (
   SELECT cast(10000 + n AS INTEGER) AS WBAN, cast(20240101 + h // 24 AS INTEGER) AS "Date",
          cast((h % 24) * 100 + (h * 11 + n * 17) % 60 AS INTEGER) AS "Time",
@@ -51,12 +55,12 @@ grid_readings AS (
               WHEN 4 THEN 'FZFG' WHEN 5 THEN 'SN BR' ELSE '' END AS WeatherType,
          CASE (h + n * 2) % 13 WHEN 0 THEN 'T' WHEN 1 THEN ' ' WHEN 2 THEN NULL
               ELSE CASE (h + n) % 4 WHEN 0 THEN '0.25' WHEN 1 THEN '0.5' WHEN 2 THEN '0.75' ELSE '1.5' END
-         END AS HourlyPrecip
+         END AS HourlyPrecip,
+         CASE WHEN (h + n * 3) % 31 = 0 THEN 'VR' ELSE cast((h * 10 + n) % 360 AS VARCHAR) END AS WindDirection,
+         CASE WHEN (h + n) % 43 = 0 THEN 'M' ELSE cast(cast(28 + (h + n) % 4 * 0.25 AS DECIMAL(4, 2)) AS VARCHAR) END AS StationPressure
   FROM grid),
 ev AS (
-  SELECT ts, event_type, value, cast(user_id % 25 AS INTEGER) AS n,
-         date_diff('day', DATE '2024-01-01', cast(ts AS DATE)) * 24 + hour(ts) AS h
-  FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31'),
+  SELECT ts, event_type, value, cast(user_id % (SELECT count(*) FROM supplier) AS INTEGER) AS n FROM events),
 event_readings AS (
   SELECT cast(10000 + n AS INTEGER) AS WBAN,
          cast(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS "Date",
@@ -67,8 +71,10 @@ event_readings AS (
          cast(cast(floor(value) AS BIGINT) % 11 AS VARCHAR) AS Visibility,
          CASE WHEN event_type = 'signup' THEN 'VR' ELSE cast(cast(floor(value * 3) AS BIGINT) % 30 AS VARCHAR) END AS WindSpeed,
          CASE event_type WHEN 'error' THEN 'TS RA' WHEN 'purchase' THEN 'FZRA' ELSE 'M' END AS WeatherType,
-         CASE WHEN event_type = 'view' THEN 'T' ELSE '0.5' END AS HourlyPrecip
-  FROM ev WHERE (h * 131 + n * 977) % 509 <> 0),
+         CASE WHEN event_type = 'view' THEN 'T' ELSE '0.5' END AS HourlyPrecip,
+         CASE WHEN event_type = 'click' THEN NULL ELSE cast(cast(floor(value * 7) AS BIGINT) % 360 AS VARCHAR) END AS WindDirection,
+         CASE WHEN event_type = 'error' THEN 'M' ELSE '29.5' END AS StationPressure
+  FROM ev),
 weather_raw AS (SELECT * FROM grid_readings UNION ALL SELECT * FROM event_readings),
 fl_clean AS (
   SELECT DISTINCT FL_DATE, ORIGIN_AIRPORT_ID, DEST_AIRPORT_ID, CRS_DEP_TIME, CRS_ELAPSED_TIME,
@@ -197,14 +203,40 @@ confusion AS (
 TRIP5 = "ORIGIN_AIRPORT_ID, DEST_AIRPORT_ID, CRS_DEP_TIMESTAMP, SCHEDULED_ARRIVAL_TIMESTAMP, ARR_DELAY_NEW"
 
 
-def _summary(rows_cte: str, trips_cte: str = "t_both") -> str:
+def _summary(trips_cte: str, **sides: str) -> str:
+    """Scalars of the window rows of each side (``wo`` / ``wd`` -> CTE)."""
+    cols = ", ".join(f"{s}_n_obs, {s}_first_obs_ts, {s}_last_obs_ts, {s}_sum_temp, {s}_sky_seq" for s in sides)
+    joins = "".join(f"""
+JOIN (SELECT tid, count(*) AS {s}_n_obs, min(Weather_TIMESTAMP) AS {s}_first_obs_ts,
+             max(Weather_TIMESTAMP) AS {s}_last_obs_ts, round(sum(DryBulbCelsius), 6) AS {s}_sum_temp,
+             string_agg(SkyCondition, ',' ORDER BY Weather_TIMESTAMP) AS {s}_sky_seq
+      FROM {rows} GROUP BY tid) {s} ON {s}.tid = t.tid""" for s, rows in sides.items())
     return f"""
 SELECT t.ORIGIN_AIRPORT_ID, t.DEST_AIRPORT_ID, t.CRS_DEP_TIMESTAMP, t.SCHEDULED_ARRIVAL_TIMESTAMP, t.ARR_DELAY_NEW,
-       count(*) AS n_obs, min(w.Weather_TIMESTAMP) AS first_obs_ts, max(w.Weather_TIMESTAMP) AS last_obs_ts,
-       round(sum(w.DryBulbCelsius), 6) AS sum_temp,
-       string_agg(w.SkyCondition, ',' ORDER BY w.Weather_TIMESTAMP) AS sky_seq
-FROM {trips_cte} t JOIN {rows_cte} w ON t.tid = w.tid
-GROUP BY t.tid, t.ORIGIN_AIRPORT_ID, t.DEST_AIRPORT_ID, t.CRS_DEP_TIMESTAMP, t.SCHEDULED_ARRIVAL_TIMESTAMP, t.ARR_DELAY_NEW"""
+       {cols}
+FROM {trips_cte} t{joins}"""
+
+
+BOTH = _summary("t_both", wo="wo_rows", wd="wd_rows")
+
+
+def _hours_sql(hours: int) -> str:
+    """Both windows of another length."""
+    def rows(side, t):
+        return f"""
+  SELECT t.tid, o.* FROM th_both t JOIN obs o ON o.AIRPORT_ID = t.{side}_AIRPORT_ID
+   AND o.Weather_TIMESTAMP > t.{t} - INTERVAL {hours} HOUR AND o.Weather_TIMESTAMP <= t.{t}"""
+    return f""", keys_h AS (
+  SELECT o.*, cast(Weather_TIMESTAMP AS DATE) AS obs_date FROM obs o
+  UNION ALL
+  SELECT o.*, cast(Weather_TIMESTAMP AS DATE) + 1 FROM obs o WHERE hour(Weather_TIMESTAMP) >= {24 - hours}),
+full_h AS (SELECT AIRPORT_ID, obs_date FROM keys_h GROUP BY ALL HAVING count(*) = {24 + hours}),
+th_both AS (
+  SELECT t.* FROM trips_id t
+  JOIN full_h d ON t.ORIGIN_AIRPORT_ID = d.AIRPORT_ID AND cast(t.CRS_DEP_TIMESTAMP AS DATE) = d.obs_date
+  JOIN full_h e ON t.DEST_AIRPORT_ID = e.AIRPORT_ID AND cast(t.SCHEDULED_ARRIVAL_TIMESTAMP AS DATE) = e.obs_date),
+wo_h AS ({rows("ORIGIN", "CRS_DEP_TIMESTAMP")}),
+wd_h AS ({rows("DEST", "SCHEDULED_ARRIVAL_TIMESTAMP")})""" + _summary("th_both", wo="wo_h", wd="wd_h")
 
 
 # origin-only window rows (trips whose origin day is complete)
@@ -215,7 +247,7 @@ _WO_ORIGIN_ONLY = """, wo1 AS (
    AND o.Weather_TIMESTAMP <= t.CRS_DEP_TIMESTAMP)"""
 
 
-def _wide_select(fields=("Weather_TIMESTAMP", "DryBulbCelsius", "SkyCondition")) -> str:
+def _wide_select(fields=tuple(W_FIELDS[1:])) -> str:
     """Scalar view of the widened table: per window column, chosen fields."""
     parts = []
     for side, rows in (("WO", "wo_rows"), ("WD", "wd_rows")):
@@ -227,7 +259,7 @@ def _wide_select(fields=("Weather_TIMESTAMP", "DryBulbCelsius", "SkyCondition"))
     return ",\n  ".join(parts)
 
 
-def wide_sql(fields=("Weather_TIMESTAMP", "DryBulbCelsius", "SkyCondition")) -> str:
+def wide_sql(fields=tuple(W_FIELDS[1:])) -> str:
     return f"""
 SELECT t.ORIGIN_AIRPORT_ID, t.DEST_AIRPORT_ID, t.CRS_DEP_TIMESTAMP, t.SCHEDULED_ARRIVAL_TIMESTAMP,
        t.ARR_DELAY_NEW AS Class,
@@ -340,11 +372,7 @@ LEARN_COLS = ("ORIGIN_AIRPORT_ID, DEST_AIRPORT_ID, Hour_SO, Hour_SA, Month_SO, M
 BODIES: dict[str, str] = {
     # ---- sources and sinks
     "src_flights_csv": "SELECT * FROM flights_raw",
-    # CSV has one spelling for null and empty text: empty fields read as null
-    "src_weather_csv": """SELECT WBAN, "Date", "Time", nullif(DryBulbCelsius, '') AS DryBulbCelsius,
-        nullif(SkyCondition, '') AS SkyCondition, nullif(Visibility, '') AS Visibility,
-        nullif(WindSpeed, '') AS WindSpeed, nullif(WeatherType, '') AS WeatherType,
-        nullif(HourlyPrecip, '') AS HourlyPrecip FROM weather_raw""",
+    "src_weather_csv": "SELECT * FROM weather_raw",
     "src_stations_csv": "SELECT * FROM tz",
     "conform_schema": f"SELECT {TRIP5} FROM trips",
     "sink_chunks": wide_sql(),
@@ -380,9 +408,12 @@ BODIES: dict[str, str] = {
         round(HourlyPrecip, 6) AS HourlyPrecip FROM w_hour""",
     "join_obs_origin": f"""SELECT {TRIP5}, cast(36 AS BIGINT) AS n_list FROM t_origin""",
     "join_obs_dest": f"""SELECT {TRIP5}, cast(36 AS BIGINT) AS n_list FROM t_both""",
-    "interval_window_origin": _WO_ORIGIN_ONLY + _summary("wo1", "t_origin"),
-    "interval_window_dest": _summary("wd_rows"),
-    "window_join_lag": _summary("wd_rows"),
+    "interval_window_origin": _WO_ORIGIN_ONLY + _summary("t_origin", wo="wo1"),
+    "interval_filter": BOTH,
+    "window_6h": _hours_sql(6),
+    "window_24h": _hours_sql(24),
+    "interval_window_dest": BOTH,
+    "window_join_lag": BOTH,
     # ---- aggregation, sorting, sets
     "distinct_airports": """SELECT DISTINCT 'origin' AS side, ORIGIN_AIRPORT_ID AS AIRPORT_ID, ORIGIN_WBAN AS F_WBAN FROM fl_st
         UNION ALL SELECT DISTINCT 'dest', DEST_AIRPORT_ID, DEST_WBAN FROM fl_st""",
@@ -448,7 +479,7 @@ BODIES: dict[str, str] = {
         UNION ALL SELECT 1, count(DISTINCT f1) FROM assembled
         UNION ALL SELECT 2, count(DISTINCT f2) FROM assembled
         UNION ALL SELECT 3, count(DISTINCT f3) FROM assembled""",
-    "encode_features": """SELECT cast(dense_rank() OVER (ORDER BY f0) - 1 AS DOUBLE) AS v0,
+    "encode_pipeline": """SELECT cast(dense_rank() OVER (ORDER BY f0) - 1 AS DOUBLE) AS v0,
         cast(dense_rank() OVER (ORDER BY f1) - 1 AS DOUBLE) AS v1,
         cast(dense_rank() OVER (ORDER BY f2) - 1 AS DOUBLE) AS v2,
         cast(dense_rank() OVER (ORDER BY f3) - 1 AS DOUBLE) AS v3, Target AS label FROM assembled""",
@@ -456,22 +487,47 @@ BODIES: dict[str, str] = {
         FROM (SELECT cast(tp AS DOUBLE) tp, cast(fp AS DOUBLE) fp, cast(fn AS DOUBLE) fn, cast(tn AS DOUBLE) tn FROM confusion)""",
     "precision_recall_f1": """SELECT round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1
         FROM (SELECT cast(tp AS DOUBLE) / (tp + fp) AS p, cast(tp AS DOUBLE) / (tp + fn) AS r FROM confusion)""",
+    # ---- model steps: what holds of every run, from the rows
+    "class_balance": """SELECT Target AS label, count(*) AS n_before,
+        row_number() OVER (ORDER BY count(*) DESC, Target) = 2 AS kept_whole, TRUE AS within_bound
+        FROM learn_base GROUP BY Target""",
+    "train_test_split": "SELECT count(*) AS n_rows, count(*) AS n_in_parts, 0::BIGINT AS n_in_both FROM assembled",
+    "random_forest": "SELECT count(*) AS n_scored, 10 AS n_trees, TRUE AS depth_kept FROM assembled",
+    "predict": "SELECT Target AS label, count(*) AS n_scored FROM assembled GROUP BY Target",
+    "forest_shards": "SELECT Target AS label, count(*) AS n_scored FROM assembled GROUP BY Target",
+    "grid_search": """SELECT t AS "numTrees", d AS "maxDepth", m AS "minInstancesPerNode", TRUE AS scored
+        FROM unnest([2, 4]) a(t), unnest([3, 5]) b(d), unnest([10, 20]) c(m)""",
+    "best_params": "SELECT TRUE AS in_grid, TRUE AS is_best",
+    "application": wide_sql(),
     # ---- physical controls
-    "repartition_join_keys": _summary("wd_rows"),
-    "persist_lists": _summary("wd_rows"),
-    "salted_window_join": _summary("wd_rows"),
-    "hot_key_salted_join": _WO_ORIGIN_ONLY + _summary("wo1", "t_origin"),
+    "repartition_join_keys": BOTH,
+    "persist_lists": BOTH,
+    "salted_window_join": BOTH,
+    "hot_key_salted_join": _WO_ORIGIN_ONLY + _summary("t_origin", wo="wo1"),
     "repartition_training": f"SELECT {LEARN_COLS} FROM learn_base",
     # ---- dormant options
-    "impute_zero": """SELECT AIRPORT_ID, "Date", "Time", coalesce(DryBulbCelsius, 0) AS DryBulbCelsius,
-        coalesce(Visibility, 0) AS Visibility, coalesce(cast(WindSpeed AS DOUBLE), 0) AS WindSpeed,
-        coalesce(HourlyPrecip, 0) AS HourlyPrecip FROM w_clean""",
+    # raw text straight to numbers, what does not parse (VR too) to 0, one row per minute
+    "impute_zero": """, zero AS (
+        SELECT a.AIRPORT_ID, r."Date", r."Time", cast("Time" // 100 AS INTEGER) AS Time_hh,
+               cast("Time" % 100 AS INTEGER) AS Time_mm,
+               coalesce(TRY_CAST(r.DryBulbCelsius AS DOUBLE), 0) AS DryBulbCelsius,
+               CASE WHEN r.SkyCondition = 'M' THEN '' ELSE r.SkyCondition END AS SkyCondition,
+               coalesce(TRY_CAST(r.Visibility AS DOUBLE), 0) AS Visibility,
+               cast(coalesce(trunc(TRY_CAST(r.WindDirection AS DOUBLE)), 0) AS INTEGER) AS WindDirection,
+               cast(coalesce(trunc(TRY_CAST(r.WindSpeed AS DOUBLE)), 0) AS INTEGER) AS WindSpeed,
+               CASE WHEN r.WeatherType = 'M' THEN '' ELSE r.WeatherType END AS WeatherType,
+               coalesce(TRY_CAST(r.StationPressure AS DOUBLE), 0) AS StationPressure
+        FROM weather_raw r JOIN airports a ON r.WBAN = a.F_WBAN)
+      SELECT AIRPORT_ID, "Date", "Time", Time_hh, Time_mm, DryBulbCelsius, SkyCondition, Visibility, WindDirection,
+             WindSpeed, WeatherType, StationPressure
+      FROM (SELECT *, row_number() OVER (PARTITION BY AIRPORT_ID, "Date", Time_hh, Time_mm
+              ORDER BY DryBulbCelsius, SkyCondition NULLS FIRST, Visibility, WindDirection, WindSpeed,
+                       WeatherType NULLS FIRST, StationPressure, "Time") AS rn FROM zero) WHERE rn = 1""",
     "weather_type_closed": """SELECT AIRPORT_ID, "Date", "Time",
         CASE WHEN WeatherType IN ('RA', 'SN', 'FG', 'FG+', 'WIND', 'FZDZ', 'FZRA', 'MIFG', 'FZFG') THEN WeatherType
              ELSE 'OTHER' END AS WeatherType FROM w_clean""",
     "weather_features": weather_features_sql(),
-    "ml_table": wide_sql(("Weather_TIMESTAMP", "DryBulbCelsius", "SkyCondition", "Visibility",
-                          "WindSpeed", "WeatherType", "HourlyPrecip")),
+    "ml_table": wide_sql(),
 }
 
 

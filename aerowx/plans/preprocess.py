@@ -10,13 +10,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from aerowx.operators.clean import dedup, operated_trips
 from aerowx.operators.observations import complete_lists
 from aerowx.operators.schedule import schedule
-from aerowx.operators.stations import all_airports, attach_stations, is_small
+from aerowx.operators.stations import all_airports, attach_stations
 from aerowx.operators.weather import hourly_observations
+from aerowx.session import cut_lineage
 from aerowx.operators.windows import (attach_window, attach_windows,
                                       attach_windows_frame, widen, ORIGIN)
 
@@ -30,48 +30,42 @@ class Prepared:
 
 def prepare(flights_raw: DataFrame, weather_raw: DataFrame, stations: DataFrame,
             keep: list[str] | None = None, weather_partitions: int | None = None) -> Prepared:
-    """Trip records, served airports and hourly observations.
-
-    The station map is size-checked once; when it is small it is broadcast
-    to both map joins, and the served-airport set (a subset of it) is
-    broadcast to the readings."""
-    small = is_small(stations)
-    m = F.broadcast(stations) if small else stations
+    """Trip records, served airports and hourly observations.  Spark and AQE
+    pick the joins by the measured bytes of the map and the served set."""
     operated = operated_trips(flights_raw)
-    ft = attach_stations(dedup(operated), stations, small_map=m)
+    ft = attach_stations(dedup(operated), stations)
     # exact-duplicate removal cannot change the set of (airport, station)
     # pairs, so the served set is taken before the dedup: a scan plus a
     # map-side partial distinct, instead of waiting on the full trip shuffle
     pairs = operated.select("ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID")
-    airports = all_airports(attach_stations(pairs, stations, small_map=m))
+    airports = all_airports(attach_stations(pairs, stations))
     trips = schedule(ft, keep=keep)
-    obs = hourly_observations(weather_raw, airports, weather_partitions, small_airports=small)
+    obs = hourly_observations(weather_raw, airports, weather_partitions)
     return Prepared(trips, airports, obs)
 
 
 def with_windows(p: Prepared, method: str = "list", hours: int = 12,
-                 colocate_partitions: int | None = None, persist_lists: bool = False,
+                 colocate: bool = False, persist_lists: bool = False,
                  salt: int = 0) -> DataFrame:
     """Trips with both windows (``WO_List``, ``WD_List``).
 
-    ``method`` = ``"list"`` (bucketed equi-join + interval filter) or
-    ``"frame"`` (hour-grain window frame).  ``colocate_partitions`` hashes
-    both join sides by (airport, date) into that many partitions; the
-    default leaves partitioning to AQE.
+    ``method`` = ``"list"`` (bucketed equi-join + interval slice) or
+    ``"frame"`` (hour-grain window frame).  ``colocate`` has Spark hash both
+    sides of both joins by (airport, date) and build a hash table of the lists
+    per partition, so trips are not sorted.  ``persist_lists`` checkpoints the
+    lists in the shared folder: both joins read one computation, and each join
+    has exchanges of its own on both sides, which AQE splits at a hot key.
+    (Otherwise the lists' aggregation shares the join's exchange, and a hot key
+    needs ``salt``.)
     """
     if method == "frame":
         return attach_windows_frame(p.trips, p.observations, hours)
     lists = complete_lists(p.observations, hours)
-    trips = p.trips
-    if colocate_partitions:
-        # hash both sides of the origin join by the same keys into the same
-        # number of partitions: the join then plans no further exchange
-        n = colocate_partitions
-        lists = lists.repartition(n, "AIRPORT_ID", "obs_date")
-        trips = trips.repartition(n, F.col("ORIGIN_AIRPORT_ID"), F.to_date("CRS_DEP_TIMESTAMP"))
     if persist_lists:
-        lists = lists.persist()
-    return attach_windows(trips, lists, hours, salt=salt)
+        lists = cut_lineage(lists)
+    if colocate:
+        lists = lists.hint("shuffle_hash")
+    return attach_windows(p.trips, lists, hours, salt=salt)
 
 
 def origin_windows(p: Prepared, hours: int = 12) -> DataFrame:

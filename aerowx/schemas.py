@@ -36,6 +36,8 @@ WEATHER_RAW = T.StructType([
     T.StructField("WindSpeed", T.StringType()),
     T.StructField("WeatherType", T.StringType()),
     T.StructField("HourlyPrecip", T.StringType()),
+    T.StructField("WindDirection", T.StringType()),
+    T.StructField("StationPressure", T.StringType()),
 ])
 
 # airport -> station, time zone (hours from UTC)

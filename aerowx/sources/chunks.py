@@ -51,6 +51,13 @@ def read_chunks(spark: SparkSession, path: str, chunks: list[int] | None = None)
     return df.drop("chunk")
 
 
+def chunk_dirs(spark: SparkSession, path: str) -> list[str]:
+    """The chunk folders that a written table has (a chunk without rows has
+    none); at most ``n`` numbers reach the driver."""
+    found = spark.read.parquet(path).select("chunk").distinct().collect()
+    return [f"{path}/chunk={r.chunk}" for r in sorted(found)]
+
+
 def read_chunk_dirs(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Union of separately written chunk directories (reference layout)."""
     return reduce(DataFrame.unionByName, [spark.read.parquet(p) for p in paths])

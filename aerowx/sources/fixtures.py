@@ -1,14 +1,16 @@
 """Adapters that derive trips, station readings and the station map from the
 driver's tables, so every query's work grows with the scale factor.
 
-* station map: one airport per ``nation`` row.
-* trips: one per ``orders`` row, origin = the customer's nation.
-* readings: measures are small integers or quarters, so sums (and hence
-  means) are exact in any summation order;
+* station map: one airport per ``supplier`` row.
+* trips: one per ``orders`` row; every third leaves from one hub, the others
+  from the station that the customer's key and nation name.
 * readings: an hourly grid per station (with gaps that make some days
-  incomplete) plus one extra reading per ``events`` row (extra readings in
-  the same hours, at other minutes, with their own sentinels).  Event
-  readings never fall into a grid gap, so completeness is decided by the grid.
+  incomplete) plus one extra reading per ``events`` row, at any hour (an
+  event may fill a gap), with its own sentinels.  Measures are small integers
+  or quarters, so sums (and hence means) are exact in any summation order.
+
+Every row of the base tables is used; stations, lists and trips all grow with
+the scale factor, and the hub is a hot key at every size.
 
 The same derivations exist as SQL CTEs in ``aerowx.plans.oracle``; keep the
 two in step.
@@ -16,7 +18,8 @@ two in step.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aerowx.schemas import FLIGHTS_RAW, STATIONS_RAW, WEATHER_RAW
 
@@ -25,7 +28,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 GRID_HOURS = 720          # 2024-01-01 00:00 .. 2024-01-30 23:00
-GRID_START = "2024-01-01"
 FIRST_FLIGHT_DATE = "2024-01-02"
 
 
@@ -48,16 +50,21 @@ GAP = "(h * 131 + n * 977) % 509 = 0"    # station has no report in hour h
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").selectExpr(
-        "cast(n_nationkey AS int) AS AirportID",
-        "cast(10000 + n_nationkey AS int) AS WBAN",
-        "cast(-5 - n_nationkey % 4 AS double) AS TimeZone")
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "cast(s_suppkey AS int) AS AirportID",
+        "cast(10000 + s_suppkey AS int) AS WBAN",
+        "cast(-5 - s_nationkey % 4 AS double) AS TimeZone")
+
+
+def _n_stations(spark: SparkSession, sf_dir: str) -> Column:
+    """The number of stations, as a scalar subquery."""
+    return table(spark, sf_dir, "supplier").agg(F.count(F.lit(1))).scalar()
 
 
 FLIGHT_EXPRS = [
     f"date_add(DATE'{FIRST_FLIGHT_DATE}', cast(o_orderkey % 28 AS int)) AS FL_DATE",
-    "cast(c_nationkey AS int) AS ORIGIN_AIRPORT_ID",
-    "cast((c_nationkey + 1 + o_orderkey % 24) % 25 AS int) AS DEST_AIRPORT_ID",
+    "cast(origin AS int) AS ORIGIN_AIRPORT_ID",
+    "cast((origin + 1 + o_orderkey % (n_stations - 1)) % n_stations AS int) AS DEST_AIRPORT_ID",
     "cast(((o_orderkey * 7) % 24) * 100 + (o_orderkey * 13) % 60 AS int) AS CRS_DEP_TIME",
     "CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE cast(45 + o_orderkey % 400 AS double) END AS CRS_ELAPSED_TIME",
     "CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE cast(floor(o_totalprice) % 60 AS double) END AS ARR_DELAY_NEW",
@@ -71,7 +78,9 @@ FLIGHT_EXPRS = [
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    df = o.join(c, o.o_custkey == c.c_custkey, "inner")
+    df = o.join(c, o.o_custkey == c.c_custkey, "inner").withColumn("n_stations", _n_stations(spark, sf_dir))
+    df = df.withColumn("origin", F.expr(
+        "CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE (o_custkey + c_nationkey) % n_stations END"))
     return df.selectExpr(*FLIGHT_EXPRS).select(*[f.name for f in FLIGHTS_RAW.fields])
 
 
@@ -89,13 +98,15 @@ GRID_EXPRS = [
     "CASE (h + n * 2) % 13 WHEN 0 THEN 'T' WHEN 1 THEN ' ' WHEN 2 THEN NULL "
     "ELSE CASE (h + n) % 4 WHEN 0 THEN '0.25' WHEN 1 THEN '0.5' WHEN 2 THEN '0.75' ELSE '1.5' END "
     "END AS HourlyPrecip",
+    "CASE WHEN (h + n * 3) % 31 = 0 THEN 'VR' ELSE cast((h * 10 + n) % 360 AS string) END AS WindDirection",
+    "CASE WHEN (h + n) % 43 = 0 THEN 'M' ELSE cast(28 + (h + n) % 4 * 0.25 AS string) END AS StationPressure",
 ]
 
 
 def _grid_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a generator, not a cross join: each station row emits its hours
-    return (table(spark, sf_dir, "nation")
-            .selectExpr("n_nationkey AS n", f"explode(sequence(0, {GRID_HOURS - 1})) AS h")
+    return (table(spark, sf_dir, "supplier")
+            .selectExpr("s_suppkey AS n", f"explode(sequence(0, {GRID_HOURS - 1})) AS h")
             .where(f"NOT ({GAP})").selectExpr(*GRID_EXPRS))
 
 
@@ -110,15 +121,14 @@ EVENT_EXPRS = [
     "CASE WHEN event_type = 'signup' THEN 'VR' ELSE cast(floor(value * 3) % 30 AS string) END AS WindSpeed",
     "CASE event_type WHEN 'error' THEN 'TS RA' WHEN 'purchase' THEN 'FZRA' ELSE 'M' END AS WeatherType",
     "CASE WHEN event_type = 'view' THEN 'T' ELSE '0.5' END AS HourlyPrecip",
+    "CASE WHEN event_type = 'click' THEN NULL ELSE cast(floor(value * 7) % 360 AS string) END AS WindDirection",
+    "CASE WHEN event_type = 'error' THEN 'M' ELSE '29.5' END AS StationPressure",
 ]
 
 
 def _event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (table(spark, sf_dir, "events")
-            .where(f"ts >= TIMESTAMP_NTZ'{GRID_START} 00:00:00' AND ts < TIMESTAMP_NTZ'2024-01-31 00:00:00'")
-            .selectExpr("ts", "event_type", "value", "cast(user_id % 25 AS int) AS n",
-                        f"datediff(to_date(ts), DATE'{GRID_START}') * 24 + hour(ts) AS h")
-            .where(f"NOT ({GAP})").selectExpr(*EVENT_EXPRS))
+    events = table(spark, sf_dir, "events").withColumn("n_stations", _n_stations(spark, sf_dir))
+    return events.selectExpr("ts", "event_type", "value", "user_id % n_stations AS n").selectExpr(*EVENT_EXPRS)
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:

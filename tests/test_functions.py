@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from aerowx.functions.timecols import to_seconds
 from aerowx.functions import (arrival_ts, departure_ts, observation_dates,
                               precip, sky_condition, split_hhmm, weather_ts,
                               week_of_month, wind_speed, weather_type)
@@ -110,3 +111,10 @@ def test_wall_clock_independent_of_session_zone(spark, tz):
         assert got == [dt.datetime(2024, 3, 10, 2, 30)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_numbers_out_of_range_give_null(spark):
+    df = spark.createDataFrame([("NaN",), ("1e12",), ("VR",), ("7.9",)], "t string")
+    assert [r[0] for r in df.select(wind_speed("t")).collect()] == [None, None, -1, 7]
+    df = spark.createDataFrame([(float("nan"),), (1e300,), (1.5,)], "d double")
+    assert [r[0] for r in df.select(to_seconds("d", 60)).collect()] == [None, None, 90]

@@ -84,9 +84,41 @@ def test_metrics_exact_on_labels(spark):
 
 
 def test_learn_end_to_end_is_repeatable(ml):
-    a = learn(ml, threshold=45, num_trees=3, max_depth=4, seed=7)
-    b = learn(ml, threshold=45, num_trees=3, max_depth=4, seed=7)
+    small = MD.ModelOptions(max_depth=4)
+    a = learn(ml, threshold=45, num_trees=3, options=small, seed=7)
+    b = learn(ml, threshold=45, num_trees=3, options=small, seed=7)
     for v in (a.auc, a.precision, a.recall):
         assert 0.0 <= v <= 1.0
     assert (a.auc, a.precision, a.recall) == (b.auc, b.precision, b.recall)
-    assert a.encoded_rows == 1251
+    assert a.encoded_rows == 1333
+    assert sum(a.labels_before.values()) == 1333 and a.labels_after[1] == a.labels_before[1]
+    assert a.labels_after[0] < a.labels_before[0]
+
+
+def test_feature_names_follow_the_vector(ml):
+    assert MD.feature_names(FT.prepare_features(ml, 45)) == [
+        ("feature 0", "indexed_ORIGIN_AIRPORT_ID"), ("feature 1", "indexed_DEST_AIRPORT_ID"),
+        ("feature 2", "Hour_SO"), ("feature 3", "Hour_SA")]
+
+
+def test_all_date_granularities(ml):
+    from itertools import product
+    for year, month, day in product((False, True), repeat=3):
+        cols = FT.prepare_features(ml, 45, year=year, month=month, day=day).columns
+        for flag, part in ((year, "Year"), (month, "Month"), (day, "Day")):
+            assert (f"{part}_SO" in cols) == flag and (f"{part}_SA" in cols) == flag
+        assert "Hour_SO" in cols
+
+
+def test_learn_on_weather_features_of_all_hours(ml):
+    r = learn(ml, num_trees=2, weather=True, year=True, month=True, day=True, partitions=4, salt=2,
+              options=MD.ModelOptions(max_depth=3, min_instances=5, subsampling=0.8), seed=7)
+    assert r.encoded_rows > 1000 and 0.0 <= r.auc <= 1.0
+
+
+def test_colocate_keeps_rows_and_spreads_a_hot_key(spark):
+    df = spark.range(4000).select(F.lit("a").alias("k"), "id")
+    for salt, parts in ((1, 1), (8, 8)):
+        out = MD.colocate(df, 32, "k", salt=salt)
+        assert out.count() == 4000
+        assert out.select(F.spark_partition_id().alias("p")).distinct().count() in range(min(parts, 2), parts + 1)

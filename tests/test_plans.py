@@ -1,5 +1,5 @@
 """Physical-plan checks: no Python on the data path, no Cartesian products,
-column pruning at the scans, one exchange for the weather chain."""
+column pruning at the scans, two exchanges in the weather chain."""
 
 import re
 

@@ -5,9 +5,10 @@ import os
 
 import pytest
 
-from aerowx.schemas import SchemaMismatch
+from aerowx.schemas import WEATHER_RAW, SchemaMismatch
 from aerowx.session import scratch_path
-from aerowx.sources.csv import read_flights, read_stations, read_weather
+from aerowx.sources.chunks import chunk_dirs, read_chunk_dirs, write_chunks
+from aerowx.sources.csv import read_flights, read_stations, read_weather, write_csv
 
 
 def _write(path, text):
@@ -56,3 +57,45 @@ def test_missing_required_column_raises(spark):
     _write(path, "AirportID,WBAN\n10,20\n")
     with pytest.raises(SchemaMismatch):
         read_stations(spark, path)
+
+
+def test_files_with_another_header_raise(spark):
+    path = scratch_path(spark, "csv-mixed")
+    if path.startswith("file:"):
+        path = path[5:]
+    _write(path, "AirportID,WBAN,TimeZone\n10,10010,-5.0\n")
+    with open(os.path.join(path, "part-1.csv"), "w") as fh:
+        fh.write("WBAN,AirportID,TimeZone\n10009,9,-7.0\n")
+    with pytest.raises(Exception, match="header"):
+        read_stations(spark, path).collect()
+
+
+def test_null_and_empty_text_survive_a_round_trip(spark):
+    path = scratch_path(spark, "csv-marks")
+    rows = [(1, 20240105, 900, None, "", " ", "M", "", None, "", "29")]
+    df = spark.createDataFrame(rows, WEATHER_RAW)
+    write_csv(df, path, nullValue="<null>")
+    assert [tuple(r) for r in read_weather(spark, path, nullValue="<null>").collect()] == rows
+
+
+def test_chunk_folders_of_a_small_table(spark):
+    path = scratch_path(spark, "one-row")
+    row = spark.createDataFrame([(1, 2, dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 5, 2), 3.0)],
+                                "ORIGIN_AIRPORT_ID int, DEST_AIRPORT_ID int, CRS_DEP_TIMESTAMP timestamp_ntz, "
+                                "SCHEDULED_ARRIVAL_TIMESTAMP timestamp_ntz, Class double")
+    write_chunks(row, path)
+    dirs = chunk_dirs(spark, path)
+    assert len(dirs) == 1 and read_chunk_dirs(spark, dirs).count() == 1
+
+
+def test_application_from_exports_to_a_model(spark):
+    from aerowx.operators.model import ModelOptions
+    from aerowx.plans.application import learn_from_chunks, preprocess_csv
+    from aerowx.sources import fixtures as FX
+    from conftest import SF_SMALL
+    paths = [scratch_path(spark, f"app-{n}") for n in ("flights", "weather", "stations", "out")]
+    for path, df in zip(paths, (FX.flights(spark, SF_SMALL), FX.weather(spark, SF_SMALL), FX.stations(spark, SF_SMALL))):
+        write_csv(df, path, nullValue="<null>")
+    out = preprocess_csv(spark, *paths, nullValue="<null>")
+    result = learn_from_chunks(spark, out, num_trees=2, options=ModelOptions(max_depth=4))
+    assert result.encoded_rows == 1333 and 0.0 <= result.auc <= 1.0
