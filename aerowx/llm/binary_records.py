@@ -22,9 +22,10 @@ names (``pyarrow.fs``).  A file's name is unique to the attempt; the manifest,
 itself written to the shared folder, lists the files that count, so lost or
 doubled attempts leave nothing in the result.
 
-The tokenizer drops white space, so a text's ids are the ids of its pieces
-between blanks and line ends, one after the other.  Each distinct piece is
-encoded once.
+The tokenizer is one that drops white space and cuts letters and digits from
+marks, so a text's ids are the ids of its pieces between blanks and line ends,
+one after the other, and a piece's are those of its word and the marks behind
+it.  Each distinct word is encoded once.
 
 Defined cases: null text counts as empty and gives the end id only; null
 doc_ids come last, equal doc_ids in the order of their texts; empty input
@@ -33,11 +34,14 @@ gives empty results; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +50,11 @@ from pyspark.sql import functions as F
 
 from aerowx.session import scratch_path
 
-from .common import materialize, slices, text_or_empty
+from .common import encode_pieces, materialize, slices, text_or_empty
 
 END_ID = 1
-CACHE_PIECES = 300_000
+CACHE_PIECES = 600_000
+MARKS = ".,;:!?#$%&*|)\""
 READ_BYTES = 4 << 20
 #: Fixed value: the constant that the checksum mask adds.
 MASK_DELTA = 0xA282EAD8
@@ -114,6 +119,13 @@ def read_record(uri: str, i: int) -> tuple[int | None, np.ndarray, int]:
     return *parse(payload), start
 
 
+@lru_cache(maxsize=None)  # at most one entry for each character
+def ends_word(c: str) -> bool:
+    """Whether a word that ends in ``c`` still ends in a letter or a digit
+    once the tokenizer has normalized it."""
+    return c.isalnum() and unicodedata.normalize("NFC", c).lower().isalnum()
+
+
 class Pieces:
     """A tokenizer with the ids of the pieces it has met, of one Python worker."""
 
@@ -123,19 +135,47 @@ class Pieces:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()
+                        if t.special and not (t.normalized or t.single_word)}
+        # without a special token every piece goes alone
+        self.holds_special = re.compile("|".join(map(re.escape, self.special))).search
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def learn(self, pieces: list[str]) -> None:
+        """Encode new pieces into the cache.  Blocks of them go through the
+        tokenizer as one text with a special token between them; pieces that
+        hold a special token themselves go alone."""
+        dtype = f"<u{self.width}"
+        for lo in range(0, len(pieces), 4096):
+            block = pieces[lo:lo + 4096]
+            alone = list(filter(self.holds_special, block))
+            plain = list(filterfalse(self.holds_special, block))
+            if plain:
+                (between, mark), = list(self.special.items())[:1]
+                ids = np.array(self.tokenizer.encode_batch_fast([between.join(plain)], add_special_tokens=False)[0].ids,
+                               dtype=dtype)
+                marks = np.flatnonzero(ids == mark)
+                data = ids.tobytes()
+                starts = np.concatenate(([0], marks + 1)) * self.width
+                stops = np.concatenate((marks, [len(ids)])) * self.width
+                self.known.update(zip(plain, map(data.__getitem__, map(slice, starts.tolist(), stops.tolist()))))
+            for p, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+                self.known[p] = np.array(e.ids, dtype=dtype).tobytes()
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = list({p for pieces in cut for p in pieces if p not in self.known})
-        for lo in range(0, len(fresh), 4096):
-            block = fresh[lo:lo + 4096]
-            for p, e in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, dtype=f"<u{self.width}").tobytes()
-        known = self.known.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in cut]
+        return encode_pieces(texts, self.ids_of, self.width)
+
+    def ids_of(self, pieces: list[str]) -> list[bytes]:
+        known = self.known
+        fresh = [p for p in pieces if p not in known]
+        # a word and the marks behind it are encoded apart, so "end", "end." and "end," share the word
+        bare = [w if w and ends_word(w[-1]) else p for p, w in ((p, p.rstrip(MARKS)) for p in fresh)]
+        parts = {x for p, w in zip(fresh, bare) for x in (w, p[len(w):]) if x not in known}
+        self.learn(list(parts))
+        known.update((p, known[w] + known[p[len(w):]]) for p, w in zip(fresh, bare) if len(w) < len(p))
+        return list(map(known.__getitem__, pieces))
 
 
 @lru_cache(maxsize=2)
@@ -163,7 +203,7 @@ def write_records(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
                 fs, path = open_file(uri)
                 fs.create_dir(path.rpartition("/")[0], recursive=True)
                 data, index = fs.open_output_stream(path), fs.open_output_stream(index_path(path))
-            for doc_id, ids in zip(b.column("doc_id").to_pylist(), pieces.encode(b.column("text").to_pylist())):
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), pieces.encode(b.column("text"))):
                 payload = payload_of(doc_id, ids + end, pieces.width)
                 data.write(record := frame(payload))
                 index.write(index_entry(offset, len(payload), tokens))
