@@ -209,10 +209,12 @@ def replace_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
     met = hits.select("text_key", F.explode(F.flatten("found.parts")).alias("p")).where("p.kind <> 'kept'")
     met = met.select("text_key", "p.kind", canonical(F.col("p.form")).alias("form")).distinct()
     named = assign(met, key)
-    # the surrogates that one text needs
+    # the surrogates that one text needs; written, so that the join below deals
+    # its rows anew and a text with very many copies can be split
     lookup = (met.join(named, ["kind", "form"]).groupBy("text_key")
               .agg(F.map_from_entries(F.collect_list(F.struct(
                   F.concat_ws("|", "kind", "form"), F.col("surrogate")))).alias("names")))
+    lookup = materialize(lookup, "pii-lookup")
 
     def shown(part: Column) -> Column:
         new = F.col("names")[F.concat_ws("|", part["kind"], canonical(part["form"]))]
