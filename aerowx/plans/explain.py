@@ -1,16 +1,17 @@
-"""Write the formatted physical plans of the headline queries (PLANS.md).
+"""Write the final plans of two headline queries (PLANS.md).
 
-``python -m aerowx.plans.explain [sf_dir] [out.md]`` — the plans are taken
-after execution, so they show AQE's final choices (broadcast or sort-merge,
-coalesced partitions, skew splits) for that scale factor.
+``python -m aerowx.plans.explain [sf_dir] [out.md]`` — broadcasts are off, so
+the plans show the shuffle path that large inputs take; they are taken after
+execution and so show AQE's choices.
 """
 
 from __future__ import annotations
 
+import re
 import sys
+from collections import Counter
 
-from aerowx.operators.observations import complete_lists
-from aerowx.operators.windows import ORIGIN, attach_window_hot_salted, window_summary
+from aerowx.operators.windows import widen
 from aerowx.plans import preprocess as PP
 from aerowx.session import get_spark
 from aerowx.sources import fixtures as FX
@@ -18,32 +19,33 @@ from aerowx.sources import fixtures as FX
 
 def final_plan(df) -> tuple[int, str]:
     """Run ``df`` through its own query execution (so the adaptive plan is
-    finalized) and return (rows, formatted plan)."""
+    finalized) and return (rows, final plan)."""
     rows = df._jdf.queryExecution().toRdd().count()  # counted on the executors
-    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    return rows, df._jdf.queryExecution().explainString(mode)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return rows, plan.split("+- == Initial Plan ==")[0]
+
+
+def operators(plan: str) -> str:
+    names = re.findall(r"^[\s:+\-*()\d]*([A-Z]\w+)", plan, re.M)
+    return ", ".join(f"{n} {k}" for k, n in Counter(names).most_common() if re.search("Join|Exchange|Agg|Sort|Scan|Read|Window", k))
 
 
 def main(sf_dir: str = "/root/testdata/sf0.01", out: str = "PLANS.md") -> None:
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
     spark = get_spark("aerowx-explain", master="local[8]", shuffle_partitions=16,
-                      conf={"spark.ui.showConsoleProgress": "false"})
-    f, w, s = FX.flights(spark, sf_dir), FX.weather(spark, sf_dir), FX.stations(spark, sf_dir)
-    p = PP.prepare(f, w, s)
+                      conf={"spark.ui.showConsoleProgress": "false", "spark.sql.maxMetadataStringLength": "80",
+                            "spark.sql.debug.maxToStringFields": "12"} | off)
+    p = PP.prepare(FX.flights(spark, sf_dir), FX.weather(spark, sf_dir), FX.stations(spark, sf_dir))
     items = [
-        ("hourly observations (weather chain)", p.observations),
-        ("learning table, list form", PP.ml_table(f, w, s, method="list")),
-        ("learning table, window-frame form", PP.ml_table(f, w, s, method="frame")),
-        ("both windows, salted over 8 buckets", window_summary(PP.with_windows(p, salt=8), "WD_List")),
-        ("origin window, hot keys only salted", window_summary(attach_window_hot_salted(
-            p.trips, complete_lists(p.observations), *ORIGIN, buckets=8, fraction=0.002), "WO_List")),
+        ("hourly observations", p.observations),
+        ("learning table: lists in a checkpoint, hash tables per partition",
+         widen(PP.with_windows(p, colocate=True, persist_lists=True))),
     ]
-    parts = [f"# Physical plans ({sf_dir})\n",
-             "Generated by `python -m aerowx.plans.explain`; AQE is on, so join strategies\n"
-             "reflect the measured sizes at this scale factor (at 100 TB the observation\n"
-             "lists exceed the broadcast threshold and the joins are sort-merge joins).\n"]
+    parts = [f"# Final plans, broadcasts off ({sf_dir})\n\nGenerated by `python -m aerowx.plans.explain`.\n"]
     for title, df in items:
         rows, plan = final_plan(df)
-        parts.append(f"\n## {title} ({rows} rows)\n\n```\n{plan}\n```\n")
+        plan = "\n".join(line[:160] for line in plan.splitlines())
+        parts.append(f"\n## {title} ({rows} rows)\n\n{operators(plan)}\n\n```\n{plan}\n```\n")
     with open(out, "w") as fh:
         fh.write("".join(parts))
     spark.stop()

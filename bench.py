@@ -18,7 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from aerowx.operators.observations import complete_lists  # noqa: E402
-from aerowx.operators.windows import ORIGIN, attach_window  # noqa: E402
+from aerowx.operators.windows import ORIGIN, attach_window, widen  # noqa: E402
 from aerowx.plans import preprocess as PP  # noqa: E402
 from aerowx.plans.learn import learn  # noqa: E402
 from aerowx.session import get_spark, scratch_path  # noqa: E402
@@ -67,6 +67,19 @@ def main() -> None:
     def q_ml_table_frame():
         run_noop(PP.ml_table(*inputs(), method="frame"))
 
+    def q_ml_table_shuffled():
+        """The path that large lists take: no broadcast, lists in a
+        checkpoint, hash tables per partition."""
+        keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+        before = {k: spark.conf.get(k, None) for k in keys}
+        for k in keys:
+            spark.conf.set(k, "-1")
+        try:
+            run_noop(widen(PP.with_windows(PP.prepare(*inputs()), colocate=True, persist_lists=True)))
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
     def q_write_chunks():
         CH.write_chunks(PP.ml_table(*inputs()), scratch_path(spark, "bench-chunks"))
 
@@ -78,6 +91,7 @@ def main() -> None:
     timed("origin_window", q_origin_window)
     timed("ml_table_list", q_ml_table_list)
     timed("ml_table_frame", q_ml_table_frame)
+    timed("ml_table_shuffled", q_ml_table_shuffled)
     timed("write_chunks", q_write_chunks)
     timed("learn_forest", q_learn)
 
