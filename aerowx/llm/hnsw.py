@@ -183,7 +183,8 @@ def build_index(rows: DataFrame, k: int = K, shard_points: int = SHARD_POINTS) -
     """The index, written to the shared folder: one row of flat arrays per
     shard."""
     found = materialize(points(rows, k).withColumn("dim", F.size("vector")), "ann-points")
-    sizes = found.groupBy("dim").agg(F.ceil(F.count("*") / shard_points).alias("n_shards"))
+    sizes = materialize(found.groupBy("dim").agg(F.ceil(F.count("*") / shard_points).alias("n_shards")), "ann-sizes")
+    n_shards = sizes.agg(F.sum("n_shards")).first()[0] or 1
     dealt = found.join(sizes, "dim").withColumn(
         "shard", F.pmod(F.xxhash64("vector"), F.col("n_shards")).cast("int"))
 
@@ -204,8 +205,9 @@ def build_index(rows: DataFrame, k: int = K, shard_points: int = SHARD_POINTS) -
                 ("id_ends", pa.binary()), ("level_nodes", pa.list_(pa.binary())),
                 ("level_links", pa.list_(pa.binary())), ("entry", pa.int32())]))
 
-    return materialize(dealt.select("dim", "shard", "ids", "vector").groupBy("dim", "shard")
-                       .applyInArrow(run, INDEX), "ann-index")
+    # a task per shard: few bytes, but minutes of work, so they are not merged
+    dealt = dealt.select("dim", "shard", "ids", "vector").repartitionByRange(n_shards, "dim", "shard")
+    return materialize(dealt.groupBy("dim", "shard").applyInArrow(run, INDEX), "ann-index")
 
 
 def stored_graph(row: dict) -> tuple[Graph, list[np.ndarray]]:
@@ -242,6 +244,9 @@ def search_index(index: DataFrame, queries: DataFrame, k: int = K, breadth: int
         return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()),
                          "score": pa.array(cols[2], pa.float64())})
 
+    n_tasks = 4 * max(1, served.select("dim").count())  # more than groups, so few share a task
+    served = served.repartition(n_tasks, "dim", "shard", "block")
+    asked = asked.repartition(n_tasks, "ask_dim", "ask_shard", "ask_block")
     hits = served.groupBy("dim", "shard", "block").cogroup(
         asked.groupBy("ask_dim", "ask_shard", "ask_block")).applyInArrow(
         run, "query_id long, vec_id long, score double")
