@@ -115,7 +115,10 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_i
     the two ownership columns."""
     scanned = materialize(scan(docs, owner, repository), "secrets")
     holders = scanned.select("text_key", "owner", "repository", F.explode(F.concat(*KINDS)).alias("s"))
-    counts = ownership(holders.select(F.col("s.value").alias("value"), "owner", "repository"))
+    # both tables that are joined by a hot key are written before, so the joins
+    # deal their rows anew and such a key can be split
+    counts = materialize(ownership(holders.select(F.col("s.value").alias("value"), "owner", "repository")),
+                         "secret-owners")
     spans = holders.select("text_key", "s.*").distinct()
     labelled = spans.join(counts, "value").withColumn("label", label(F.col("n_owners"), F.col("random")))
     added = F.when((F.col("kind") == "generic") & (F.col("label") == "live"),
@@ -124,6 +127,7 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_i
         F.collect_list(added).alias("added"),  # the spans of one text
         F.sum((F.col("label") == "live").cast("long")).alias("n_live"),
         F.sum((F.col("label") == "example").cast("long")).alias("n_example"))
+    by_text = materialize(by_text, "secret-labels")
     plain = {k: F.transform(F.col(k), lambda s: F.struct(s["start"], s["place"], s["kind"], s["stop"])) for k in BASE}
     base = F.concat(*plain.values())
     return scanned.join(by_text, "text_key", "left").select(
