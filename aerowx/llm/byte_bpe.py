@@ -35,15 +35,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import encode_pieces, slices
+from .common import encode_pieces, release_memory, slices
 
 LONG_WORD = 256
 #: Words in one recursive query, tokens in one decoding query, pieces that a
 #: worker keeps before it starts anew, bytes of text taken at a time.
-BLOCK_WORDS = 40_000
-BLOCK_TOKENS = 1 << 19
-CACHE_ENTRIES = 400_000
-SLICE_BYTES = 6 << 20
+BLOCK_WORDS = 20_000
+BLOCK_TOKENS = 1 << 18
+CACHE_ENTRIES = 300_000
+SLICE_BYTES = 4 << 20
 
 #: The code points of Unicode's White_Space property, which is
 #: what the pattern's \s stands for.
@@ -181,24 +181,27 @@ class Codec:
         return [next(whole if a else found) for a in apart.to_pylist()]
 
     def decode(self, sequences: list[bytes | None]) -> list[bytes]:
-        out = [b""] * len(sequences)
+        """Sequences are cut into runs of at most a block, so that one long
+        document needs no more memory than many short ones."""
+        runs = [(i, s[at:at + 4 * BLOCK_TOKENS]) for i, s in enumerate(sequences) if s
+                for at in range(0, len(s), 4 * BLOCK_TOKENS)]
+        out: list[list[bytes]] = [[] for _ in sequences]
         lo = 0
-        while lo < len(sequences):
+        while lo < len(runs):
             hi, size = lo, 0
-            while hi < len(sequences) and (hi == lo or size + len(sequences[hi] or b"") <= 4 * BLOCK_TOKENS):
-                size += len(sequences[hi] or b"")
+            while hi < len(runs) and (hi == lo or size + len(runs[hi][1]) <= 4 * BLOCK_TOKENS):
+                size += len(runs[hi][1])
                 hi += 1
-            block = [s or b"" for s in sequences[lo:hi]]
-            lens = np.array([len(s) // 4 for s in block])
-            ids = np.frombuffer(b"".join(block), dtype="<u4").astype(np.int32)
+            block = runs[lo:hi]
+            ids = np.frombuffer(b"".join(r for _, r in block), dtype="<u4").astype(np.int32)
             self.db.register("tokens", pa.table({
-                "doc": np.repeat(np.arange(lo, hi, dtype=np.int32), lens),
+                "doc": np.repeat(np.arange(len(block), dtype=np.int32), [len(r) // 4 for _, r in block]),
                 "pos": np.arange(len(ids), dtype=np.int32), "token": ids}))
-            for doc, data in self.db.execute(DECODE).fetchall():
-                out[doc] = data
+            for run, data in sorted(self.db.execute(DECODE).fetchall()):
+                out[block[run][0]].append(data)
             self.db.unregister("tokens")
             lo = hi
-        return out
+        return list(map(b"".join, out))
 
 
 @lru_cache(maxsize=2)
@@ -217,6 +220,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, decoded: bool = False
             if decoded:
                 cols.append(pa.array(c.decode(ids), pa.binary()))
             yield pa.RecordBatch.from_arrays(cols, names=["id", "n_tokens", "ids", "bytes"][:len(cols)])
+        release_memory()
 
     id_type = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "text").mapInArrow(
@@ -231,6 +235,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             data = c.decode(b.column("ids").to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(data, pa.binary())],
                                              names=[*b.schema.names, "bytes"])
+        release_memory()
 
     cols = encoded.select("id", "n_tokens", "ids")
     id_type = cols.schema["id"].dataType.simpleString()

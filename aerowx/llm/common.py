@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -22,15 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, written: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts the lineage, survives lost executors, and lets several
-    consumers read one computation."""
+    consumers read one computation.  The folder is added to ``written``, for
+    ``discard`` once nothing reads it any more."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    if written is not None:
+        written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, written: list[str]) -> None:
+    """Remove folders that ``materialize`` wrote, in whatever store they are."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(written.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def text_or_empty(col: str = "text") -> Column:
     """The text as a string; null counts as empty."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
@@ -57,6 +69,15 @@ def slices(batches: Iterable[pa.RecordBatch], text_col: str,
         yield b.slice(lo)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system at a task's end: Python workers
+    stay alive between tasks, beside those of other operators."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def encode_pieces(texts: pa.Array, ids_of: Callable[[list[str]], list[bytes]], width: int,
                   keep_blank: bool = False) -> list[bytes]:
     """Ids of texts whose pieces between blanks can be encoded each alone.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _star(edges: DataFrame) -> DataFrame:
@@ -29,13 +29,16 @@ def components(links: DataFrame) -> DataFrame:
     """
     down = F.struct(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = links.where("a <> b").select(down.alias("e")).select("e.*").distinct()
-    edges, seen = materialize(edges, "links"), None
+    spark, old, written = links.sparkSession, [], []
+    edges, seen = materialize(edges, "links", written), None
     while True:
+        old, written = written, []
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
-        edges = materialize(_star(large).distinct(), "links")
+        edges = materialize(_star(large).distinct(), "links", written)
+        discard(spark, old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             break

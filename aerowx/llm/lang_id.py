@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import release_memory, slices
 
 UND = "und"
 #: The bounded sample that the classifier learns from: this many texts of each
@@ -67,7 +67,7 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     return {lang: b"\n".join(texts[lang]) + FILLER for lang in langs if lang in texts}
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _compressors(model: tuple[tuple[str, bytes], ...]):
     import zstandard as z
     found = []
@@ -105,6 +105,7 @@ def identify(docs: DataFrame, model: dict[str, bytes]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                  pa.array(rejected, pa.bool_())], names=["id", "lang_pred", "score", "rejected"])
+        release_memory()
 
     id_type = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "text").mapInArrow(
@@ -134,5 +135,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
         for b in slices(batches, "text"):
             yield b.filter(pa.array([not classify(t, compressors)[2] for t in b.column("text").to_pylist()],
                                     pa.bool_()))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)

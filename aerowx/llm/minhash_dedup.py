@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, text_or_empty
+from .common import discard, materialize, slices, text_or_empty
 from .components import components
 
 WORDS = 5
@@ -317,22 +317,23 @@ def block_links(members: DataFrame, percent: int) -> DataFrame:
     return members.groupBy("key", "row", "col").applyInArrow(run, "a binary, b binary")
 
 
-def links(docs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
-    """Component roots (node, root) of all nodes that are linked."""
+def links(docs: DataFrame, sketched: DataFrame, percent: int, written: list[str]) -> DataFrame:
+    """Component roots (node, root) of all nodes that are linked; tables that
+    only this needs are added to ``written``."""
     nodes = sketched.where("node IS NOT NULL")
     classes = materialize(nodes.dropDuplicates(["node"]).select("node", "sig", "bands", "text_key", "n_shingles"),
-                          "near-classes")
+                          "near-classes", written)
     rows = classes.select("node", "n_shingles", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"),
                                       F.count("*").alias("n"), F.sum("n_shingles").alias("weight")).where("n > 1")
-    crowded = materialize(rows.join(buckets, "key"), "near-buckets")
+    crowded = materialize(rows.join(buckets, "key"), "near-buckets", written)
 
     # full sets of the nodes that have a candidate
     involved = crowded.select("node").distinct()
     wanted = classes.join(involved, "node", "left_semi").select("text_key")
     texts = docs.join(wanted, "text_key", "left_semi").dropDuplicates(["text_key"]).select("text")
     sets = materialize(full_sets(texts).join(classes.select("node", "sig"), "node").dropDuplicates(["node"]),
-                       "near-sets")
+                       "near-sets", written)
 
     ends = F.explode(F.array("first", "last"))
     pairs = crowded.select(F.col("node").alias("a"), ends.alias("b")).where("a <> b")
@@ -340,11 +341,11 @@ def links(docs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
     sig = classes.select("node", "sig")
     a, b = (sig.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}")) for c in "ab")
     survivors = materialize(plausible_pairs(pairs.join(a, "a").join(b, "b").select("a", "b", "sig_a", "sig_b"),
-                                            percent), "near-survivors")
+                                            percent), "near-survivors", written)
     a, b = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
     star = materialize(verified_pairs(survivors.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b"),
-                                      percent), "near-star")
-    roots = materialize(components(star), "near-roots")
+                                      percent), "near-star", written)
+    roots = materialize(components(star), "near-roots", written)
 
     # bands that still hold several components, beyond the pairs just examined
     now = (crowded.where("n > 2").join(roots, "node", "left")
@@ -358,7 +359,7 @@ def links(docs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("block", "other").alias("row"), F.greatest("block", "other").alias("col"),
                      (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "comp"))
-    more = materialize(block_links(dealt.join(sets, "node"), percent), "near-more")
+    more = materialize(block_links(dealt.join(sets, "node"), percent), "near-more", written)
     return components(star.unionByName(more))
 
 
@@ -368,7 +369,9 @@ def near_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = rows.withColumn("text_key", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     sketched = materialize(sketch(rows), "near-sketch")
-    roots = materialize(links(rows.select("text_key", "text"), sketched, percent), "near-roots")
+    written: list[str] = []
+    roots = materialize(links(rows.select("text_key", "text"), sketched, percent, written), "near-roots")
+    discard(docs.sparkSession, written)
     named = sketched.select("doc_id", "n_shingles", "node").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     # written apart: the join below then deals its rows anew, and a component
