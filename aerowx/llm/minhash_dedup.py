@@ -22,8 +22,10 @@ by 64-bit hashes, nodes are named by 128 bits.
 
 Defined cases: null text, or text without words, has an empty set and is
 linked with nothing; a null doc_id ranks above every other, so a component
-only has a null id if all its ids are null; rows that share a doc_id and text
-share their answer; empty input gives an empty result; other columns are
+only has a null id if all its ids are null; where several texts of a component
+have its smallest id, or all ids are null, the smallest text hash is kept; rows
+that share a doc_id and text share their answer, rows that only share a doc_id,
+or have none, are documents of their own; empty input gives an empty result; other columns are
 ignored.
 """
 
@@ -35,7 +37,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, materialize, slices, text_or_empty
@@ -363,31 +365,46 @@ def links(docs: DataFrame, sketched: DataFrame, percent: int, written: list[str]
     return components(star.unionByName(more))
 
 
-def near_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.  ``docs``
-    needs doc_id and text."""
+def text_key() -> Column:
+    """The SHA-256 of a text; null counts as empty."""
+    return F.unhex(F.sha2(text_or_empty().cast("binary"), 256))
+
+
+def judged(docs: DataFrame, percent: int) -> DataFrame:
+    """One row per document: doc_id, text_key, n_shingles, component_id, kept."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = rows.withColumn("text_key", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    rows = rows.withColumn("text_key", text_key())
     sketched = materialize(sketch(rows), "near-sketch")
     written: list[str] = []
     roots = materialize(links(rows.select("text_key", "text"), sketched, percent, written), "near-roots")
     discard(docs.sparkSession, written)
-    named = sketched.select("doc_id", "n_shingles", "node").join(roots, "node", "left")
+    named = sketched.select("doc_id", "text_key", "n_shingles", "node").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     # written apart: the join below then deals its rows anew, and a component
     # that holds a third of them can be split
-    least = materialize(named.groupBy("root").agg(F.min("doc_id").alias("least")).where("root IS NOT NULL"),
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
+    least = materialize(named.where("root IS NOT NULL").groupBy("root").agg(first.alias("first"))
+                        .select("root", F.col("first.doc_id").alias("least"), F.col("first.text_key").alias("least_key")),
                         "near-least")
-    found = named.join(least, "root", "left").withColumn(
-        "component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")))
-    return found.select("doc_id", "n_shingles", "component_id",
-                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    found = named.join(least, "root", "left")
+    alone = F.col("root").isNull()
+    chosen = F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("text_key") == F.col("least_key"))
+    return found.select("doc_id", "text_key", "n_shingles",
+                        F.when(alone, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
+                        F.when(alone, True).otherwise(chosen).alias("kept"))
+
+
+def near_dedup(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.  ``docs``
+    needs doc_id and text."""
+    return judged(docs, percent).drop("text_key")
 
 
 def keep_representatives(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay, one for each component, with all their
-    columns; rows that share a doc_id count as one document."""
-    kept = near_dedup(docs, percent).where("kept").select(F.col("doc_id").alias("kept_id"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
-    return (rows.join(kept, rows.id.eqNullSafe(kept.kept_id), "left_semi")
-            .dropDuplicates(["id"]).select("row.*"))
+    columns; only rows that share both doc_id and text count as one document."""
+    kept = judged(docs, percent).where("kept").select(F.col("doc_id").alias("kept_id"),
+                                                      F.col("text_key").alias("kept_key"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), text_key().alias("key"))
+    return (rows.join(kept, (rows.key == kept.kept_key) & rows.id.eqNullSafe(kept.kept_id), "left_semi")
+            .dropDuplicates(["key", "id"]).select("row.*"))

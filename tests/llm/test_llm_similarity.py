@@ -96,6 +96,20 @@ def test_near_dedup_cases(spark):
     assert rows_of(minhash_dedup.near_dedup(spark.createDataFrame([], SCHEMA))) == []
 
 
+def test_texts_without_an_id_of_their_own_stay(spark):
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "first clean text of five words"), (None, "second clean text of five words"), (None, "third"),
+            (3, near), (5, near + " more"), (5, "a different text under the same id"), (6, "six one"), (6, "six two"),
+            (None, "p " + near.upper().replace("W", "v")), (None, "q " + near.upper().replace("W", "v")), (None, "third")]
+    docs = spark.createDataFrame([(i, t, "n", "k", "r", "x") for i, t in rows], SCHEMA)
+    for _ in range(2):  # and again the same
+        got = [(r["doc_id"], r["text"]) for r in rows_of(minhash_dedup.keep_representatives(docs))]
+        alike = [t for i, t in got if i is None and "v1" in t]  # near copies of each other without an id
+        assert len(alike) == 1
+        assert sorted(((i, t) for i, t in got if "v1" not in t), key=str) == sorted(
+            {*rows[:4], *rows[5:8]}, key=str)
+
+
 def test_shingle_sets_are_the_texts_sets(corpus):
     texts = [t for _, t in corpus]
     for got, text in zip(minhash_dedup.shingle_sets(texts), texts):
