@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import sys
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain, islice
@@ -38,11 +39,15 @@ from pyspark.sql import functions as F
 from .common import encode_pieces, release_memory, slices
 
 LONG_WORD = 256
-#: Words in one recursive query, tokens in one decoding query, pieces that a
-#: worker keeps before it starts anew, bytes of text taken at a time.
+#: Words in one recursive query and the sum of their squared bytes: the
+#: recursion keeps every step, at most half the square in rows for a word.
+#: Then tokens in one decoding query, pieces and bytes that a worker keeps
+#: before it starts anew, bytes of text taken at a time.
 BLOCK_WORDS = 20_000
+BLOCK_SQUARES = 8_000_000
 BLOCK_TOKENS = 1 << 18
 CACHE_ENTRIES = 300_000
+CACHE_BYTES = 96 << 20
 SLICE_BYTES = 4 << 20
 
 #: The code points of Unicode's White_Space property, which is
@@ -79,6 +84,23 @@ FROM (SELECT doc, hex FROM tokens JOIN vocabulary USING (token) ORDER BY doc, po
 """
 
 
+def blocks(words: list[tuple[str, bytes]]) -> Iterator[list[tuple[str, bytes]]]:
+    """Runs of (word, bytes) whose recursion fits the memory of the database."""
+    lo = squares = 0
+    for i, (_, b) in enumerate(words):
+        squares += len(b) ** 2
+        if i > lo and (squares > BLOCK_SQUARES or i - lo == BLOCK_WORDS):
+            yield words[lo:i]
+            lo, squares = i, len(b) ** 2
+    if words:
+        yield words[lo:]
+
+
+def held_bytes(key: str, ids: bytes) -> int:
+    """About what an entry of a cache takes, its place in the table included."""
+    return sys.getsizeof(key) + sys.getsizeof(ids) + 100
+
+
 class Codec:
     """Ranks, merge table and caches of one Python worker."""
 
@@ -99,6 +121,7 @@ class Codec:
                     hex=[t.hex().upper() for t in self.ranks])
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.held = 0
 
     def _table(self, name, **cols):
         self.db.register("incoming", pa.table(cols))
@@ -110,8 +133,7 @@ class Codec:
         raw = [w.encode("utf-8", "replace") for w in words]
         self.words.update((w, self.merge_long(b)) for w, b in zip(words, raw) if len(b) > LONG_WORD)
         short = [(w, b) for w, b in zip(words, raw) if len(b) <= LONG_WORD]
-        for lo in range(0, len(short), BLOCK_WORDS):
-            block = short[lo:lo + BLOCK_WORDS]
+        for block in blocks(short):
             lens = np.array([len(b) for _, b in block])
             ends = np.cumsum(lens)
             token = self.byte_tokens[np.frombuffer(b"".join(b for _, b in block), dtype=np.uint8)]
@@ -161,19 +183,23 @@ class Codec:
         new = {w for w in words if w not in self.words}
         if new:
             self.merge_words(list(new))
+            self.held += sum(held_bytes(w, self.words[w]) for w in new)
         return list(map(self.words.__getitem__, words))
 
     def ids_of_pieces(self, pieces: list[str]) -> list[bytes]:
         fresh = [p for p in pieces if p not in self.pieces]
         cut = [self.pattern.findall(p) for p in fresh]
         ids = iter(self.ids_of(chain.from_iterable(cut)))
-        self.pieces.update((p, b"".join(islice(ids, len(words)))) for p, words in zip(fresh, cut))
+        for p, words in zip(fresh, cut):
+            self.pieces[p] = b"".join(islice(ids, len(words)))
+            self.held += held_bytes(p, self.pieces[p])
         return list(map(self.pieces.__getitem__, pieces))
 
     def encode(self, texts: pa.Array) -> list[bytes]:
-        if len(self.pieces) > CACHE_ENTRIES:
+        if len(self.pieces) > CACHE_ENTRIES or self.held > CACHE_BYTES:
             self.pieces.clear()
             self.words.clear()
+            self.held = 0
         texts = pc.fill_null(texts, "")
         apart = pc.match_substring_regex(texts, BLANK_RUN)
         found = iter(encode_pieces(texts.filter(pc.invert(apart)), self.ids_of_pieces, 4, keep_blank=True))

@@ -166,6 +166,21 @@ def test_bpe_query(docs, nothing):
     assert rows_of(byte_bpe.encode_and_decode(nothing, RANKS, PATTERN)) == []
 
 
+def test_bpe_on_texts_without_spaces(monkeypatch):
+    rnd = random.Random(11)
+    kana = ["".join(chr(rnd.randrange(0x4E00, 0x9000)) for _ in range(rnd.randint(15, 20))) for _ in range(30_000)]
+    latin = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randint(45, 256))) for _ in range(9_000)]
+    texts = ["。".join(kana), "1".join(latin)]
+    assert sum(len(t.encode()) for t in texts) > 2_000_000
+    c = byte_bpe.Codec(RANKS, PATTERN)
+    got = c.encode(pa.array(texts))
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == expected_ids(texts)
+    assert c.held > sum(map(len, got)) and len(c.words) > 30_000
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", c.held - 1)
+    c.encode(pa.array(["a  b"]))
+    assert len(c.words) < 5  # started anew
+
+
 def test_bpe_decodes_what_another_job_encoded(docs):
     coded = byte_bpe.encode(docs.select(F.col("doc_id").alias("id"), "text"), RANKS, PATTERN)
     back = {r["id"]: r["bytes"] for r in rows_of(byte_bpe.decode(coded, RANKS, PATTERN))}
