@@ -5,19 +5,23 @@ credential name, access key ids, and long hexadecimal strings.  A fourth,
 ``generic``, is any long run of token characters outside them that holds both
 letters and digits; most such runs are not secrets, so the corpus decides.
 
-All candidates are hashed, and for every hash the distinct repositories and
-distinct owners are counted.  A value that many owners hold is a copied
-example; one that a single owner holds and that looks random is live-looking
-and belongs to that owner.  Live-looking generic runs are added to the spans;
-spans of the first three kinds always stay and only get a label.
+All candidates are hashed, and for every hash the distinct repositories,
+distinct owners and distinct texts are counted.  A value that many owners hold
+is a copied example, and so is one that stands in many repositories of one
+owner in as many different texts; exact copies of one text count once there,
+as a copied document does not make its key an example.  A value that a single
+owner holds otherwise and that looks random is live-looking and belongs to that
+owner.  Live-looking generic runs are added to the spans; spans of the first
+three kinds always stay and only get a label.
 
 Everything is DataFrame functions.  Offsets count code points: a pattern's
 matches and the pieces between them (``split`` by the same pattern) alternate,
 so running sums of their lengths are the places.
 
 Counting goes from distinct (value, owner, repository) over (value, owner) to
-value, each with map-side partial sums, so a value in a third of all
-documents is spread over its owners and repositories before it meets.
+value, and from distinct (value, text) to value, each with map-side partial
+sums, so a value in a third of all documents is spread over its owners,
+repositories and texts before it meets.
 
 Defined cases: null text counts as empty; a null owner is an owner; equal
 texts are labelled once and every row gets the result; empty input gives an
@@ -43,6 +47,9 @@ GENERIC = r"(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{24,
 DISTINCT_CHARACTERS = 10
 #: A value with at least so many owners is a copied example.
 EXAMPLE_OWNERS = 3
+#: So is a value in at least so many repositories and different texts, whoever
+#: owns them.
+EXAMPLE_REPOSITORIES = 10
 
 KINDS = ("assign", "access", "hex", "generic")
 BASE = KINDS[:3]
@@ -83,6 +90,12 @@ def joined(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def counted(spans: Column, count: str) -> Column:
+    """kind:start:end:count by start, then kind as listed, with commas."""
+    return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(
+        ":", s["kind"], *[s[c].cast("string") for c in ("start", "stop", count)])), ",")
+
+
 def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
     """id, owner, repository, text_key, one array of spans per kind; values
     are replaced by their hashes."""
@@ -98,35 +111,45 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """candidates (value, owner, repository) -> value, n_repositories, n_owners."""
+    """candidates (value, owner, repository, text_key) -> value,
+    n_repositories, n_owners, n_texts."""
     held = candidates.select("value", "owner", "repository").distinct()
     by_owner = held.groupBy("value", "owner").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("value").agg(F.sum("n").alias("n_repositories"), F.count("*").alias("n_owners"))
+    owners = by_owner.groupBy("value").agg(F.sum("n").alias("n_repositories"), F.count("*").alias("n_owners"))
+    texts = candidates.select("value", "text_key").distinct().groupBy("value").agg(F.count("*").alias("n_texts"))
+    return owners.join(texts, "value")
 
 
-def label(n_owners: Column, random: Column) -> Column:
-    return (F.when(n_owners >= EXAMPLE_OWNERS, "example")
+def label(n_owners: Column, n_repositories: Column, n_texts: Column, random: Column) -> Column:
+    spread = F.least(n_repositories, n_texts) >= EXAMPLE_REPOSITORIES
+    return (F.when((n_owners >= EXAMPLE_OWNERS) | spread, "example")
             .when((n_owners == 1) & random, "live").otherwise("unclear"))
 
 
 def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256,
-    spans, and n_live, n_example by label.  ``docs`` needs doc_id, text and
-    the two ownership columns."""
+    spans, n_live, n_example by label, and n_owners, n_repositories: for every
+    candidate of the text, by start, kind:start:end:count, with commas.
+    ``docs`` needs doc_id, text and the two ownership columns."""
     scanned = materialize(scan(docs, owner, repository), "secrets")
     holders = scanned.select("text_key", "owner", "repository", F.explode(F.concat(*KINDS)).alias("s"))
     # both tables that are joined by a hot key are written before, so the joins
     # deal their rows anew and such a key can be split
-    counts = materialize(ownership(holders.select(F.col("s.value").alias("value"), "owner", "repository")),
+    counts = materialize(ownership(holders.select(F.col("s.value").alias("value"), "owner", "repository",
+                                                 "text_key")),
                          "secret-owners")
     spans = holders.select("text_key", "s.*").distinct()
-    labelled = spans.join(counts, "value").withColumn("label", label(F.col("n_owners"), F.col("random")))
+    labelled = spans.join(counts, "value").withColumn("label", label(
+        F.col("n_owners"), F.col("n_repositories"), F.col("n_texts"), F.col("random")))
     added = F.when((F.col("kind") == "generic") & (F.col("label") == "live"),
                    F.struct("start", "place", "kind", "stop"))
     by_text = labelled.groupBy("text_key").agg(
         F.collect_list(added).alias("added"),  # the spans of one text
+        F.collect_list(F.struct("start", "place", "kind", "stop", "n_owners", "n_repositories")).alias("counted"),
         F.sum((F.col("label") == "live").cast("long")).alias("n_live"),
         F.sum((F.col("label") == "example").cast("long")).alias("n_example"))
+    by_text = by_text.select("text_key", "added", "n_live", "n_example",
+                             *[counted(F.col("counted"), c).alias(c) for c in ("n_owners", "n_repositories")])
     by_text = materialize(by_text, "secret-labels")
     plain = {k: F.transform(F.col(k), lambda s: F.struct(s["start"], s["place"], s["kind"], s["stop"])) for k in BASE}
     base = F.concat(*plain.values())
@@ -135,4 +158,5 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_i
         *[F.size(F.col(k)).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.when(F.col("added").isNull(), base).otherwise(F.concat(base, "added"))).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"))
+        F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"),
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("n_owners", "n_repositories")])

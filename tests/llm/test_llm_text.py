@@ -267,6 +267,19 @@ def test_secret_scan(spark, nothing):
     assert rows_of(secret_scan.secret_scan(nothing)) == []
 
 
+def test_a_value_in_many_documents_of_one_source(spark):
+    spread, owned = "Zx9aB3cD4eF5gH6iJ7kL8mN9oP", "Qw1eR2tY3uI4oP5aS6dF7gH8jK"
+    n = secret_scan.EXAMPLE_REPOSITORIES
+    texts = [f"page {i} shows {spread}" for i in range(n)] + [f"one copied document with {owned}"] * n
+    docs = spark.createDataFrame([(i, t, "hub") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    by_id = {r["doc_id"]: r for r in rows_of(secret_scan.secret_scan(docs))}
+    for i, text in enumerate(texts):
+        r, at = by_id[i], text.index(spread if i < n else owned)
+        span = f"generic:{at}:{at + len(owned)}"
+        assert (r["spans"], r["n_live"], r["n_example"]) == (("", 0, 1) if i < n else (span, 1, 0))
+        assert (r["n_owners"], r["n_repositories"]) == (f"{span}:1", f"{span}:{n}")
+
+
 # personal data
 
 def luhn(number):
