@@ -33,9 +33,11 @@ UND = "und"
 #: language, in the order of a hash of the text, and so much of each.
 SAMPLE_TEXTS = 64
 SAMPLE_BYTES = 2048
-#: Languages are kept by their number of labelled rows, so that the model
-#: stays within MAX_LANGS * SAMPLE_TEXTS * SAMPLE_BYTES bytes.
-MAX_LANGS = 128
+#: All languages are kept.  Beyond this many each has fewer and then shorter
+#: texts, so that the model stays within FULL_LANGS * SAMPLE_TEXTS *
+#: SAMPLE_BYTES bytes (and a filler for each language), and a task takes the
+#: dictionaries this many at a time.
+FULL_LANGS = 128
 PIECE_BYTES = 2048
 LEVEL = 6
 #: A margin below this is narrow.
@@ -50,20 +52,28 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
+def share_of(n_langs: int) -> tuple[int, int]:
+    """(texts, bytes of each) that a language has in a model of so many."""
+    room = FULL_LANGS * SAMPLE_TEXTS * SAMPLE_BYTES // max(1, n_langs)
+    texts = max(1, min(SAMPLE_TEXTS, room // SAMPLE_BYTES))
+    return texts, max(1, min(SAMPLE_BYTES, room // texts))
+
+
 def learn(labelled: DataFrame) -> dict[str, bytes]:
     """Dictionaries by language, most frequent language first, from the text
     and lang of ``labelled``.  What reaches the driver is bounded by the
-    parameters above."""
+    parameters above, but for a row and a filler of each language."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    langs = [r["lang"] for r in counts.orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
+    langs = [r["lang"] for r in counts.orderBy(F.desc("n"), "lang").collect()]
+    n_texts, n_bytes = share_of(len(langs))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
     sample = (rows.select("lang", F.substring(F.lower("text"), 1, SAMPLE_BYTES).alias("text"))
-              .where(F.col("lang").isin(langs))
-              .withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_TEXTS))
+              .withColumn("n", F.row_number().over(order)).where(F.col("n") <= n_texts)
+              .withColumn("text", F.substring("text", 1, n_bytes)))
     texts: dict[str, list[bytes]] = {}
     for r in sample.orderBy("lang", "n").collect():
-        texts.setdefault(r["lang"], []).append(r["text"].encode()[:SAMPLE_BYTES])
+        texts.setdefault(r["lang"], []).append(r["text"].encode()[:n_bytes])
     return {lang: b"\n".join(texts[lang]) + FILLER for lang in langs if lang in texts}
 
 
@@ -81,16 +91,50 @@ def _compressors(model: tuple[tuple[str, bytes], ...]):
     return found
 
 
-def classify(text: str | None, compressors) -> tuple[str, float, bool]:
-    """(language, margin, rejected) of one text."""
-    if text is None or not compressors or not any(map(str.isalpha, text)):
-        return UND, 0.0, True
+def pieces_of(text: str | None) -> list[bytes]:
+    """The pieces of a text, each behind the filler; none without a letter."""
+    if text is None or not any(map(str.isalpha, text)):
+        return []
     raw = text.lower().encode("utf-8", "replace")
-    pieces = [FILLER + raw[i:i + PIECE_BYTES] for i in range(0, len(raw), PIECE_BYTES)]
-    sizes = sorted((sum(len(c.compress(p)) for p in pieces), i) for i, (_, c) in enumerate(compressors))
+    return [FILLER + raw[i:i + PIECE_BYTES] for i in range(0, len(raw), PIECE_BYTES)]
+
+
+def smallest(pieces: list[bytes], compressors, first: int = 0, found=()) -> list[tuple[int, int]]:
+    """The two smallest (total, number of the language), with those found in
+    the dictionaries before ``first``."""
+    sizes = ((sum(len(c.compress(p)) for p in pieces), i) for i, (_, c) in enumerate(compressors, first))
+    return sorted([*found, *sizes])[:2]
+
+
+def verdict(pieces: list[bytes], sizes: list[tuple[int, int]], langs: list[str]) -> tuple[str, float, bool]:
+    if not pieces or not sizes:
+        return UND, 0.0, True
     best, second = (sizes + [(2 * sizes[0][0], 0)])[:2]  # with one language only, nothing is narrow
     margin = 1.0 - best[0] / second[0]
-    return compressors[best[1]][0], margin, len(raw) >= MIN_BYTES and margin < MIN_MARGIN
+    n_bytes = sum(map(len, pieces)) - len(FILLER) * len(pieces)
+    return langs[best[1]], margin, n_bytes >= MIN_BYTES and margin < MIN_MARGIN
+
+
+def classify(text: str | None, compressors) -> tuple[str, float, bool]:
+    """(language, margin, rejected) of one text."""
+    pieces = pieces_of(text)
+    return verdict(pieces, smallest(pieces, compressors) if pieces else [], [lang for lang, _ in compressors])
+
+
+def classify_all(texts: list[str | None], model: tuple[tuple[str, bytes], ...]) -> list[tuple[str, float, bool]]:
+    """``classify`` for many texts and a model of any number of languages,
+    whose dictionaries are held FULL_LANGS at a time."""
+    if len(model) <= FULL_LANGS:
+        compressors = _compressors(model)
+        return [classify(t, compressors) for t in texts]
+    sizes: list[list[tuple[int, int]]] = [[] for _ in texts]
+    for first in range(0, len(model), FULL_LANGS):
+        compressors = _compressors(model[first:first + FULL_LANGS])
+        for i, t in enumerate(texts):
+            if pieces := pieces_of(t):
+                sizes[i] = smallest(pieces, compressors, first, sizes[i])
+    langs = [lang for lang, _ in model]
+    return [verdict(pieces_of(t), s, langs) for t, s in zip(texts, sizes)]
 
 
 def identify(docs: DataFrame, model: dict[str, bytes]) -> DataFrame:
@@ -99,9 +143,8 @@ def identify(docs: DataFrame, model: dict[str, bytes]) -> DataFrame:
     packed = tuple(model.items())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = _compressors(packed)
         for b in slices(batches, "text"):
-            lang, score, rejected = zip(*(classify(t, compressors) for t in b.column("text").to_pylist()))
+            lang, score, rejected = zip(*classify_all(b.column("text").to_pylist(), packed))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                  pa.array(rejected, pa.bool_())], names=["id", "lang_pred", "score", "rejected"])
@@ -131,10 +174,9 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     model = tuple(learn(train_rows(docs)).items())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressors = _compressors(model)
         for b in slices(batches, "text"):
-            yield b.filter(pa.array([not classify(t, compressors)[2] for t in b.column("text").to_pylist()],
-                                    pa.bool_()))
+            yield b.filter(pa.array([not rejected for _, _, rejected in
+                                     classify_all(b.column("text").to_pylist(), model)], pa.bool_()))
         release_memory()
 
     return docs.mapInArrow(run, docs.schema)

@@ -129,6 +129,23 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
             == sorted(rows_of(lang_id.language_id(other)), key=key))
 
 
+def test_more_languages_than_have_full_samples(spark):
+    rnd = random.Random(2)
+    words = {f"l{n:03}": ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(4, 9))) for _ in range(40)]
+             for n in range(lang_id.FULL_LANGS + 40)}
+    text = lambda lang: " ".join(rnd.choices(words[lang], k=60))
+    learnt = [(text(lang), lang) for lang in words for _ in range(3)]
+    model = lang_id.learn(spark.createDataFrame(learnt, "text string, lang string"))
+    assert set(model) == set(words)
+    asked = [(lang, text(lang)) for lang in words]
+    got = rows_of(lang_id.identify(spark.createDataFrame(asked, "id string, text string"), model))
+    assert len(got) == len(words) and all(r["lang_pred"] == r["id"] and not r["rejected"] for r in got)
+    full = lang_id.FULL_LANGS * lang_id.SAMPLE_TEXTS * lang_id.SAMPLE_BYTES
+    for n in (1, 4, 128, 129, 1000, 50_000):
+        texts, size = lang_id.share_of(n)
+        assert n * texts * size <= full and ((texts, size) == (64, 2048)) == (n <= 128)
+
+
 def test_a_narrow_margin_is_rejected():
     text = " ".join(f"w{i}q" for i in range(200))
     model = tuple({"aa": text.encode() + lang_id.FILLER, "bb": text.encode() + lang_id.FILLER}.items())
