@@ -4,7 +4,10 @@ Detected are e-mail addresses, phone numbers, IPv4 addresses, payment card
 numbers, social security numbers, and names after a title.  An entity's
 surrogate is drawn from SHA-512 of the key, the entity's kind, the entity and
 the attempt: the same entity gets the same surrogate everywhere, and nobody
-without the key can tell which it was.
+without the key can tell which it was.  Cards, phones and social security
+numbers are drawn by their digits (a phone with or without its + apart), and
+the drawn digits are laid into each spelling; other kinds are drawn in small
+letters.
 
 Surrogates keep what a reader or a program relies on:
 
@@ -14,12 +17,13 @@ format   a digit stays a digit, a letter a letter, in the same places; the
          Luhn check passes it again, one that did not fails again
 script   Latin, Cyrillic and Greek letters are replaced within their alphabet
 case     every letter takes the case of the letter it replaces
-gender   first names after a title of one gender end as names of that gender
-         do; surnames are drawn on their own, so "Ms. Ann Lee" and "Ms. Lee"
-         still share theirs
+gender   a first name has the gender that more of the corpus's texts tell by
+         a title, and ends as names of that gender do, after neutral titles
+         too; without a majority it is neutral.  Surnames are drawn on their
+         own, so "Ms. Ann Lee" and "Ms. Lee" still share theirs
 
 After each draw collisions are checked: no surrogate may be an entity of the
-corpus, and no two entities of a kind may share one.  The losers draw again
+corpus, and no two entities of a kind may share one, in whatever spelling.  The losers draw again
 until nobody collides; from ``WIDEN`` attempts on the draw is allowed more
 characters, so short formats cannot run out.
 
@@ -77,7 +81,12 @@ ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "абвгдежзикл
 MEMBERS = ("[0-9]", "[a-zß-öø-ÿ]", "[а-яё]", "[ά-ώ]")
 ENDINGS = {"male": ("", "nrsdk", "нрсдк", "νσρςξ"), "female": ("", "aaaaa", "ааааа", "αααηη")}
 
-ENTITY = "struct<kind:string,form:string>"
+#: The telephone country codes, none of which begins another.
+COUNTRY = r"\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+#: Kinds whose entities are their digits.
+NUMBERS = ("card", "phone", "ssn")
+
+ENTITY = "struct<kind:string,form:string,gender:string>"
 
 
 def kind_of(match: Column) -> Column:
@@ -87,19 +96,33 @@ def kind_of(match: Column) -> Column:
 
 def words_of(match: Column, kind: Column) -> Column:
     """The entities in a match, in order, with ``kept`` text between them:
-    a name gives title (kept), first names and surname."""
+    a name gives title (kept), first names with the gender that the title
+    tells, and surname."""
     words = F.split(match, " ")
     title = F.regexp_replace(words[0], r"\.$", "")
     gender = F.coalesce(*[F.when(title.isin(*t), g) for g, t in TITLES.items()], F.lit("neutral"))
     parts = F.transform(words, lambda w, i: F.struct(
-        F.when(i == 0, "kept").when(i == F.size(words) - 1, "surname").otherwise(F.concat(F.lit("first_"), gender))
-        .alias("kind"), w.alias("form")))
-    whole = F.array(F.struct(kind.alias("kind"), match.alias("form")))
+        F.when(i == 0, "kept").when(i == F.size(words) - 1, "surname").otherwise("first").alias("kind"),
+        w.alias("form"), gender.alias("gender")))
+    whole = F.array(F.struct(kind.alias("kind"), match.alias("form"), F.lit("neutral").alias("gender")))
     return F.when(kind == "name", parts).otherwise(whole).cast(f"array<{ENTITY}>")
 
 
-def canonical(form: Column) -> Column:
-    return F.lower(form)
+def canonical(kind: Column, form: Column) -> Column:
+    """What all spellings of an entity share: a number's digits, behind the +
+    if it has one, other forms in small letters."""
+    return F.when(kind.isin(*NUMBERS), F.regexp_replace(form, "[^0-9+]", "")).otherwise(F.lower(form))
+
+
+def laid_out(form: Column, number: Column) -> Column:
+    """The digits of ``number`` in the places of the digits of ``form``; what
+    is longer than it follows."""
+    digits = F.regexp_replace(number, r"^\+", "")
+    # the digits up to a place tell which one stands there
+    upto = lambda i: F.length(F.regexp_replace(F.substring(form, F.lit(1), i), "[^0-9]", ""))
+    placed = F.transform(F.split(form, ""), lambda c, i: F.when(
+        c.rlike("[0-9]"), F.substring(digits, upto(i + 1), F.lit(1))).otherwise(c))
+    return F.concat(F.array_join(placed, ""), F.substring(digits, upto(F.length(form)) + 1, F.length(digits)))
 
 
 def _draw(bytes_hex: Column, i: Column) -> Column:
@@ -148,8 +171,8 @@ def _address(form: Column, seed: Column, wide: Column) -> Column:
     return F.array_join(F.transform(F.split(form, r"\."), part), ".")
 
 
-def surrogate(kind: Column, form: Column, attempt: Column, key: str = KEY) -> Column:
-    """The surrogate of a canonical form at an attempt."""
+def surrogate(kind: Column, form: Column, gender: Column, attempt: Column, key: str = KEY) -> Column:
+    """The surrogate of a canonical form at an attempt, in canonical form."""
     seed = F.concat_ws("\x1f", F.lit(key), kind, form, attempt.cast("string"))
     wide = attempt >= WIDEN
     extra = F.when(wide, _replaced(F.lit("x" * WIDER), F.concat(seed, F.lit("more")))).otherwise("")
@@ -157,25 +180,30 @@ def surrogate(kind: Column, form: Column, attempt: Column, key: str = KEY) -> Co
     drawn = _replaced(form, seed)
     top = F.regexp_extract(form, r"\.[a-z]+$", 0)
     mail = F.concat(extra, F.substring(drawn, F.lit(1), F.length(form) - F.length(top)), top)
-    code = F.regexp_extract(form, r"^\+[0-9]{1,3}(?=[^0-9])", 0)
+    code = F.regexp_extract(form, f"^{COUNTRY}", 0)
     phone = F.concat(code, F.substring(drawn, F.length(code) + 1, F.length(form)), digits)
     # a card keeps its first digit, which tells the network
     card = _card(form, F.concat(F.substring(form, 1, 1), F.substring(drawn, F.lit(2), F.length(form)), digits))
     return (F.when(kind == "email", mail).when(kind == "ip", _address(form, seed, wide)).when(kind == "card", card)
             .when(kind == "phone", phone).when(kind == "ssn", F.concat(drawn, digits))
-            .when(kind == "first_male", F.concat(extra, _ending(drawn, seed, "male")))
-            .when(kind == "first_female", F.concat(extra, _ending(drawn, seed, "female")))
+            .when((kind == "first") & (gender == "male"), F.concat(extra, _ending(drawn, seed, "male")))
+            .when((kind == "first") & (gender == "female"), F.concat(extra, _ending(drawn, seed, "female")))
             .otherwise(F.concat(extra, drawn)))
 
 
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
-    """Distinct entities (kind, form) -> with ``surrogate``, no two of a kind
-    alike and none an entity itself."""
-    known = materialize(entities.select("kind", "form").distinct(), "pii-entities")
+    """Entities (kind, form, gender), one row for each text and gender -> kind,
+    form, ``surrogate``, no two of a kind alike and none an entity itself."""
+    told = F.count(F.when(F.col("gender") == "male", 1)) - F.count(F.when(F.col("gender") == "female", 1))
+    known = entities.groupBy("kind", "form").agg(told.alias("told")).select(
+        "kind", "form", F.when(F.col("told") > 0, "male").when(F.col("told") < 0, "female").otherwise("neutral")
+        .alias("gender"))
+    known = materialize(known, "pii-entities")
     taken = known.select(F.col("kind").alias("k"), F.col("form").alias("f"))
     drawn = known.withColumn("attempt", F.lit(0))
     while True:
-        drawn = drawn.withColumn("surrogate", surrogate(F.col("kind"), F.col("form"), F.col("attempt"), key))
+        drawn = drawn.withColumn("surrogate", surrogate(F.col("kind"), F.col("form"), F.col("gender"),
+                                                          F.col("attempt"), key))
         same = Window.partitionBy("kind", "surrogate").orderBy("form")
         checked = (drawn.join(taken, (F.col("kind") == F.col("k")) & (F.col("surrogate") == F.col("f")), "left")
                    .withColumn("clash", F.col("f").isNotNull() | (F.row_number().over(same) > 1)).drop("k", "f"))
@@ -209,18 +237,21 @@ def replace_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
                                               F.split("text", ANY, -1).alias("gaps"), found.alias("found")), "pii-hits")
 
     met = hits.select("text_key", F.explode(F.flatten("found.parts")).alias("p")).where("p.kind <> 'kept'")
-    met = met.select("text_key", "p.kind", canonical(F.col("p.form")).alias("form")).distinct()
+    met = met.select("text_key", "p.kind", canonical(F.col("p.kind"), F.col("p.form")).alias("form"),
+                     "p.gender").distinct()
     named = assign(met, key)
     # the surrogates that one text needs; written, so that the join below deals
     # its rows anew and a text with very many copies can be split
+    met = met.select("text_key", "kind", "form").distinct()
     lookup = (met.join(named, ["kind", "form"]).groupBy("text_key")
               .agg(F.map_from_entries(F.collect_list(F.struct(
                   F.concat_ws("|", "kind", "form"), F.col("surrogate")))).alias("names")))
     lookup = materialize(lookup, "pii-lookup")
 
     def shown(part: Column) -> Column:
-        new = F.col("names")[F.concat_ws("|", part["kind"], canonical(part["form"]))]
-        return F.when(part["kind"] == "kept", part["form"]).otherwise(_cased(part["form"], new))
+        new = F.col("names")[F.concat_ws("|", part["kind"], canonical(part["kind"], part["form"]))]
+        return (F.when(part["kind"] == "kept", part["form"])
+                .when(part["kind"].isin(*NUMBERS), laid_out(part["form"], new)).otherwise(_cased(part["form"], new)))
 
     filled = F.transform("found", lambda m: F.array_join(F.transform(m["parts"], shown), " "))
     text = F.array_join(F.zip_with("gaps", filled, lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")

@@ -335,6 +335,40 @@ def test_surrogates(spark, nothing):
     assert rows_of(pii.replace_pii(nothing)) == []
 
 
+def test_an_entity_has_one_surrogate_in_all_spellings(spark):
+    texts = ["4111111111111111", "4111-1111-1111-1111", "4111 1111 1111 1111",
+             "+1 (499) 555-6503", "+1-499-555-6503", "+14995556503", "(499) 555-6503", "499.555.6503",
+             "Dr. Anna Lee", "Ms. Anna Lee", "Prof. ANNA Ray", "Mr. Kim Roe", "Mrs. Kim Poe", "Dr. Kim Foe",
+             "Mr. Jo Lee", "Mr. Jo Lee!", "Ms. Jo Lee", "123-45-6789"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = rows_of(pii.replace_pii(docs))
+    out = [r["text"] for r in sorted(got, key=lambda r: r["doc_id"])]
+    shape = lambda t: re.sub("[0-9]", "0", t)
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    for same in (slice(0, 3), slice(3, 6), slice(6, 8)):
+        assert len({digits(t) for t in out[same]}) == 1 and digits(out[same][0]) != digits(texts[same][0])
+        assert list(map(shape, out[same])) == list(map(shape, texts[same]))
+    assert luhn(out[0]) and all(t.startswith("+1") for t in out[3:6])
+    first = [t.split(" ")[1] for t in out[8:17]]
+    assert first[0] == first[1] == first[2].capitalize() and first[2].isupper() and first[0][-1] == "a"
+    assert first[3] == first[4] == first[5] and first[6] == first[7] == first[8] and first[6][-1] in "nrsdk"
+    assert out[8].split(" ")[2] == out[9].split(" ")[2] == out[16].split(" ")[2]
+    assert re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}", out[17]) and out[17] != texts[17]
+
+
+def test_digits_that_are_drawn_longer_follow_the_spelling(spark):
+    forms = [("+1 (499) 555", "+1234567890123"), ("4111-1111", "12345678"), ("(12) 3", "4567")]
+    df = spark.createDataFrame(forms, "form string, number string")
+    got = [r[0] for r in df.select(pii.laid_out(F.col("form"), F.col("number"))).collect()]
+    assert got == ["+1 (234) 567890123", "1234-5678", "(45) 67"]
+
+
+def test_country_codes_begin_no_other():
+    codes = {m[0] for n in range(1000) if (m := re.match(pii.COUNTRY, f"+{n:03}"))}
+    assert all(re.match(pii.COUNTRY, f"+{n:03}") for n in range(1000))
+    assert not any(a != b and b.startswith(a) for a in codes for b in codes)
+
+
 def test_native_operators_run_no_python(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for df in (pii.replace_pii(docs), secret_scan.secret_scan(docs)):
