@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release_memory, slices
+from .common import materialize, release_memory, slices
 
 UND = "und"
 #: The bounded sample that the classifier learns from: this many texts of each
-#: language, in the order of a hash of the text, and so much of each.
+#: language, copies counted once, in the order of a hash, and so much of each.
 SAMPLE_TEXTS = 64
 SAMPLE_BYTES = 2048
 #: All languages are kept.  Beyond this many each has fewer and then shorter
@@ -63,16 +63,22 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     """Dictionaries by language, most frequent language first, from the text
     and lang of ``labelled``.  What reaches the driver is bounded by the
     parameters above, but for a row and a filler of each language."""
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    rows = (labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+            .select("lang", F.substring(F.lower("text"), 1, SAMPLE_BYTES).alias("text"))
+            .withColumn("place", F.xxhash64("text")))
+    # only hashes are dealt out; copies of a text are one place in the order
+    places = materialize(rows.groupBy("lang", "place").agg(F.count("*").alias("n")), "lang-places")
+    counts = places.groupBy("lang").agg(F.sum("n").alias("n"))
     langs = [r["lang"] for r in counts.orderBy(F.desc("n"), "lang").collect()]
     n_texts, n_bytes = share_of(len(langs))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = (rows.select("lang", F.substring(F.lower("text"), 1, SAMPLE_BYTES).alias("text"))
-              .withColumn("n", F.row_number().over(order)).where(F.col("n") <= n_texts)
-              .withColumn("text", F.substring("text", 1, n_bytes)))
+    order = Window.partitionBy("lang").orderBy("place")
+    chosen = (places.withColumn("n", F.row_number().over(order)).where(F.col("n") <= n_texts)
+              .select("lang", "place"))
+    # of the few texts that share a hash, the smallest
+    sample = (rows.join(chosen, ["lang", "place"], "left_semi").groupBy("lang", "place")
+              .agg(F.min(F.substring("text", 1, n_bytes)).alias("text")))
     texts: dict[str, list[bytes]] = {}
-    for r in sample.orderBy("lang", "n").collect():
+    for r in sample.orderBy("lang", "place").collect():
         texts.setdefault(r["lang"], []).append(r["text"].encode()[:n_bytes])
     return {lang: b"\n".join(texts[lang]) + FILLER for lang in langs if lang in texts}
 

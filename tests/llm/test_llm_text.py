@@ -146,6 +146,14 @@ def test_more_languages_than_have_full_samples(spark):
         assert n * texts * size <= full and ((texts, size) == (64, 2048)) == (n <= 128)
 
 
+def test_copies_of_a_text_are_learnt_once(spark):
+    texts = [f"text number {i}" for i in range(lang_id.SAMPLE_TEXTS)]
+    rows = [(t, "xx") for t in texts for _ in range(70)] + [("one", "yy")] + [("z", None), (None, "xx")]
+    model = lang_id.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert list(model) == ["xx", "yy"]
+    assert sorted(model["xx"][:-len(lang_id.FILLER)].decode().split("\n")) == sorted(texts)
+
+
 def test_a_narrow_margin_is_rejected():
     text = " ".join(f"w{i}q" for i in range(200))
     model = tuple({"aa": text.encode() + lang_id.FILLER, "bb": text.encode() + lang_id.FILLER}.items())
