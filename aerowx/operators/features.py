@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerowx.functions.hashing import ROW_KEY, trip_key
 from aerowx.functions.timecols import hour_of, week_of_month
 from aerowx.schemas import OBS_FIELDS, WD_COLUMNS, WO_COLUMNS
 
@@ -73,10 +74,10 @@ def select_hours(df: DataFrame, n_origin: int, n_dest: int, extra: Sequence[str]
 
 
 def select_features(df: DataFrame, weather: bool = False, n_origin: int = 11,
-                    n_dest: int = 11) -> DataFrame:
-    """The schedule columns + label; with ``weather`` also the selected
-    window hours (the reference's live setting is ``weather=False``)."""
-    const = SCHEDULE_COLUMNS + [TARGET]
+                    n_dest: int = 11, extra: Sequence[str] = ()) -> DataFrame:
+    """The schedule columns + label (+ ``extra``); with ``weather`` also the
+    selected window hours (the reference's live setting is ``weather=False``)."""
+    const = [*SCHEDULE_COLUMNS, TARGET, *extra]
     if not weather:
         return df.select(*const)
     return select_hours(df, n_origin, n_dest, extra=const)
@@ -139,9 +140,13 @@ def weather_features(df: DataFrame) -> DataFrame:
 
 def prepare_features(ml: DataFrame, threshold: float, weather: bool = False,
                      n_origin: int = 11, n_dest: int = 11,
-                     year: bool = False, month: bool = False, day: bool = False) -> DataFrame:
-    """ML table -> the frame handed to the encoder."""
-    df = select_features(learning_table(ml, threshold), weather, n_origin, n_dest)
+                     year: bool = False, month: bool = False, day: bool = False,
+                     key: bool = False) -> DataFrame:
+    """ML table -> the frame handed to the encoder; with ``key`` also every
+    row's ``row_key``, by which samples and folds are drawn."""
+    if key:
+        ml = ml.withColumn(ROW_KEY, trip_key())
+    df = select_features(learning_table(ml, threshold), weather, n_origin, n_dest, extra=[ROW_KEY] if key else [])
     if weather:
         df = weather_features(df)
     return granularity(df, year, month, day)

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorIndexer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerowx.functions.hashing import ROW_KEY, bucket, place
+from aerowx.operators.encoding import column_sizes, label_means, replace_by_mean, value_counts
 from aerowx.operators.features import TARGET, feature_columns
+from aerowx.session import cut_lineage
 
 ASSEMBLED = "assembled"
+MARKED = "marked"
 FEATURES = "features"
 LABEL = "label"
 # Fixed values that must equal the reference's for identical results.
@@ -29,49 +36,123 @@ FOREST_MIN_INSTANCES = 20
 class ModelOptions:
     """What the encoder and the forest share or need.  ``categories`` is both
     the most values of a categorical feature and the number of bins: a forest
-    needs a bin for every category."""
+    needs a bin for every category.  A text column of more values becomes one
+    ordered number, its label mean out of ``mean_folds`` folds with
+    ``mean_prior`` rows of the overall mean."""
     categories: int = CATEGORIES
     handle_invalid: str = HANDLE_INVALID
     max_depth: int = FOREST_DEPTH
     subsampling: float = FOREST_SUBSAMPLE
     min_instances: int = FOREST_MIN_INSTANCES
+    mean_folds: int = 5
+    mean_prior: float = 20.0
     # deep trees: more node statistics per pass over the data, and a cached
     # row -> node map instead of walking every tree again
     memory_mb: int = 1024
     cache_node_ids: bool = True
 
 
-def encoder_for(df: DataFrame, options: ModelOptions = ModelOptions()) -> Pipeline:
+def key_of(df: DataFrame) -> Column:
+    """The row's key: ``row_key`` if the frame has it, else a hash of the
+    whole row (equal rows then share a place)."""
+    return F.col(ROW_KEY) if ROW_KEY in df.columns else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def encoder_for(df: DataFrame, options: ModelOptions = ModelOptions(), wide: Sequence[str] = ()) -> Pipeline:
     """Text columns numbered by frequency (ties by value), all columns in one
-    vector, and features of few values marked as categorical."""
+    vector, and features of few values marked as categorical.  The ``wide``
+    text columns are expected as numbers already and follow the others,
+    unmarked: they have an order, not categories."""
     numeric, text = feature_columns(df)
-    numbered = {c: INDEX_PREFIX + c for c in text}
-    number = [StringIndexer(inputCols=list(numbered), outputCols=list(numbered.values()),
-                            handleInvalid=options.handle_invalid)] if text else []
-    collect = VectorAssembler(inputCols=[*numbered.values(), *numeric], outputCol=ASSEMBLED,
-                              handleInvalid=options.handle_invalid)
-    mark = VectorIndexer(inputCol=ASSEMBLED, outputCol=FEATURES, maxCategories=options.categories,
-                         handleInvalid=options.handle_invalid)
-    return Pipeline(stages=[*number, collect, mark])
-
-
-def feature_names(df: DataFrame) -> list[tuple[str, str]]:
-    """("feature i", column) in assembled-vector order; reads the schema only."""
+    numbered = {c: INDEX_PREFIX + c for c in text if c not in wide}
+    means = [INDEX_PREFIX + c for c in text if c in wide]
+    marked = MARKED if means else FEATURES
+    stages = []
+    if numbered:
+        stages.append(StringIndexer(inputCols=list(numbered), outputCols=list(numbered.values()),
+                                    handleInvalid=options.handle_invalid))
+    if numbered or numeric:
+        stages += [VectorAssembler(inputCols=[*numbered.values(), *numeric], outputCol=ASSEMBLED,
+                                   handleInvalid=options.handle_invalid),
+                   VectorIndexer(inputCol=ASSEMBLED, outputCol=marked, maxCategories=options.categories,
+                                 handleInvalid=options.handle_invalid)]
+    if means:
+        stages.append(VectorAssembler(inputCols=([marked] if stages else []) + means, outputCol=FEATURES,
+                                      handleInvalid=options.handle_invalid))
+    return Pipeline(stages=stages)
+
+
+def feature_names(df: DataFrame, wide: Sequence[str] = ()) -> list[tuple[str, str]]:
+    """("feature i", column) in feature-vector order; reads the schema only."""
     num, txt = feature_columns(df)
-    cols = [INDEX_PREFIX + c for c in txt] + num
+    cols = [INDEX_PREFIX + c for c in txt if c not in wide] + num + [INDEX_PREFIX + c for c in txt if c in wide]
     return [(f"feature {i}", c) for i, c in enumerate(cols)]
 
 
+@dataclass(frozen=True)
+class Encoder:
+    """A fitted encoder.  ``means`` has the label means of the ``wide``
+    columns (a written table; none if there is no such column)."""
+    model: PipelineModel
+    wide: tuple[str, ...] = ()
+    means: DataFrame | None = None
+    options: ModelOptions = field(default_factory=ModelOptions)
+    seed: int = 42
+
+    @property
+    def stages(self):
+        return self.model.stages
+
+    def transform(self, df: DataFrame, seen: Column | None = None) -> DataFrame:
+        """``df`` with its feature vector.  ``seen`` tells which rows were
+        among those the encoder was fitted on (all, by default); their label
+        means leave out their own fold."""
+        if self.wide:
+            df = with_means(df, self.means, self.wide, self.options, self.seed, seen)
+        return self.model.transform(df)
+
+
+def mean_fold(df: DataFrame, options: ModelOptions, seed: int) -> Column:
+    return bucket(key_of(df), "mean", seed, options.mean_folds)
+
+
+def with_means(df: DataFrame, means: DataFrame, wide: Sequence[str], options: ModelOptions, seed: int,
+               seen: Column | None = None) -> DataFrame:
+    """Every wide column ``c`` as its label mean, ``indexed_c``."""
+    cols = df.columns
+    df = df.withColumns({"_fold": mean_fold(df, options, seed), "_seen": F.lit(True) if seen is None else seen})
+    for c in wide:
+        df = replace_by_mean(df, means, c, INDEX_PREFIX + c, F.col("_fold"), F.col("_seen"),
+                             keep_unknown=options.handle_invalid != "skip")
+    return df.select(*[f"`{c}`" for c in cols], *[f"`{INDEX_PREFIX}{c}`" for c in wide])
+
+
 def fit_encoder(df: DataFrame, options: ModelOptions = ModelOptions(),
-                train_only: DataFrame | None = None) -> PipelineModel:
+                train_only: DataFrame | None = None, target: str = TARGET, seed: int = 42) -> Encoder:
     """Fit the encoder on ``df`` (or on ``train_only`` when given, to keep
-    the held-out rows out of the category statistics)."""
-    return encoder_for(df, options).fit(train_only if train_only is not None else df)
+    the held-out rows out of the category statistics).
+
+    Text columns are told apart by their exact number of values; only those
+    of at most ``options.categories`` send their values to the driver."""
+    rows = train_only if train_only is not None else df
+    _, text = feature_columns(rows)
+    sizes = column_sizes(value_counts(rows, text)) if text else {}
+    wide = tuple(c for c in text if sizes.get(c, 0) > options.categories)
+    means = None
+    if wide:
+        means = cut_lineage(label_means(rows, wide, target, mean_fold(rows, options, seed),
+                                        options.mean_folds, options.mean_prior))
+        rows_fit = with_means(rows, means, wide, options, seed)
+    else:
+        rows_fit = rows
+    return Encoder(encoder_for(rows, options, wide).fit(rows_fit), wide, means, options, seed)
 
 
-def encode(df: DataFrame, model: PipelineModel, target: str = TARGET) -> DataFrame:
-    """(features, label) rows; rows with an invalid value are skipped."""
-    return model.transform(df).select(FEATURES, F.col(target).alias(LABEL))
+def encode(df: DataFrame, model: Encoder, target: str = TARGET, seen: Column | None = None) -> DataFrame:
+    """(features, label) rows, and the row's key if ``df`` has it; rows with an
+    invalid value are skipped."""
+    key = [ROW_KEY] if ROW_KEY in df.columns else []
+    return model.transform(df, seen).select(FEATURES, F.col(target).alias(LABEL), *key)
 
 
 def colocate(df: DataFrame, n: int | None, *cols: str, salt: int = 1) -> DataFrame:
@@ -80,24 +161,37 @@ def colocate(df: DataFrame, n: int | None, *cols: str, salt: int = 1) -> DataFra
     hash of the whole row, so that a hot key is no single task's work."""
     if not n:
         return df
-    bucket = [F.pmod(F.xxhash64(*df.columns), F.lit(salt))] if salt > 1 else []
-    return df.repartition(n, *cols, *bucket)
+    bucket_ = [F.pmod(F.xxhash64(*df.columns), F.lit(salt))] if salt > 1 else []
+    return df.repartition(n, *cols, *bucket_)
 
 
 def balance(df: DataFrame, label_col: str = LABEL, seed: int = 42) -> DataFrame:
-    """Down-sample the larger class to about the size of the smaller one
-    with ``sampleBy`` (the smaller class is kept whole).  The two class
+    """Down-sample the larger class to about the size of the smaller one (the
+    smaller class is kept whole): a row of the larger stays if its place, a
+    seeded hash of its key, lies below the ratio of the sizes.  The two class
     counts are the only values collected to the driver."""
     counts = {r[label_col]: r["count"] for r in df.groupBy(label_col).count().collect()}
     if len(counts) < 2:
         return df
     (major, nmax), (minor, nmin) = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))
-    fractions = {minor: 1.0, major: nmin / nmax}
-    return df.sampleBy(label_col, fractions=fractions, seed=seed)
+    at = place(key_of(df), "balance", seed)
+    return df.where((F.col(label_col) == minor) | ((F.col(label_col) == major) & (at < F.lit(nmin / nmax))))
 
 
 def split(df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int | None = 42) -> list[DataFrame]:
-    return df.randomSplit(list(weights), seed=seed)
+    """Parts of the given weights by the place of each row's key, the same for
+    any partitioning; rows of one key stay together."""
+    return [df.where(c) for c in in_parts(df, weights, seed)]
+
+
+def in_parts(df: DataFrame, weights: Sequence[float] = (0.7, 0.3), seed: int | None = 42) -> list[Column]:
+    """For each part of ``split``, whether a row is in it."""
+    at = place(key_of(df), "split", 42 if seed is None else seed)
+    total, bounds = sum(weights), [0.0]
+    for w in weights:
+        bounds.append(bounds[-1] + w / total)
+    bounds[-1] = 1.0
+    return [(at >= F.lit(lo)) & (at < F.lit(hi)) for lo, hi in zip(bounds, bounds[1:])]
 
 
 def forest(num_trees: int, options: ModelOptions = ModelOptions(), seed: int | None = 42) -> RandomForestClassifier:
@@ -112,23 +206,54 @@ def train_forest(train: DataFrame, num_trees: int, options: ModelOptions = Model
     return forest(num_trees, options, seed).fit(train)
 
 
+def together(df: DataFrame, jobs: Sequence[Callable], parallelism: int) -> list:
+    """Run independent Spark jobs from driver threads, each in a scheduler
+    pool of its own (pools share the cluster evenly where the session
+    schedules fairly), and return their results in order."""
+    context = df.sparkSession.sparkContext
+
+    def pooled(numbered):
+        i, job = numbered
+        context.setLocalProperty("spark.scheduler.pool", f"fit-{i}")
+        return job()
+
+    with ThreadPoolExecutor(max(1, min(parallelism, len(jobs)))) as threads:
+        return list(threads.map(inheritable_thread_target(df.sparkSession)(pooled), enumerate(jobs)))
+
+
+def shard_of(df: DataFrame, shards: int, seed: int = 42) -> Column:
+    return bucket(key_of(df), "shard", seed, shards)
+
+
 def train_sharded(train: DataFrame, test: DataFrame, shards: int, num_trees: int,
-                  options: ModelOptions = ModelOptions(), seed: int = 42) -> DataFrame:
-    """Train one forest per random shard of the training rows and score the
-    matching shard of the test rows; the predictions are unioned."""
-    tr = train.randomSplit([1.0] * shards, seed=seed)
-    te = test.randomSplit([1.0] * shards, seed=seed)
-    out = None
-    for a, b in zip(tr, te):
-        p = train_forest(a, num_trees, options).transform(b)
-        out = p if out is None else out.unionByName(p)
-    return out
+                  options: ModelOptions = ModelOptions(), seed: int = 42, parallelism: int = 4) -> DataFrame:
+    """A forest for each hashed shard of the training rows, trained side by
+    side (``parallelism`` at a time); each scores the same shard of the test
+    rows.  The predictions have their ``shard``; a shard without training rows
+    scores nothing."""
+    train = train.withColumn("shard", shard_of(train, shards, seed))
+    test = test.withColumn("shard", shard_of(test, shards, seed))
+    filled = [r["shard"] for r in train.select("shard").distinct().orderBy("shard").collect()]
+    fit = lambda i: lambda: train_forest(train.where(F.col("shard") == i), num_trees, options, seed)
+    models = together(train, [fit(i) for i in filled], parallelism)
+    return reduce(DataFrame.unionByName,
+                  [m.transform(test.where(F.col("shard") == i)) for i, m in zip(filled, models)])
+
+
+FOLD = "fold"
+
+
+def with_folds(df: DataFrame, folds: int, seed: int = 42) -> DataFrame:
+    """Cross-validation folds by the row's key, so that they can be formed
+    again anywhere."""
+    return df.withColumn(FOLD, bucket(key_of(df), "fold", seed, folds))
 
 
 def grid_search(train: DataFrame, num_trees: Sequence[int], depths: Sequence[int],
                 min_instances: Sequence[int], folds: int = 3, parallelism: int = 4,
                 options: ModelOptions = ModelOptions(), seed: int = 42):
-    """Cross-validated grid over trees x depth x min instances (AUC)."""
+    """Cross-validated grid over trees x depth x min instances (AUC), on the
+    folds of ``with_folds``."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
     rf = forest(num_trees[0], options, seed)
@@ -137,13 +262,18 @@ def grid_search(train: DataFrame, num_trees: Sequence[int], depths: Sequence[int
             .addGrid(rf.minInstancesPerNode, list(min_instances)).build())
     cv = CrossValidator(estimator=rf, estimatorParamMaps=grid,
                         evaluator=BinaryClassificationEvaluator(labelCol=LABEL),
-                        numFolds=folds, parallelism=parallelism, seed=seed)
-    return cv.fit(train)
+                        numFolds=folds, parallelism=parallelism, seed=seed, foldCol=FOLD)
+    return cv.fit(with_folds(train, folds, seed))
+
+
+def grid_scores(cv_model) -> list[dict]:
+    """The grid's points with their mean metric, best first (ties: the point
+    of fewer trees, less depth, more instances)."""
+    points = [{p.name: int(v) for p, v in pm.items()} | {"metric": m}
+              for pm, m in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics)]
+    return sorted(points, key=lambda d: (-d["metric"], d["numTrees"], d["maxDepth"], -d["minInstancesPerNode"]))
 
 
 def best_params(cv_model) -> dict:
     """Parameters of the grid point with the best mean metric."""
-    metrics = list(cv_model.avgMetrics)
-    i = max(range(len(metrics)), key=metrics.__getitem__)
-    pm = cv_model.getEstimatorParamMaps()[i]
-    return {p.name: v for p, v in pm.items()} | {"metric": metrics[i]}
+    return grid_scores(cv_model)[0]

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from aerowx.functions.timecols import (arrival_ts, departure_ts, format_date,
                                        split_hhmm, to_seconds, weather_ts)
 from aerowx.functions.weathercols import sky_condition, to_double
+from aerowx.functions.hashing import ROW_KEY
 from aerowx.operators import clean as C
+from aerowx.operators import encoding as E
 from aerowx.operators import features as FT
 from aerowx.operators import metrics as M
 from aerowx.operators import model as MD
@@ -146,7 +148,7 @@ class Ctx:
         # narrow frame (5 columns) reused by both encoder fits and the
         # encoding: a reliable checkpoint in the shared folder computes the
         # preprocess plan once per query
-        return self._get("features", lambda: cut_lineage(FT.prepare_features(self.ml, THRESHOLD)))
+        return self._get("features", lambda: cut_lineage(FT.prepare_features(self.ml, THRESHOLD, key=True)))
 
     @property
     def encoder(self):
@@ -676,30 +678,54 @@ def encode_pipeline(c: Ctx):
     return c.encoded.select(*[arr[i].alias(f"v{i}") for i in range(4)], "label")
 
 
+@_q
+def string_index_wide(c: Ctx):
+    """Every slot (origin, destination and hour) numbered by frequency, the
+    values sorted and numbered across partitions."""
+    return E.number_values(E.value_counts(_slots(c), [SLOT])).select("value", "index")
+
+
+@_q
+def encode_wide(c: Ctx):
+    """Slots have more values than a forest has bins: each row's slot as the
+    label mean of that slot outside the row's fold."""
+    rows = _slots(c)
+    encoder = MD.fit_encoder(rows)
+    return MD.with_means(rows, encoder.means, encoder.wide, MD.ModelOptions(), encoder.seed).select(
+        SLOT, "Hour_SA", F.round(MD.INDEX_PREFIX + SLOT, 9).alias("slot_mean"), FT.TARGET)
+
+
 @_q
 def class_balance(c: Ctx):
-    """Per label: rows before, whether balancing keeps all of them, and
-    whether what stays lies within five standard deviations of the smaller
-    class's size."""
+    """Per label: rows before and after, whether balancing keeps all of them,
+    and whether what stays lies within five standard deviations of the
+    smaller class's size."""
     before = M.label_counts(c.encoded).withColumnRenamed("count", "n_before")
     after = M.label_counts(MD.balance(c.encoded)).select(F.col("label").alias("l"), F.col("count").alias("n_after"))
     least = before.agg(F.min("n_before")).scalar()
     return before.join(after, before.label == after.l).select(
-        "label", "n_before", (F.col("n_after") == F.col("n_before")).alias("kept_whole"),
+        "label", "n_before", "n_after", (F.col("n_after") == F.col("n_before")).alias("kept_whole"),
         (F.abs(F.col("n_after") - least) <= 5 * F.sqrt(least) + 1).alias("within_bound"))
 
 
 @_q
 def train_test_split(c: Ctx):
-    """Rows, rows in the two parts, and rows in both of them."""
-    rows = cut_lineage(c.encoded.withColumn("row", F.monotonically_increasing_id()))
-    train, test = (p.select("row") for p in MD.split(rows))
-    shared = train.join(test, "row").agg(F.count("*")).scalar()
-    parts = train.unionByName(test).agg(F.count("*")).scalar()
-    return rows.agg(F.count("*").alias("n_rows"), F.first(parts).alias("n_in_parts"), F.first(shared).alias("n_in_both"))
+    """Rows, rows of each of the two parts, and keys in both of them."""
+    train, test = MD.split(c.encoded)
+    keys = train.select(ROW_KEY).distinct().join(test.select(ROW_KEY).distinct(), ROW_KEY)
+    n = lambda df: df.agg(F.count("*")).scalar()
+    return c.encoded.agg(F.count("*").alias("n_rows")).select(
+        "n_rows", n(train).alias("n_train"), n(test).alias("n_test"), n(keys).alias("n_in_both"))
 
 
 TREES = 10
+SLOT = "SLOT"
+
+
+def _slots(c: Ctx) -> DataFrame:
+    """The feature frame with one more text column, of many values."""
+    return c.features.withColumn(SLOT, F.concat_ws("-", "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID",
+                                                   F.col("Hour_SO").cast("string")))
 
 
 def _forest(c: Ctx):
@@ -789,45 +815,71 @@ def weather_type_closed(c: Ctx):
 
 @_q
 def weather_features(c: Ctx):
-    """Feature frame with the window columns switched on."""
-    return FT.prepare_features(c.ml, THRESHOLD, weather=True, n_origin=2, n_dest=2)
+    """Feature frame with all hours of both windows switched on."""
+    return FT.prepare_features(c.ml, THRESHOLD, weather=True, n_origin=11, n_dest=11)
 
 
 @_q
 def forest_shards(c: Ctx):
-    """A forest per shard of the training rows scores its shard of all rows."""
+    """A forest per shard of the training rows, trained side by side, scores
+    its shard of all rows."""
     train, _ = MD.split(MD.balance(c.encoded))
-    return _scored(MD.train_sharded(train, c.encoded, shards=3, num_trees=TREES))
+    scored = MD.train_sharded(train, c.encoded, shards=3, num_trees=TREES)
+    return scored.where(F.col("prediction").isin(0.0, 1.0)).groupBy("shard", "label").agg(
+        F.count("*").alias("n_scored"))
+
 
+@_q
+def forest_wide(c: Ctx):
+    """A forest with the slots among its features scores every row."""
+    rows = MD.encode(_slots(c), MD.fit_encoder(_slots(c)))
+    train, _ = MD.split(MD.balance(rows))
+    return _scored(MD.train_forest(train, TREES).transform(rows))
 
-GRID = {"num_trees": [2, 4], "depths": [3, 5], "min_instances": [10, 20]}
 
+# Fixed values that must equal the reference's: its grid.
+GRID = {"num_trees": [60, 70], "depths": [10, 20], "min_instances": [20, 30]}
+FOLDS = 3
 
-def _grid(c: Ctx):
-    train, _ = MD.split(MD.balance(c.encoded))
-    return MD.grid_search(train, **GRID, folds=3, parallelism=2)
+
+def _grid_rows(c: Ctx) -> DataFrame:
+    """The balanced training part, written: every fit reads it."""
+    return cut_lineage(MD.split(MD.balance(c.encoded))[0])
 
 
 @_q
 def grid_search(c: Ctx):
-    """Every point of the cross-validated grid, and whether it got a mean AUC."""
-    cv = _grid(c)
-    rows = []
-    for pm, metric in zip(cv.getEstimatorParamMaps(), cv.avgMetrics):
-        d = {p.name: int(v) for p, v in pm.items()}
-        rows.append((d["numTrees"], d["maxDepth"], d["minInstancesPerNode"], bool(0.0 <= metric <= 1.0)))
-    return c.spark.createDataFrame(rows, "numTrees int, maxDepth int, minInstancesPerNode int, scored boolean")
+    """Every point of the cross-validated grid and fold: rows trained on, rows
+    and late rows held out, and whether the point got a mean AUC."""
+    rows = _grid_rows(c)
+    cv = MD.grid_search(rows, **GRID, folds=FOLDS)
+    points = [(d["numTrees"], d["maxDepth"], d["minInstancesPerNode"], bool(0.0 <= d["metric"] <= 1.0))
+              for d in MD.grid_scores(cv)]
+    grid = c.spark.createDataFrame(points, "numTrees int, maxDepth int, minInstancesPerNode int, scored boolean")
+    held = MD.with_folds(rows, FOLDS).groupBy(MD.FOLD).agg(
+        F.count("*").alias("n_held_out"), F.sum("label").cast("long").alias("n_late_held_out"))
+    total = rows.agg(F.count("*")).scalar()
+    return held.withColumn("n_trained", total - F.col("n_held_out")).join(F.broadcast(grid))
 
 
 @_q
 def best_params(c: Ctx):
-    """Whether the winner is a grid point and no other has a better mean."""
-    cv = _grid(c)
-    b = MD.best_params(cv)
+    """Whether the winner is a grid point, and the best one by an AUC counted
+    apart: its folds are formed, fitted and ranked again, one by one."""
+    rows = _grid_rows(c)
+    scores = MD.grid_scores(MD.grid_search(rows, **GRID, folds=FOLDS))
+    b = scores[0]
     in_grid = (b["numTrees"] in GRID["num_trees"] and b["maxDepth"] in GRID["depths"]
                and b["minInstancesPerNode"] in GRID["min_instances"])
-    return c.spark.createDataFrame([(bool(in_grid), bool(b["metric"] == max(cv.avgMetrics)))],
-                                   "in_grid boolean, is_best boolean")
+    options = MD.ModelOptions(max_depth=b["maxDepth"], min_instances=b["minInstancesPerNode"])
+    folded = MD.with_folds(rows, FOLDS)
+    again = 0.0
+    for k in range(FOLDS):
+        held = F.col(MD.FOLD) == k
+        model = MD.train_forest(folded.where(~held), b["numTrees"], options)
+        again += M.ranked_auc(model.transform(folded.where(held))).first()["auc"] / FOLDS
+    is_best = abs(again - b["metric"]) < 1e-6 and all(again >= d["metric"] - 1e-6 for d in scores)
+    return c.spark.createDataFrame([(bool(in_grid), bool(is_best))], "in_grid boolean, is_best boolean")
 
 
 @_q
@@ -909,6 +961,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assemble_vector": assemble_vector,
     "vector_index": vector_index,
     "encode_pipeline": encode_pipeline,
+    "string_index_wide": string_index_wide,
+    "encode_wide": encode_wide,
     "class_balance": class_balance,
     "train_test_split": train_test_split,
     "random_forest": random_forest,
@@ -924,6 +978,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weather_type_closed": weather_type_closed,
     "weather_features": weather_features,
     "forest_shards": forest_shards,
+    "forest_wide": forest_wide,
     "grid_search": grid_search,
     "best_params": best_params,
     "ml_table": ml_table,

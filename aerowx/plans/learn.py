@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from aerowx.operators.features import prepare_features
 from aerowx.operators.metrics import auc, label_counts, prf
 from aerowx.operators.model import (ModelOptions, balance, colocate, encode, fit_encoder,
-                                    split, train_forest)
+                                    in_parts, split, train_forest)
 from aerowx.session import cut_lineage
 
 
@@ -34,15 +34,16 @@ def learn(ml: DataFrame, threshold: float = 45, num_trees: int = 10, *,
     """Learning table -> trained and scored forest.  ``year``, ``month`` and
     ``day`` keep those date parts; ``options`` are the encoder's and the
     forest's."""
-    feats = prepare_features(ml, threshold, weather, n_origin, n_dest, year, month, day)
+    feats = prepare_features(ml, threshold, weather, n_origin, n_dest, year, month, day, key=True)
     feats = colocate(feats, partitions, "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", salt=salt)
     # Reliable checkpoint of the feature frame into the shared
     # spark.checkpoint.dir: the preprocess plan runs once for the encoder
-    # fits and the encoding, and sampling / splitting see the same rows in
-    # the same partitions even if an executor is lost.
+    # fits and the encoding.  Samples and parts are drawn by the rows' keys,
+    # so they are the same whatever the partitioning.
     feats = cut_lineage(feats)
     train_only = split(feats, seed=seed)[0] if fit_on_train_only else None
-    enc = encode(feats, fit_encoder(feats, options, train_only)).persist()
+    seen = in_parts(feats, seed=seed)[0] if fit_on_train_only else None
+    enc = encode(feats, fit_encoder(feats, options, train_only, seed=seed), seen=seen).persist()
     counts = lambda df: {int(r["label"]): r["count"] for r in label_counts(df).collect()}
     before = counts(enc)
     bal = balance(enc, seed=seed)

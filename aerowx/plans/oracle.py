@@ -180,7 +180,9 @@ learn_base AS (
          cast((day(CRS_DEP_TIMESTAMP) - 1) % 7 + 1 AS INTEGER) AS Day_SO,
          cast((day(SCHEDULED_ARRIVAL_TIMESTAMP) - 1) % 7 + 1 AS INTEGER) AS Day_SA,
          cast(year(CRS_DEP_TIMESTAMP) AS INTEGER) AS Year_SO, cast(year(SCHEDULED_ARRIVAL_TIMESTAMP) AS INTEGER) AS Year_SA,
-         CASE WHEN ARR_DELAY_NEW >= {threshold} THEN 1 ELSE 0 END AS Target
+         CASE WHEN ARR_DELAY_NEW >= {threshold} THEN 1 ELSE 0 END AS Target,
+         ('0x' || substr(md5(concat_ws('|', ORIGIN_AIRPORT_ID, DEST_AIRPORT_ID, strftime(CRS_DEP_TIMESTAMP, '%Y%m%d%H%M'),
+           strftime(SCHEDULED_ARRIVAL_TIMESTAMP, '%Y%m%d%H%M'), cast(round(ARR_DELAY_NEW * 100) AS BIGINT))), 1, 15))::BIGINT AS row_key
   FROM t_both),
 idx_origin AS (
   SELECT ORIGIN_AIRPORT_ID AS v, cast(row_number() OVER (ORDER BY count(*) DESC, ORIGIN_AIRPORT_ID) - 1 AS DOUBLE) AS idx
@@ -342,7 +344,7 @@ GROUP BY l.tid, l.ORIGIN_AIRPORT_ID, l.DEST_AIRPORT_ID, l.Hour_SO, l.Hour_SA, l.
          l.Day_SA, l.Year_SO, l.Year_SA, l.Target"""
 
 
-def weather_features_sql(n_origin: int = 2, n_dest: int = 2) -> str:
+def weather_features_sql(n_origin: int = 11, n_dest: int = 11) -> str:
     """Feature frame with the window columns on: measures of each kept hour,
     its hour of day (year/month/day dropped by granularity 0,0,0) and the
     weather-type flags."""
@@ -366,6 +368,31 @@ FROM learn_base l JOIN wo_rows wo ON l.tid = wo.tid JOIN wd_rows wd ON l.tid = w
 GROUP BY l.tid, l.ORIGIN_AIRPORT_ID, l.DEST_AIRPORT_ID, l.Hour_SO, l.Hour_SA, l.Target"""
 
 
+def _place(purpose: str) -> str:
+    """A row's place in [0, 1), by purpose and seed 42."""
+    return f"(('0x' || substr(md5('{purpose}:42:' || row_key), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0)"
+
+
+_BALANCED = f""", sizes AS (SELECT Target AS label, count(*) AS n FROM assembled GROUP BY Target),
+major AS (SELECT label FROM sizes ORDER BY n DESC, label LIMIT 1),
+ratio AS (SELECT min(n)::DOUBLE / max(n)::DOUBLE AS r FROM sizes),
+balanced AS (SELECT a.* FROM assembled a, major m, ratio WHERE a.Target <> m.label OR {_place("balance")} < r),
+train AS (SELECT * FROM balanced WHERE {_place("split")} < 0.7)"""
+
+
+def _encode_wide_sql(folds: int = 5, prior: float = 20.0) -> str:
+    return f""", slotted AS (
+  SELECT ORIGIN_AIRPORT_ID || '-' || DEST_AIRPORT_ID || '-' || Hour_SO AS SLOT, Hour_SA, Target,
+         cast(floor({_place("mean")} * {folds}) AS INTEGER) AS f
+  FROM learn_base),
+outside AS (  -- rows of a slot and of all slots that are not in the fold
+  SELECT k.f, s.SLOT, sum(CASE WHEN s.f <> k.f THEN 1 ELSE 0 END) AS n, sum(CASE WHEN s.f <> k.f THEN Target ELSE 0 END) AS y
+  FROM slotted s, range({folds}) k(f) GROUP BY k.f, s.SLOT),
+base AS (SELECT f, sum(y)::DOUBLE / sum(n)::DOUBLE AS base FROM outside GROUP BY f)
+SELECT s.SLOT, s.Hour_SA, s.Target, round((o.y + {prior} * b.base) / (o.n + {prior}), 9) AS slot_mean
+FROM slotted s JOIN outside o ON s.SLOT = o.SLOT AND s.f = o.f JOIN base b ON s.f = b.f"""
+
+
 LEARN_COLS = ("ORIGIN_AIRPORT_ID, DEST_AIRPORT_ID, Hour_SO, Hour_SA, Month_SO, Month_SA, "
               "Day_SO, Day_SA, Year_SO, Year_SA, Target")
 
@@ -488,15 +515,26 @@ BODIES: dict[str, str] = {
     "precision_recall_f1": """SELECT round(p, 6) AS precision, round(r, 6) AS recall, round(2 * p * r / (p + r), 6) AS f1
         FROM (SELECT cast(tp AS DOUBLE) / (tp + fp) AS p, cast(tp AS DOUBLE) / (tp + fn) AS r FROM confusion)""",
     # ---- model steps: what holds of every run, from the rows
-    "class_balance": """SELECT Target AS label, count(*) AS n_before,
-        row_number() OVER (ORDER BY count(*) DESC, Target) = 2 AS kept_whole, TRUE AS within_bound
-        FROM learn_base GROUP BY Target""",
-    "train_test_split": "SELECT count(*) AS n_rows, count(*) AS n_in_parts, 0::BIGINT AS n_in_both FROM assembled",
+    "string_index_wide": """SELECT ORIGIN_AIRPORT_ID || '-' || DEST_AIRPORT_ID || '-' || Hour_SO AS value,
+        cast(row_number() OVER (ORDER BY count(*) DESC, value) - 1 AS DOUBLE) AS index FROM learn_base GROUP BY value""",
+    "encode_wide": _encode_wide_sql(),
+    "class_balance": _BALANCED + """
+        SELECT s.label, s.n AS n_before, b.n_after, s.n = b.n_after AS kept_whole,
+               abs(b.n_after - (SELECT min(n) FROM sizes)) <= 5 * sqrt((SELECT min(n) FROM sizes)) + 1 AS within_bound
+        FROM sizes s JOIN (SELECT Target AS label, count(*) AS n_after FROM balanced GROUP BY Target) b ON s.label = b.label""",
+    "train_test_split": f"""SELECT count(*) AS n_rows, count(*) FILTER (WHERE {_place("split")} < 0.7) AS n_train,
+        count(*) FILTER (WHERE {_place("split")} >= 0.7) AS n_test, 0::BIGINT AS n_in_both FROM assembled""",
     "random_forest": "SELECT count(*) AS n_scored, 10 AS n_trees, TRUE AS depth_kept FROM assembled",
     "predict": "SELECT Target AS label, count(*) AS n_scored FROM assembled GROUP BY Target",
-    "forest_shards": "SELECT Target AS label, count(*) AS n_scored FROM assembled GROUP BY Target",
-    "grid_search": """SELECT t AS "numTrees", d AS "maxDepth", m AS "minInstancesPerNode", TRUE AS scored
-        FROM unnest([2, 4]) a(t), unnest([3, 5]) b(d), unnest([10, 20]) c(m)""",
+    "forest_shards": f"""SELECT cast(floor({_place("shard")} * 3) AS INTEGER) AS shard, Target AS label, count(*) AS n_scored
+        FROM assembled GROUP BY ALL""",
+    "forest_wide": "SELECT Target AS label, count(*) AS n_scored FROM assembled GROUP BY Target",
+    "grid_search": _BALANCED + f""", held AS (
+          SELECT cast(floor({_place("fold")} * 3) AS INTEGER) AS fold, count(*) AS n_held_out,
+                 sum(Target)::BIGINT AS n_late_held_out, (SELECT count(*) FROM train) - count(*) AS n_trained
+          FROM train GROUP BY 1)
+        SELECT held.*, t AS "numTrees", d AS "maxDepth", m AS "minInstancesPerNode", TRUE AS scored
+        FROM held, unnest([60, 70]) a(t), unnest([10, 20]) b(d), unnest([20, 30]) c(m)""",
     "best_params": "SELECT TRUE AS in_grid, TRUE AS is_best",
     "application": wide_sql(),
     # ---- physical controls
