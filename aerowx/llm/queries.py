@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .binary_records import write_and_read
+from .bisector_clusters import cluster
 from .byte_bpe import encode_and_decode
 from .common import table
 from .exact_dedup import exact_dedup
@@ -15,6 +16,7 @@ from .hnsw import nearest
 from .lang_id import language_id
 from .minhash_dedup import near_dedup
 from .mixing import mix
+from .phrase_index import decontaminate
 from .pii import replace_pii
 from .secret_scan import secret_scan
 from .token_counts import tokens_by_line
@@ -72,6 +74,16 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in 16 clusters after three rounds."""
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that stand in a window of a benchmark item."""
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_byte_bpe": op2_byte_bpe,
@@ -83,8 +95,45 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_nearest": op9_nearest,
     "op10_binary_records": op10_binary_records,
+    "op12_bisector_clusters": op12_bisector_clusters,
+    "op13_decontamination": op13_decontamination,
 }
 
+
+def _clusters_sql(rounds: int = 3) -> str:
+    """Every round as three steps: all distances, the nearest, the new centroids."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+        dist{i} AS (
+          SELECT v.r, c.c, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM cells v JOIN cent{i} c ON v.i = c.i GROUP BY ALL),
+        near{i} AS (
+          SELECT r, c, d FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, c) AS k FROM dist{i}) WHERE k = 1)""")
+        if i < rounds:
+            steps.append(f"""
+        moved{i} AS (
+          SELECT n.c, v.i, sum(v.x)::BIGINT AS s, count(*) AS n FROM near{i} n JOIN cells v ON n.r = v.r GROUP BY ALL),
+        cent{i + 1} AS (
+          SELECT c.c, c.i, CASE WHEN m.n IS NULL THEN c.x ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS x
+          FROM cent{i} c LEFT JOIN moved{i} m ON c.c = m.c AND c.i = m.i)""")
+    return f"""
+        WITH kept AS (
+          SELECT row_number() OVER () AS r, vec_id, sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h,
+                 list_transform(embedding, lambda x: floor(64.0 * x::DOUBLE)::BIGINT) AS v
+          FROM embeddings WHERE len(embedding) = 64
+            AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        cells AS (SELECT r, unnest(range(64)) AS i, unnest(v) AS x FROM kept),
+        cent0 AS (
+          SELECT c, unnest(range(64)) AS i, unnest(v) AS x
+          FROM (SELECT v, row_number() OVER (ORDER BY h, v) - 1 AS c FROM kept ORDER BY h, v LIMIT 16)),
+        {",".join(steps)},
+        facts AS (
+          SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM cent{rounds} GROUP BY c)
+        SELECT vec_id, n.c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY n.c)::BIGINT AS cluster_inertia,
+               sum(d) OVER ()::BIGINT AS inertia, centroid_sha256
+        FROM near{rounds} n JOIN kept k ON n.r = k.r JOIN facts f ON n.c = f.c"""
+
+
 ORACLE_SQL = {
     "op5_source_mix": r"""
         WITH sized AS (
@@ -122,4 +171,43 @@ ORACLE_SQL = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op12_bisector_clusters": _clusters_sql(),
+    "op13_decontamination": r"""
+        WITH docs AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+          FROM documents),
+        items AS (
+          SELECT row_number() OVER () AS t, coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+          FROM benchmark),
+        words AS (SELECT r, unnest(ws) AS w, unnest(range(len(ws))) AS p FROM docs),
+        wins AS (
+          SELECT t, item, o, size, list_slice(ws, o + 1, o + size) AS ws
+          FROM (SELECT *, least(10, len(ws)) AS size, unnest(range(len(ws) - least(10, len(ws)) + 1)) AS o
+                FROM items WHERE len(ws) > 0)),
+        grams AS (
+          SELECT r, p, size, list_slice(ws, p + 1, p + size) AS ws
+          FROM (SELECT d.*, size, unnest(range(len(d.ws) - size + 1)) AS p
+                FROM docs d, (SELECT DISTINCT size FROM wins) WHERE len(d.ws) >= size)),
+        occ AS (SELECT r, p, item, g.size FROM grams g JOIN wins w ON g.size = w.size AND g.ws = w.ws),
+        hit AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + size)) AS q FROM occ) GROUP BY r),
+        of_doc AS (
+          SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+          FROM (SELECT DISTINCT r, item FROM occ) GROUP BY r),
+        -- windows whose words all stand within two places, seen from the rarest
+        win_words AS (SELECT t, item, o, size, unnest(ws) AS w, unnest(range(size)) AS i FROM wins),
+        rarity AS (SELECT w, count(*) AS n FROM words GROUP BY w),
+        rarest AS (
+          SELECT t, o, arg_min(i, (n, i)) AS i1, arg_min(w, (n, i)) AS w1 FROM win_words JOIN rarity USING (w) GROUP BY t, o),
+        seen AS (SELECT k.t, k.o, k.i1, x.r, x.p FROM rarest k JOIN words x ON x.w = k.w1),
+        near AS (
+          SELECT s.r, v.item FROM seen s JOIN win_words v ON s.t = v.t AND s.o = v.o
+          JOIN words x ON x.r = s.r AND x.w = v.w AND abs(x.p - (s.p + v.i - s.i1)) <= 2
+          GROUP BY s.t, s.o, s.r, s.p, v.item, v.size HAVING count(DISTINCT v.i) = v.size),
+        near_doc AS (SELECT r, count(DISTINCT item) AS n_near_items FROM near GROUP BY r)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+               coalesce(n_near_items, 0) AS n_near_items
+        FROM docs LEFT JOIN hit USING (r) LEFT JOIN of_doc USING (r) LEFT JOIN near_doc USING (r)""",
 }
