@@ -19,6 +19,7 @@ from .mixing import mix
 from .phrase_index import decontaminate
 from .pii import replace_pii
 from .secret_scan import secret_scan
+from .spelling_variants import spelling_variants
 from .token_counts import tokens_by_line
 
 
@@ -74,6 +75,11 @@ def op10_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors in 16 clusters after three rounds."""
     return cluster(table(spark, sf_dir, "embeddings"))
@@ -95,6 +101,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_nearest": op9_nearest,
     "op10_binary_records": op10_binary_records,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_bisector_clusters": op12_bisector_clusters,
     "op13_decontamination": op13_decontamination,
 }
