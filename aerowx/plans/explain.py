@@ -11,7 +11,7 @@ import re
 import sys
 from collections import Counter
 
-from aerowx.operators.windows import widen
+from aerowx.operators.packed import widen_packed
 from aerowx.plans import preprocess as PP
 from aerowx.session import get_spark
 from aerowx.sources import fixtures as FX
@@ -22,7 +22,7 @@ def final_plan(df) -> tuple[int, str]:
     finalized) and return (rows, final plan)."""
     rows = df._jdf.queryExecution().toRdd().count()  # counted on the executors
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return rows, plan.split("+- == Initial Plan ==")[0]
+    return rows, plan.split("\n+- == Initial Plan ==")[0]  # subqueries have one of their own
 
 
 def operators(plan: str) -> str:
@@ -38,8 +38,9 @@ def main(sf_dir: str = "/root/testdata/sf0.01", out: str = "PLANS.md") -> None:
     p = PP.prepare(FX.flights(spark, sf_dir), FX.weather(spark, sf_dir), FX.stations(spark, sf_dir))
     items = [
         ("hourly observations", p.observations),
-        ("learning table: lists in a checkpoint, hash tables per partition",
-         widen(PP.with_windows(p, colocate=True, persist_lists=True))),
+        ("learning table: lists stored in buckets, hash tables per partition",
+         widen_packed(PP.packed_windows(p, colocate=True, persist_lists=True))),
+        ("learning table: hot keys spread", widen_packed(PP.packed_windows(p, hot_share=0.002))),
     ]
     parts = [f"# Final plans, broadcasts off ({sf_dir})\n\nGenerated by `python -m aerowx.plans.explain`.\n"]
     for title, df in items:

@@ -12,13 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from aerowx.operators.clean import dedup, operated_trips
+from aerowx.operators.hotkeys import find_hot_keys
 from aerowx.operators.observations import complete_lists
+from aerowx.operators.packed import attach_isolated, attach_packed, pack, unpack, widen_packed
 from aerowx.operators.schedule import schedule
 from aerowx.operators.stations import all_airports, attach_stations
 from aerowx.operators.weather import hourly_observations
-from aerowx.session import cut_lineage
-from aerowx.operators.windows import (attach_window, attach_windows,
-                                      attach_windows_frame, widen, ORIGIN)
+from aerowx.operators.windows import (DEST, ORIGIN, attach_window, attach_windows,
+                                      attach_windows_frame, widen)
+from aerowx.sources.liststore import ListStore, store_lists
 
 
 @dataclass
@@ -26,6 +28,7 @@ class Prepared:
     trips: DataFrame          # trip records (5 columns)
     airports: DataFrame       # served (AIRPORT_ID, F_WBAN)
     observations: DataFrame   # one reading per airport-hour
+    keys: DataFrame | None = None   # trips before the dedup, for their keys
 
 
 def prepare(flights_raw: DataFrame, weather_raw: DataFrame, stations: DataFrame,
@@ -41,31 +44,49 @@ def prepare(flights_raw: DataFrame, weather_raw: DataFrame, stations: DataFrame,
     airports = all_airports(attach_stations(pairs, stations))
     trips = schedule(ft, keep=keep)
     obs = hourly_observations(weather_raw, airports, weather_partitions)
-    return Prepared(trips, airports, obs)
+    # copies may make a key look hot that is not, which only spreads it
+    return Prepared(trips, airports, obs, schedule(attach_stations(operated, stations)))
+
+
+def packed_windows(p: Prepared, hours: int = 12, colocate: bool = False,
+                   persist_lists: bool | ListStore = False, hot_share: float | None = None) -> DataFrame:
+    """Trips with both windows as packed arrays (``operators.packed``)."""
+    store = persist_lists if isinstance(persist_lists, ListStore) else None
+    if persist_lists and store is None:
+        store = store_lists(pack(complete_lists(p.observations, hours)))
+    lists = store.read() if store else pack(complete_lists(p.observations, hours))
+    if colocate:
+        lists = lists.hint("shuffle_hash")
+    df = p.trips
+    hot = find_hot_keys(p.keys if p.keys is not None else p.trips, (ORIGIN, DEST), hot_share)
+    for side, keys in zip((ORIGIN, DEST), hot):
+        if store:
+            df = attach_isolated(df, lists, *side, hours=hours, hot=keys)
+        else:
+            df = attach_packed(df, lists, *side, hours=hours, hot=keys, key_columns=p.trips.columns)
+    return df
 
 
 def with_windows(p: Prepared, method: str = "list", hours: int = 12,
-                 colocate: bool = False, persist_lists: bool = False,
-                 salt: int = 0) -> DataFrame:
+                 colocate: bool = False, persist_lists: bool | ListStore = False,
+                 salt: int = 0, hot_share: float | None = None) -> DataFrame:
     """Trips with both windows (``WO_List``, ``WD_List``).
 
-    ``method`` = ``"list"`` (bucketed equi-join + interval slice) or
-    ``"frame"`` (hour-grain window frame).  ``colocate`` has Spark hash both
-    sides of both joins by (airport, date) and build a hash table of the lists
-    per partition, so trips are not sorted.  ``persist_lists`` checkpoints the
-    lists in the shared folder: both joins read one computation, and each join
-    has exchanges of its own on both sides, which AQE splits at a hot key.
-    (Otherwise the lists' aggregation shares the join's exchange, and a hot key
-    needs ``salt``.)
+    ``method`` = ``"list"`` (bucketed equi-join + slice) or ``"frame"``
+    (hour-grain window frame).  Hot (airport, date) keys, those with more than
+    ``hot_share`` of the trips, are found by a sketch and spread over buckets
+    (``operators.hotkeys``); ``salt`` > 1 spreads every key instead.
+    ``colocate`` has Spark build a hash table of the lists per partition, so
+    trips are not sorted.  ``persist_lists`` stores the lists once in buckets,
+    which neither join exchanges; pass a ``ListStore`` (``store_lists`` of
+    packed lists) to release it after use.
     """
     if method == "frame":
         return attach_windows_frame(p.trips, p.observations, hours)
-    lists = complete_lists(p.observations, hours)
-    if persist_lists:
-        lists = cut_lineage(lists)
-    if colocate:
-        lists = lists.hint("shuffle_hash")
-    return attach_windows(p.trips, lists, hours, salt=salt)
+    if salt > 1:
+        lists = complete_lists(p.observations, hours)
+        return attach_windows(p.trips, lists.hint("shuffle_hash") if colocate else lists, hours, salt=salt)
+    return unpack(packed_windows(p, hours, colocate, persist_lists, hot_share), hours)
 
 
 def origin_windows(p: Prepared, hours: int = 12) -> DataFrame:
@@ -78,4 +99,6 @@ def ml_table(flights_raw: DataFrame, weather_raw: DataFrame, stations: DataFrame
     """The wide learning table: WO_11H..WO_00H, trip columns,
     WD_11H..WD_00H, Class."""
     p = prepare(flights_raw, weather_raw, stations)
-    return widen(with_windows(p, method, hours), hours)
+    if method == "frame":
+        return widen(with_windows(p, method, hours), hours)
+    return widen_packed(packed_windows(p, hours), hours)

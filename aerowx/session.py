@@ -52,7 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors; "
                                "a machine-local temporary folder is not safe on a cluster")
         d = tempfile.mkdtemp(prefix="aerowx-ckpt-")
@@ -68,6 +69,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/aerowx-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever store Spark reaches it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

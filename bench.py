@@ -18,12 +18,14 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from aerowx.operators.observations import complete_lists  # noqa: E402
-from aerowx.operators.windows import ORIGIN, attach_window, widen  # noqa: E402
+from aerowx.operators.packed import pack, widen_packed  # noqa: E402
+from aerowx.operators.windows import ORIGIN, attach_window  # noqa: E402
 from aerowx.plans import preprocess as PP  # noqa: E402
 from aerowx.plans.learn import learn  # noqa: E402
 from aerowx.session import get_spark, scratch_path  # noqa: E402
 from aerowx.sources import chunks as CH  # noqa: E402
 from aerowx.sources import fixtures as FX  # noqa: E402
+from aerowx.sources.liststore import store_lists  # noqa: E402
 
 
 def main() -> None:
@@ -78,14 +80,16 @@ def main() -> None:
         run_noop(PP.ml_table(*inputs(), method="frame"))
 
     def q_ml_table_shuffled():
-        """The path that large lists take: no broadcast, lists in a
-        checkpoint, hash tables per partition."""
+        """The path that large lists take: no broadcast, lists stored in
+        buckets, hash tables per partition."""
         keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
         before = {k: spark.conf.get(k, None) for k in keys}
         for k in keys:
             spark.conf.set(k, "-1")
         try:
-            run_noop(widen(PP.with_windows(PP.prepare(*inputs()), colocate=True, persist_lists=True)))
+            p = PP.prepare(*inputs())
+            with store_lists(pack(complete_lists(p.observations))) as store:
+                run_noop(widen_packed(PP.packed_windows(p, colocate=True, persist_lists=store)))
         finally:
             for k, v in before.items():
                 spark.conf.unset(k) if v is None else spark.conf.set(k, v)
