@@ -27,6 +27,7 @@ from aerowx.operators import observations as O
 from aerowx.operators import stations as S
 from aerowx.operators import weather as W
 from aerowx.operators import windows as WN
+from aerowx.operators.order import out_of_order
 from aerowx.operators.schedule import schedule
 from aerowx.plans import preprocess as PP
 from aerowx.plans.application import preprocess_csv
@@ -468,6 +469,14 @@ def sort_global(c: Ctx):
     return c.trips.orderBy("ORIGIN_AIRPORT_ID", F.to_date("CRS_DEP_TIMESTAMP"))
 
 
+@_q
+def sort_order(c: Ctx):
+    """Rows of the global sort, and how many of them stand out of order, by
+    partition and position."""
+    day = F.to_date("CRS_DEP_TIMESTAMP")
+    return out_of_order(c.trips.orderBy("ORIGIN_AIRPORT_ID", day), ["ORIGIN_AIRPORT_ID", day])
+
+
 @_q
 def sort_array(c: Ctx):
     return c.full_lists.select("AIRPORT_ID", "obs_date", F.array_join(F.transform(
@@ -930,6 +939,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "confusion_counts": confusion_counts,
     "row_count": row_count,
     "sort_global": sort_global,
+    "sort_order": sort_order,
     "sort_array": sort_array,
     "tz_offset_diff": tz_offset_diff,
     "format_date": format_date_q,

