@@ -31,7 +31,13 @@ Everything is DataFrame functions.  A text is cut at the matches of one
 pattern (``split`` gives the pieces between them) and put together again with
 the surrogates in place.
 
-Defined cases: null text stays null; a text without a match stays as it is;
+A name is found behind a title; its words are then replaced in the rest of that
+text as well, wherever they stand alone in the case of a name, so no mention is
+left beside its surrogate (a word that is both a surname and a first name there
+counts as the surname).  The counts are of names behind titles.
+
+Defined cases: null text stays null; a text of any length is scanned in one
+pass; a text without a match stays as it is;
 equal texts change alike; empty input gives an empty result; other columns
 are ignored.
 """
@@ -51,16 +57,20 @@ WIDER = 6
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _CAPITAL, _SMALL = "A-ZÀ-ÖØ-ÞΑ-ΩА-ЯЁ", "a-zß-öø-ÿα-ωа-яё"
-_NAME = f"[{_CAPITAL}](?:[{_SMALL}]++|[{_CAPITAL}]*+)(?:['-][{_CAPITAL}][{_SMALL}]++)?"
+_NAME = f"[{_CAPITAL}](?:[{_SMALL}]{{1,63}}+|[{_CAPITAL}]{{0,63}}+)(?:['-][{_CAPITAL}][{_SMALL}]{{1,63}}+)?"
 #: Titles by the gender they tell.
 TITLES = {
     "male": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Sir", "Господин", "Κύριος"),
     "female": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа", "Κυρία"),
     "neutral": ("Dr", "Prof"),
 }
-#: Patterns by kind; where two could match at one place, the earlier wins.
+#: A name's word that stands alone.
+MENTION = rf"(?<![\p{{L}}\p{{N}}]){_NAME}(?![\p{{L}}\p{{N}}])"
+#: Patterns by kind.  Parts are bounded: a name's word has 64 letters at most, a
+#: mail box 255 characters, its domain 127 labels of 63, as domain names do;
+#: longer runs are none.  Where two could match at one place, the earlier wins.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+][A-Za-z0-9._%+-]{0,254}+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "ip": rf"(?<![A-Za-z0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[A-Za-z0-9])",
     "card": r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][.-])(?:[0-9]{13,19}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4}(?:\x20[0-9]{4}){3}"
             r"|3[47][0-9]{2}[\x20-][0-9]{6}[\x20-][0-9]{5})(?![A-Za-z0-9])",
@@ -253,8 +263,17 @@ def replace_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
         return (F.when(part["kind"] == "kept", part["form"])
                 .when(part["kind"].isin(*NUMBERS), laid_out(part["form"], new)).otherwise(_cased(part["form"], new)))
 
+    def mentioned(gap: Column) -> Column:
+        """The text between matches, where a surname or first name of this text stands without its title."""
+        words = F.transform(F.regexp_extract_all(gap, F.lit(MENTION), F.lit(0)), lambda w: F.coalesce(
+            _cased(w, F.col("names")[F.concat(F.lit("surname|"), F.lower(w))]),
+            _cased(w, F.col("names")[F.concat(F.lit("first|"), F.lower(w))]), w))
+        pieces = F.zip_with(F.split(gap, MENTION, -1), words, lambda p, w: F.concat(p, F.coalesce(w, F.lit(""))))
+        return F.when(gap.rlike(MENTION), F.array_join(pieces, "")).otherwise(gap)
+
     filled = F.transform("found", lambda m: F.array_join(F.transform(m["parts"], shown), " "))
-    text = F.array_join(F.zip_with("gaps", filled, lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")
+    gaps = F.when(F.exists("found", lambda m: m["kind"] == "name"), F.transform("gaps", mentioned)).otherwise(F.col("gaps"))
+    text = F.array_join(F.zip_with(gaps, filled, lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")
     kinds = F.col("found.kind")
     counts = {k: (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long") for k in KINDS}
     changed = hits.join(lookup, "text_key").select("doc_id", text.alias("text"),
