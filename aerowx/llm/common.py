@@ -48,6 +48,38 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where it stands in the
+    function of a transform, which would compute it for every entry."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+PREFIX_BLOCK = 256
+
+
+def prefixes(numbers: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each entry of an int array, 0 and the entries before it joined (by a
+    sum or the greatest).  That is done in blocks, and over the blocks' results
+    then: appending to one array would copy it for every entry."""
+    none = F.array().cast("array<int>")
+    empty = F.struct(F.lit(0).alias("at"), none.alias("seen"))
+    add = lambda d, n: F.struct(join(d["at"], n).alias("at"), F.array_append(d["seen"], d["at"]).alias("seen"))
+
+    def whole(numbers: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / PREFIX_BLOCK).cast("int")),
+                             lambda b: F.slice(numbers, b * PREFIX_BLOCK + 1, F.lit(PREFIX_BLOCK)))
+        inside = F.transform(blocks, lambda b: F.aggregate(b, empty, add))
+        before = F.aggregate(inside, empty, lambda d, b: add(d, b["at"]), lambda d: d["seen"])
+        return F.flatten(F.zip_with(inside, before, lambda b, n: F.transform(b["seen"], lambda x: join(x, n))))
+
+    return bound(numbers, lambda n: F.when(F.size(n) > 0, whole(n)).otherwise(none))
+
+
+def prefix_sums(lengths: Column) -> Column:
+    """For each entry of an int array the sum of those before it."""
+    return prefixes(lengths, lambda a, b: a + b)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text_col: str,
            max_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of at most about ``max_bytes`` of text (one

@@ -23,7 +23,8 @@ value, and from distinct (value, text) to value, each with map-side partial
 sums, so a value in a third of all documents is spread over its owners,
 repositories and texts before it meets.
 
-Defined cases: null text counts as empty; a null owner is an owner; equal
+Defined cases: null text counts as empty; a text of any length is scanned in
+time that grows with its length and matches; a null owner is an owner; equal
 texts are labelled once and every row gets the result; empty input gives an
 empty result; other columns are ignored.
 """
@@ -33,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import materialize, prefix_sums, prefixes, text_or_empty
 
 #: The patterns of the base kinds, in the order in which they
 #: are listed.  ``assign`` counts its second group, the others the match.
@@ -41,8 +42,8 @@ ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 ACCESS = r"AKIA[A-Z0-9]{14,}"  # the whole run, 18 characters or more
 HEX = r"[0-9a-f]{16,}"  # the whole run, 16 characters or more
 ASSIGN_LENGTH = 12
-#: A whole run of token characters with a letter and a digit in it.
-GENERIC = r"(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{24,}+"
+#: A whole run of token characters; it counts with a letter and a digit in it.
+GENERIC = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}+"
 #: A run with fewer different characters does not look random.
 DISTINCT_CHARACTERS = 10
 #: A value with at least so many owners is a copied example.
@@ -61,18 +62,17 @@ def matches(text: Column, pattern: str, kind: str, group: int = 0) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    empty = F.array().cast(f"array<{SPAN}>")
+    items = F.arrays_zip(F.transform(pieces, F.length).alias("gap"), F.transform(found, F.length).alias("size"),
+                         values.alias("value"))
+    before = prefix_sums(F.transform(items, lambda x: x["gap"] + x["size"]))
 
-    def step(done: Column, item: Column) -> Column:
-        start = done["at"] + F.length(item["gap"])
-        stop = start + F.length(item["match"])
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("place"), F.lit(kind).alias("kind"),
-                        stop.alias("stop"), item["value"].alias("value")).cast(SPAN)
-        return F.struct(stop.alias("at"), F.array_append(done["spans"], span).alias("spans"))
+    def span(item: Column, at: Column) -> Column:
+        start = at + item["gap"]
+        return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("place"), F.lit(kind).alias("kind"),
+                        (start + item["size"]).alias("stop"), item["value"].alias("value")).cast(SPAN)
 
-    items = F.arrays_zip(pieces.alias("gap"), found.alias("match"), values.alias("value"))
-    walked = F.aggregate(items, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda d: d["spans"])
-    return F.when(text.rlike(pattern), walked).otherwise(empty)
+    spans = F.zip_with(items, before, span)
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -84,6 +84,23 @@ def looks_random(value: Column) -> Column:
     return F.size(F.array_distinct(F.split(value, ""))) >= DISTINCT_CHARACTERS
 
 
+def apart(runs: Column, spans: Column) -> Column:
+    """The runs that no span overlaps.  Both are lists of disjoint spans; they
+    are merged by their starts, and a run is free if no span before it reaches
+    into it and the next one starts behind it."""
+    tagged = lambda spans, tag: F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), F.lit(tag).alias("run"), s["stop"].alias("stop"), s.alias("span")))
+    merged = F.array_sort(F.concat(tagged(spans, 0), tagged(runs, 1)))
+    reach = prefixes(F.transform(merged, lambda m: F.when(m["run"] == 0, m["stop"]).otherwise(0)),
+                     lambda a, b: F.greatest(a, b))
+    following = F.slice(merged, F.lit(2), F.size(merged))
+    lined = F.zip_with(F.zip_with(merged, reach, lambda m, r: F.struct(m.alias("m"), r.alias("reach"))), following,
+                       lambda x, n: F.struct(x["m"].alias("m"), (
+                           (x["m"]["run"] == 1) & (x["reach"] <= x["m"]["start"])
+                           & F.coalesce((n["run"] == 1) | (n["start"] >= x["m"]["stop"]), F.lit(True))).alias("free")))
+    return F.transform(F.filter(lined, lambda x: x["free"]), lambda x: x["m"]["span"])
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end by start, then kind as listed, with commas."""
     return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(
@@ -103,10 +120,14 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
                        F.col(repository).cast("string").alias("repository"), text_or_empty().alias("text"))
     rows = rows.select("id", "owner", "repository", F.sha2(F.col("text").cast("binary"), 256).alias("text_key"),
                        "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
-    outside = F.filter(matches(F.col("text"), GENERIC, "generic"), lambda s: looks_random(s["value"]) & ~F.exists(
-        F.concat(*BASE), lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+    rows = rows.withColumn("generic", F.filter(matches(F.col("text"), GENERIC, "generic"), lambda s: (
+        s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]") & looks_random(s["value"])
+        # hex and access matches lie inside one run
+        & ~s["value"].rlike(HEX) & ~s["value"].rlike(ACCESS))))
+    rows = rows.withColumn("generic", F.when((F.size("generic") > 0) & (F.size("assign") > 0), apart(
+        F.col("generic"), F.col("assign"))).otherwise(F.col("generic")))
     hashed = {k: F.transform(c, lambda s: s.withField("value", F.sha2(s["value"].cast("binary"), 256)).withField(
-        "random", looks_random(s["value"]))) for k, c in {**{b: F.col(b) for b in BASE}, "generic": outside}.items()}
+        "random", looks_random(s["value"]))) for k, c in {k: F.col(k) for k in KINDS}.items()}
     return rows.select("id", "owner", "repository", "text_key", *[c.alias(k) for k, c in hashed.items()])
 
 
