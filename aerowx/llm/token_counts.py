@@ -16,8 +16,9 @@ text between them belongs to none.  With ``most`` and ``first`` the counts of
 sections that cover the whole text add up to the document's count.
 
 Defined cases: null text counts as empty; null sections count as none; an
-empty section has no tokens; repeated rows are counted alike; empty input
-gives an empty result; other columns are ignored.
+empty section has no tokens; repeated rows are counted alike; the lines of a
+very long text are found in time that grows with their number; empty input gives
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_or_empty
+from .common import bound, prefix_sums, slices, text_or_empty
 
 RULES = ("most", "first", "share")
 SECTIONS = "array<struct<name:string,start:int,stop:int>>"
@@ -88,16 +89,12 @@ def allocate(first: np.ndarray, last: np.ndarray, start: np.ndarray, stop: np.nd
 
 def line_sections(text: Column) -> Column:
     """The lines of a text with their line ends, named by number from 0."""
-    lines = F.split(text, "\n", -1)
-    sizes = F.transform(lines, lambda x, i: F.length(x) + (i < F.size(lines) - 1).cast("int"))
-    empty = F.array().cast(SECTIONS)
-
-    def step(done: Column, n: Column) -> Column:
-        line = F.struct(F.size(done["found"]).cast("string").alias("name"), done["at"].alias("start"),
-                        (done["at"] + n).alias("stop"))
-        return F.struct((done["at"] + n).alias("at"), F.array_append(done["found"], line).alias("found"))
-
-    return F.aggregate(sizes, F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda d: d["found"])
+    sizes = bound(F.split(text, "\n", -1), lambda lines: F.transform(
+        lines, lambda x, i: F.length(x) + (i < F.size(lines) - 1).cast("int")))
+    return bound(sizes, lambda n: F.transform(
+        F.zip_with(n, prefix_sums(n), lambda n, at: F.struct(n.alias("n"), at.alias("at"))),
+        lambda x, i: F.struct(i.cast("string").alias("name"), x["at"].alias("start"),
+                              (x["at"] + x["n"]).alias("stop")))).cast(SECTIONS)
 
 
 def count_tokens(docs: DataFrame, ranks_path: str, pattern: str, rule: str = "most") -> DataFrame:
