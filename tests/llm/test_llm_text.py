@@ -436,3 +436,68 @@ def test_allocation_rules(rule):
         start, stop = (np.array([s[i] for s in sections], dtype=np.int64) for i in (0, 1))
         n, crossing = token_counts.allocate(first, last, start, stop, rule)
         assert np.allclose(n, [w[0] for w in want]) and crossing.tolist() == [w[1] for w in want]
+
+
+# ------------------------------------------------------------------ very long texts
+
+def test_mentions_of_a_found_name_change_with_it(spark):
+    text = ("Mr. John Smith came. Later John Smith left, and Smith called SMITH, not Smithson or smiths. "
+            "Dr. Ann O'Neil met O'Neil. Berlin")
+    other = "Smith and John are not named here."
+    got = {r.doc_id: r.text for r in pii.replace_pii(spark.createDataFrame([(1, text), (2, other)], "doc_id long, text string")).collect()}
+    assert got[2] == other
+    for gone in ("John", " Smith ", "SMITH", "O'Neil"):
+        assert gone not in got[1]
+    first, last = got[1].split(" ")[1:3]
+    assert got[1].startswith(f"Mr. {first} {last} came. Later {first} {last} left, and {last} called {last.upper()}, not Smithson or smiths.")
+    assert got[1].endswith(". Berlin")
+
+
+@pytest.mark.parametrize("text", ["x@" + "a." * 100_000 + "com", "A" * 200_000, "Mr. " + "A" * 200_000, "1" * 200_000,
+                                  "a" * 200_000, "." * 200_000, "b" * 100_000 + "@x.org"])
+def test_long_runs_are_no_entities(spark, text):
+    assert pii.replace_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text == text
+
+
+def test_secrets_of_texts_with_very_many_matches(spark):
+    import random
+    rnd = random.Random(1)
+    token = lambda: "".join(rnd.choices("ghijKLMNOP0123456789", k=26))
+    texts = ["a" * 300_000, " ".join("%032x" % rnd.getrandbits(128) for _ in range(20_000)),
+             " ".join(f"token={token()}.{token()} {token()}" for _ in range(3000))]
+    got = {r.doc_id: r for r in secret_scan.secret_scan(spark.createDataFrame(
+        [(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")).collect()}
+    assert (got[0].n_hex, got[0].n_assign, got[0].spans) == (1, 0, "hex:0:300000")
+    assert got[1].n_hex == 20_000 and got[1].spans.endswith(f"hex:{19_999 * 33}:{19_999 * 33 + 32}")
+    spans = [s.split(":") for s in got[2].spans.split(",")]
+    want, at = [], 0
+    for part in texts[2].split(" "):
+        if len(set(part)) >= secret_scan.DISTINCT_CHARACTERS:       # else it does not look random
+            want.append(("assign" if part.startswith("token") else "generic", at, at + len(part)))
+        at += len(part) + 1
+    assert [(k, int(a), int(b)) for k, a, b in spans] == want and got[2].n_live > 5900
+
+
+def test_runs_apart_from_spans(spark):
+    from pyspark.sql import functions as F
+    rnd = np.random.default_rng(4)
+    rows = []
+    for _ in range(60):
+        cuts = lambda k: np.sort(rnd.choice(60, 2 * k, replace=False)).reshape(k, 2).tolist()
+        rows.append((cuts(rnd.integers(0, 6)), cuts(rnd.integers(0, 6))))
+    make = lambda c: F.transform(c, lambda s: F.struct(
+        s[0].cast("int").alias("start"), F.lit(0).alias("place"), F.lit("k").alias("kind"), s[1].cast("int").alias("stop"),
+        F.lit("v").alias("value")).cast(secret_scan.SPAN))
+    df = spark.createDataFrame(rows, "runs array<array<long>>, spans array<array<long>>")
+    got = df.select("runs", "spans", secret_scan.apart(make(F.col("runs")), make(F.col("spans"))).alias("free")).collect()
+    for r in got:
+        want = [[a, b] for a, b in r.runs if not any(s < b and a < t for s, t in r.spans)]
+        assert [[s.start, s.stop] for s in r.free] == want
+
+
+def test_lines_of_a_text_with_very_many(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("ab\n" * 20_000 + "c",), ("",), ("x",)], "text string")
+    got = [r.s for r in df.select(token_counts.line_sections(F.col("text")).alias("s")).collect()]
+    assert [len(s) for s in got] == [20_001, 1, 1]
+    assert all((s.name, s.start, s.stop) == (str(i), 3 * i, min(3 * i + 3, 60_001)) for i, s in enumerate(got[0]))
