@@ -144,7 +144,7 @@ def _clusters_sql(rounds: int = 3) -> str:
 ORACLE_SQL = {
     "op5_source_mix": r"""
         WITH sized AS (
-          SELECT doc_id, source, md5('mix-1:' || coalesce(doc_id::VARCHAR, '')) AS place,
+          SELECT doc_id, source, md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS place,
                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
           FROM documents),
         src AS (
@@ -169,7 +169,7 @@ ORACLE_SQL = {
           SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM targets),
         placed AS (
           SELECT s.*, c.source_size, c.target, c.whole, c.target - c.whole * c.source_size AS rest,
-                 sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place) - s.size / 2.0 AS mid
+                 sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place ROWS UNBOUNDED PRECEDING) - s.size / 2.0 AS mid
           FROM sized s JOIN cut c ON s.source IS NOT DISTINCT FROM c.source),
         taking AS (
           SELECT *, (whole + CASE WHEN mid < rest THEN 1 ELSE 0 END)::INTEGER AS repetitions FROM placed)

@@ -263,9 +263,35 @@ def test_mix(spark):
     assert mixed.count() == sum(r["repetitions"] for r in got)
 
 
+@pytest.mark.parametrize("same", [lambda i: (None, "w " * 10), lambda i: (None, f"w{i} " * 10),
+                                  lambda i: (7, "w " * 10), lambda i: (None, None)])
+def test_mix_of_rows_without_ids_of_their_own(spark, same):
+    """A third of a source has no id or the same one, with equal or different
+    texts; the target is met to half a document all the same."""
+    docs = [(i, "v " * 10, "big", i) for i in range(100, 700)]
+    docs += [(*same(i), "big", i) for i in range(300)]
+    docs += [(i, "u " * 10, "small", i) for i in range(1000, 1090)] + [(None, "t " * 10, "zero", 0)] * 60
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, place long").repartition(5)
+    got = rows_of(mixing.mix(frame))
+    again = rows_of(mixing.mix(frame.repartition(17)))
+    assert sorted(map(str, got)) == sorted(map(str, again)) and len(got) == len(docs)
+    by_target = {}
+    for r in got:
+        d = by_target.setdefault((r["source_size"], r["target"]), [0])
+        d[0] += r["taken"]
+        assert r["taken"] == r["size"] * r["repetitions"] <= 2 * r["size"]
+    assert len(by_target) == 3
+    for (_, target), (taken,) in by_target.items():
+        assert abs(taken - target) <= 5  # half a document
+    mixed = mixing.mixed_rows(frame)
+    assert mixed.columns == frame.columns
+    assert mixed.count() == sum(r["repetitions"] for r in got)
+
+
 def test_mix_of_nothing(spark):
     schema = "doc_id long, text string, source string"
     assert rows_of(mixing.mix(spark.createDataFrame([], schema))) == []
+    assert rows_of(mixing.mixed_rows(spark.createDataFrame([], schema))) == []
     got = rows_of(mixing.mix(spark.createDataFrame([(1, None, "a"), (2, "", None)], schema)))
     assert [(r["target"], r["taken"]) for r in got] == [(0.0, 0)] * 2
 
