@@ -1,8 +1,8 @@
 """Station readings: cleaning, daily means, imputation, one reading per hour.
 
-The plan (``hourly_observations``) pre-reduces repeated reports with a
-partially aggregated dedup before the single (airport, date) exchange, so
-every later group is bounded by one airport-day of minutes.
+The plan (``hourly_observations``) drops exact copies of a reading with a hash
+aggregate, partly in each task, before the single (airport, date) exchange;
+one sort behind it then serves the minute, the day's means and the hour.
 """
 
 from __future__ import annotations
@@ -49,10 +49,19 @@ def clean_readings(weather: DataFrame, airports: DataFrame) -> DataFrame:
         hh.alias("Time_hh"), mm.alias("Time_mm"))
 
 
-def dedup_readings(w: DataFrame) -> DataFrame:
+def dedup_readings(w: DataFrame, partitions: int | None = None) -> DataFrame:
     """One reading per airport, date, hour and minute (smallest by the
-    measure values, so the choice is deterministic)."""
-    return dedup_by(w, READING_KEYS, order=MEASURES + ["Time"])
+    measure values, nulls first, so the choice is deterministic), hashed by
+    airport and date and sorted by minute.
+
+    Copies go first, by a hash aggregate that reduces in each task, so a
+    flood of one reading never meets in a task.  Readings of one minute that
+    differ meet in their day's task, where they are sorted and streamed."""
+    copies_gone = w.distinct()
+    by_day = (copies_gone.repartition(partitions, *DAY_KEYS) if partitions
+              else copies_gone.repartition(*DAY_KEYS))
+    minute = Window.partitionBy(*READING_KEYS).orderBy(*[F.asc_nulls_first(c) for c in MEASURES + ["Time"]])
+    return by_day.withColumn("_place", F.row_number().over(minute)).where(F.col("_place") == 1).drop("_place")
 
 
 ZERO_FILLED = ["DryBulbCelsius", "SkyCondition", "Visibility", "WindDirection", "WindSpeed", "WeatherType",
@@ -146,16 +155,12 @@ def hourly_observations(weather: DataFrame, airports: DataFrame,
                         partitions: int | None = None) -> DataFrame:
     """Raw readings -> one cleaned, imputed observation per airport-hour.
 
-    1. minute dedup as an aggregate: map-side partial aggregation collapses
-       repeated reports inside each task before anything is shuffled, so
-       even a station flooding one minute with copies cannot concentrate
-       rows in one task;
-    2. one hash exchange by (AIRPORT_ID, Date): a group is now at most one
-       reading per minute of one airport-day (<= 1440 rows), whatever the
-       data volume;
-    3. daily means (window) and the first reading of each hour (window)
-       reuse that partitioning and one sort — no further exchange.
+    1. exact copies go by a hash aggregate, partly in each task, so even a
+       station flooding one minute with a report cannot concentrate rows;
+    2. one hash exchange by (AIRPORT_ID, Date);
+    3. the smallest reading of each minute, the daily means and the first
+       reading of each hour are windows over that partitioning and one sort,
+       without a further exchange.
     """
-    w = dedup_readings(clean_readings(weather, airports))
-    w = w.repartition(partitions, *DAY_KEYS) if partitions else w.repartition(*DAY_KEYS)
+    w = dedup_readings(clean_readings(weather, airports), partitions)
     return to_observations(first_by_hour(impute_by_day(w)))

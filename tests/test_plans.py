@@ -37,13 +37,16 @@ def test_scans_are_pruned(parts, spark):
 
 
 def test_weather_chain_pre_reduces_then_shuffles_once_by_day(parts):
-    """Two hash exchanges on the reading side: the minute dedup (with a
-    map-side partial aggregate under it) and the (airport, date) exchange
-    that the daily-mean and first-of-hour windows reuse."""
+    """Two hash exchanges on the reading side: the hash aggregate that drops
+    copies (partial under it, without a sort), and the (airport, date)
+    exchange that the minute, daily-mean and first-of-hour windows reuse,
+    with one sort."""
     f, w, s = parts
     obs = PP.prepare(f, w, s).observations
     plan = _plan(obs)
     top = plan.split("BroadcastHashJoin")[0]     # above the airport-set join
     assert top.count("Exchange hashpartitioning") == 2, top
-    assert "partial_min" in plan
+    assert top.count("HashAggregate") == 2 and "SortAggregate" not in top, top
+    assert len(re.findall(r"\bSort \[", top)) == 1, top
+    assert top.index("Sort [") < top.index("Exchange hashpartitioning"), top  # printed from the top down
     assert re.search(r"Exchange hashpartitioning\(AIRPORT_ID#\d+, Date#\d+, \d+\), REPARTITION", top), top

@@ -1,6 +1,7 @@
 """Properties on the driver fixtures (sf0.001)."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -188,8 +189,8 @@ def test_hot_airport_skew_is_handled(spark):
 
 
 def test_flooded_station_minute_is_pre_reduced(spark):
-    """One reading repeated many times: the partially aggregated dedup
-    collapses it; the observation is the same as with a single copy."""
+    """One reading repeated many times: the hash aggregate collapses it in
+    each task; the observation is the same as with a single copy."""
     from aerowx.operators import weather as W
     base = [(10001, 20240105, 1000 + m, "5", "CLR", "10", "3", "", "0.5") for m in range(0, 60, 10)]
     flood = [(10001, 20240105, 1000, "5", "CLR", "10", "3", "", "0.5")] * 5000
@@ -199,3 +200,22 @@ def test_flooded_station_minute_is_pre_reduced(spark):
     one = W.hourly_observations(spark.createDataFrame(base, schema), airports).collect()
     many = W.hourly_observations(spark.createDataFrame(base + flood, schema).repartition(8), airports).collect()
     assert one == many and len(one) == 1
+
+
+def test_minute_keeps_its_smallest_reading_as_the_keyed_dedup_does(spark):
+    """Copies and different readings of a minute, with nulls: the windowed
+    dedup and the keyed aggregate keep the same rows."""
+    from aerowx.operators import clean as C
+    from aerowx.operators import weather as W
+    rnd = random.Random(3)
+    pick = lambda *v: rnd.choice(v)
+    rows = [(pick(1, 2), 20240105, f"{h:02d}{m:02d}", pick(None, 1.0, 2.0), pick("CLR", None, ""), pick(9.0, None),
+             pick(-1, 3, None), pick("", "RA"), pick(0.0, None), h, m)
+            for h, m in ((rnd.randrange(3), rnd.randrange(4)) for _ in range(2000))]
+    w = spark.createDataFrame(rows, "AIRPORT_ID int, Date int, Time string, DryBulbCelsius double, SkyCondition string, "
+                              "Visibility double, WindSpeed int, WeatherType string, HourlyPrecip double, "
+                              "Time_hh int, Time_mm int").repartition(5)
+    want = C.dedup_by(w, W.READING_KEYS, order=W.MEASURES + ["Time"])
+    got = W.dedup_readings(w)
+    assert got.columns == w.columns and got.count() == want.count() == 24
+    assert got.exceptAll(want).count() == 0
