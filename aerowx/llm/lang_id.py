@@ -14,7 +14,8 @@ Defined cases: null text, or text without a letter, is ``und`` with score 0
 and rejected; equal sizes go to the language with more labelled rows, then to
 the smaller code; texts under ``MIN_BYTES`` bytes are too short to measure a
 margin and are not rejected for it; without any labelled row every text is
-``und``; repeated rows are judged alike; other columns are ignored.
+``und``; very long texts are judged whole, piece by piece; repeated rows are
+judged alike; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -74,8 +75,9 @@ def learn(labelled: DataFrame) -> dict[str, bytes]:
     order = Window.partitionBy("lang").orderBy("place")
     chosen = (places.withColumn("n", F.row_number().over(order)).where(F.col("n") <= n_texts)
               .select("lang", "place"))
-    # of the few texts that share a hash, the smallest
-    sample = (rows.join(chosen, ["lang", "place"], "left_semi").groupBy("lang", "place")
+    # the places are as few as the sample's texts, so the rows stay where they
+    # are; of the few texts that share a hash, the smallest
+    sample = (rows.join(F.broadcast(chosen), ["lang", "place"], "left_semi").groupBy("lang", "place")
               .agg(F.min(F.substring("text", 1, n_bytes)).alias("text")))
     texts: dict[str, list[bytes]] = {}
     for r in sample.orderBy("lang", "place").collect():
