@@ -28,8 +28,9 @@ one after the other, and a piece's are those of its word and the marks behind
 it.  Each distinct word is encoded once.
 
 Defined cases: null text counts as empty and gives the end id only; null
-doc_ids come last, equal doc_ids in the order of their texts; empty input
-gives empty results; other columns are ignored.
+doc_ids come last, equal doc_ids in the order of their texts; very long texts
+are one record each, as any other; empty input gives empty results; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -183,6 +184,10 @@ def tokenizer(path: str) -> Pieces:
     return Pieces(path)
 
 
+#: Characters of a text that help to tell ranges apart.
+RANGE_CHARS = 16
+
+
 def write_records(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """Write all documents; returns the manifest: part, path, records, tokens,
     bytes, first_token (ids of all files before), one row per file.  ``docs``
@@ -217,8 +222,11 @@ def write_records(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
                            ("tokens", pa.int64()), ("bytes", pa.int64())]))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    ordered = (rows.repartitionByRange(F.col("doc_id").asc_nulls_last())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text"))
+    # rows without an id, or with the same, are spread over several ranges, and
+    # files, by the beginnings of their texts; whole texts order them inside
+    by_id = F.col("doc_id").asc_nulls_last()
+    ordered = (rows.withColumn("beginning", F.substring("text", 1, RANGE_CHARS))
+               .repartitionByRange(by_id, "beginning").drop("beginning").sortWithinPartitions(by_id, "text"))
     manifest = materialize(ordered.mapInArrow(write, MANIFEST), "records-manifest")
     first, placed = 0, []
     for r in manifest.orderBy("part").collect():  # one row per file

@@ -246,6 +246,26 @@ def test_record_files(spark, docs, nothing):
     assert rows_of(binary_records.write_and_read(nothing, WORDS)) == []
 
 
+def test_records_without_ids_are_spread(spark):
+    """Many rows without an id are written to several files, and the files'
+    order is that of the whole."""
+    docs = spark.range(2000).select(
+        F.expr("if(id < 50, id, null)").alias("doc_id"),
+        F.expr("concat(md5(cast(id as string)), ' end')").alias("text")).repartition(7)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        manifest = binary_records.write_records(docs, WORDS)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert manifest.count() > 4 and manifest.agg(F.max("records")).first()[0] < 1000
+    got = sorted(rows_of(binary_records.read_files(manifest)), key=lambda r: r["start"])
+    tokens = binary_records.tokenizer(WORDS).tokenizer
+    want = sorted(rows_of(docs), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))
+    assert [r["doc_id"] for r in got] == [r["doc_id"] for r in want]
+    assert [r["n_tokens"] for r in got] == [len(tokens.encode(r["text"], add_special_tokens=False).ids) + 1 for r in want]
+
+
+
 def test_damage_is_found():
     import io
     record = binary_records.frame(b"payload")
