@@ -56,6 +56,7 @@ from .common import encode_pieces, materialize, slices, text_or_empty
 END_ID = 1
 CACHE_PIECES = 600_000
 MARKS = ".,;:!?#$%&*|)\""
+MARK_SET = frozenset(MARKS)
 READ_BYTES = 4 << 20
 #: Fixed value: the constant that the checksum mask adds.
 MASK_DELTA = 0xA282EAD8
@@ -172,10 +173,16 @@ class Pieces:
         known = self.known
         fresh = [p for p in pieces if p not in known]
         # a word and the marks behind it are encoded apart, so "end", "end." and "end," share the word
-        bare = [w if w and ends_word(w[-1]) else p for p, w in ((p, p.rstrip(MARKS)) for p in fresh)]
-        parts = {x for p, w in zip(fresh, bare) for x in (w, p[len(w):]) if x not in known}
+        marked = [(p, w, p[len(w):]) for p in fresh
+                  if p[-1:] in MARK_SET and (w := p.rstrip(MARKS)) and ends_word(w[-1])]
+        parts = set(fresh)
+        parts.difference_update([p for p, _, _ in marked])
+        for _, word, marks in marked:
+            parts.add(word)
+            parts.add(marks)
+        parts.difference_update(known.keys() & parts)
         self.learn(list(parts))
-        known.update((p, known[w] + known[p[len(w):]]) for p, w in zip(fresh, bare) if len(w) < len(p))
+        known.update([(p, known[word] + known[marks]) for p, word, marks in marked])
         return list(map(known.__getitem__, pieces))
 
 
