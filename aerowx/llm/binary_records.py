@@ -54,7 +54,7 @@ from aerowx.session import scratch_path
 from .common import encode_pieces, materialize, slices, text_or_empty
 
 END_ID = 1
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_200_000
 MARKS = ".,;:!?#$%&*|)\""
 MARK_SET = frozenset(MARKS)
 READ_BYTES = 4 << 20
