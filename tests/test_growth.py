@@ -48,3 +48,15 @@ def test_served_airports_are_the_pairs_of_the_trips(spark):
     want = S.all_airports(S.attach_stations(trips, st))
     rows = lambda df: sorted(map(str, df.collect()))
     assert rows(got) == rows(want) and got.count() == 4
+
+
+def test_no_task_makes_the_readings_of_many_stations(spark, tables):
+    per_task = FX._grid_readings(spark, tables).groupBy(F.spark_partition_id()).agg(
+        F.countDistinct("WBAN").alias("n")).collect()
+    assert sum(r.n for r in per_task) == STATIONS
+    assert max(r.n for r in per_task) < STATIONS / 2
+
+
+def test_grid_of_no_stations_is_empty(spark, tables, tmp_path):
+    spark.read.parquet(f"{tables}/supplier.parquet").limit(0).write.parquet(str(tmp_path / "supplier.parquet"))
+    assert FX._grid_readings(spark, str(tmp_path)).count() == 0
