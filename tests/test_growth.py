@@ -1,12 +1,16 @@
 """What must hold as the tables grow: who is broadcast, and what one task gets."""
 
 import re
+from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from aerowx.operators import model as MD
 from aerowx.operators import stations as S
 from aerowx.plans import catalog as CAT
+from aerowx.plans.oracle import oracle_sql
 from aerowx.sources import fixtures as FX
 
 STATIONS = 1200
@@ -60,3 +64,31 @@ def test_no_task_makes_the_readings_of_many_stations(spark, tables):
 def test_grid_of_no_stations_is_empty(spark, tables, tmp_path):
     spark.read.parquet(f"{tables}/supplier.parquet").limit(0).write.parquet(str(tmp_path / "supplier.parquet"))
     assert FX._grid_readings(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("query", ["string_index", "assemble_vector", "vector_index"])
+def test_encoder_steps_with_more_airports_than_bins(spark, tables, query):
+    """Against the oracle's SQL, with so many airports that no indexer takes them."""
+    con, sql = duckdb.connect(), oracle_sql()
+    for name in ("supplier", "customer", "orders", "events"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tables}/{name}.parquet/*.parquet')")
+    con.execute("CREATE VIEW labels AS SELECT 0 AS quality, 0 AS toxic")
+    got = CAT.QUERIES[query](spark, tables)
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({sql[query]})").fetchall()
+    rows = sorted(tuple(r) for r in got.collect())
+    assert len(rows) > 3 and rows == sorted(want)
+    if query == "vector_index":
+        assert max(n for _, n in rows) > 270
+
+
+def test_numbers_of_narrow_and_wide_columns_together(spark):
+    df = spark.range(900).selectExpr("concat('w', id % 300) AS wide", "concat('n', id % 7) AS narrow",
+                                     "cast(id % 5 AS int) AS hour", "cast(id % 2 AS int) AS Target")
+    encoder = MD.fit_encoder(df)
+    assert encoder.wide == ("wide",)
+    rows = MD.assemble_numbered(df, encoder).select("wide", "narrow", "hour", F.col(MD.ASSEMBLED)).collect()
+    order = {c: {v: i for i, (v, _) in enumerate(sorted(Counter(r[c] for r in rows).items(), key=lambda x: (-x[1], x[0])))}
+             for c in ("wide", "narrow")}
+    assert len(rows) == 900
+    assert all(list(r[MD.ASSEMBLED]) == [order["wide"][r.wide], order["narrow"][r.narrow], r.hour] for r in rows)
+    assert MD.category_counts(df, encoder) == [(0, 300), (1, 7), (2, 5)]
