@@ -7,8 +7,12 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from aerowx.operators import features as FT
 from aerowx.operators import model as MD
+from aerowx.operators import observations as O
 from aerowx.operators import stations as S
+from aerowx.operators import weather as W
+from aerowx.operators import windows as WN
 from aerowx.plans import catalog as CAT
 from aerowx.plans.oracle import oracle_sql
 from aerowx.sources import fixtures as FX
@@ -92,3 +96,71 @@ def test_numbers_of_narrow_and_wide_columns_together(spark):
     assert len(rows) == 900
     assert all(list(r[MD.ASSEMBLED]) == [order["wide"][r.wide], order["narrow"][r.narrow], r.hour] for r in rows)
     assert MD.category_counts(df, encoder) == [(0, 300), (1, 7), (2, 5)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_features_without_weather_collect_no_reading(spark, tables):
+    c = CAT.Ctx(spark, tables)
+    plan = _plan(FT.prepare_features(c.ml, 45))
+    assert "bit_or" in plan and "collect_list" not in plan and "avg(" not in plan, plan
+    assert "collect_list" in _plan(CAT.pivot_window(spark, tables))
+
+
+def test_a_day_of_readings_is_windowed_once(spark, tables):
+    plan = _plan(CAT.Ctx(spark, tables).obs)
+    assert len(re.findall(r"\bWindow \[", plan)) == 3 and "SortAggregate" not in plan, plan
+    assert len(re.findall(r"\bSort \[AIRPORT_ID#\d+ ASC NULLS FIRST, Date", plan)) == 1, plan
+
+
+def test_hour_windows_are_not_exchanged(spark, tables):
+    c = CAT.Ctx(spark, tables)
+    exchanged = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(WN.attach_windows_frame(c.trips, c.obs)))
+    assert exchanged and not any("_w" in keys or "hour" in keys for keys in exchanged), exchanged
+
+
+def _observations(spark, hours):
+    """(airport, hour of January 2024 or None) as observations."""
+    rows = spark.createDataFrame(hours, "a int, h int")
+    at = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("h"))
+    return rows.select(F.col("a").alias("AIRPORT_ID"), at.alias("Weather_TIMESTAMP"), F.col("h").cast("double").alias("DryBulbCelsius"),
+                       F.lit("CLR").alias("SkyCondition"), F.lit(1.0).alias("Visibility"), F.lit(2.0).alias("WindSpeed"),
+                       F.lit(None).cast("string").alias("WeatherType"), F.lit(0.0).alias("HourlyPrecip"))
+
+
+@pytest.mark.parametrize("hours", [1, 12, 24])
+def test_complete_lists_from_one_aggregate(spark, hours):
+    days = [(1, h) for h in range(96)]
+    days += [(2, h) for h in range(96) if h != 50]                       # one hour missing
+    days += [(3, 49 if h == 50 else h) for h in range(96)]               # another doubled in its place
+    days += [(4, h) for h in range(96)] + [(4, 60), (4, None), (None, 3)]  # one too many, nulls
+    obs = _observations(spark, days)
+    rows = lambda df: sorted(map(str, df.collect()))
+    got = O.complete_lists(obs, hours)
+    assert got.columns == ["AIRPORT_ID", "obs_date", "Weather_List"]
+    assert rows(got) == rows(O.complete(O.observation_lists(obs, hours), hours))
+    assert {r.AIRPORT_ID for r in got.select("AIRPORT_ID").distinct().collect()} == {1, 2, 3, 4}
+
+
+def test_first_of_an_hour_in_both_forms(spark):
+    w = spark.createDataFrame([(1, 20240101, 5, 10, 1.0), (1, 20240101, 5, 3, None), (1, 20240101, 6, 0, 2.0),
+                               (1, 20240101, None, None, 4.0), (1, None, 5, 7, 3.0), (None, 20240101, 5, 9, 5.0),
+                               (1, 20240102, 5, 59, 6.0)],
+                              "AIRPORT_ID int, Date int, Time_hh int, Time_mm int, DryBulbCelsius double")
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(W.first_by_hour(w)) == rows(W.first_reading_per_hour(w))
+
+
+def test_frame_windows_by_hour_as_lists(spark):
+    """Both forms of the join, with trips at the edges of a day and hour."""
+    obs = _observations(spark, [(a, h) for a in (1, 2) for h in range(120)])
+    trips = spark.range(300).selectExpr(
+        "cast(id % 3 AS int) AS ORIGIN_AIRPORT_ID", "cast((id + 1) % 3 AS int) AS DEST_AIRPORT_ID",
+        "IF(id % 17 = 0, NULL, timestamp_ntz'2024-01-02 00:00:00' + make_dt_interval(0, cast(id % 72 AS int), cast(id % 60 AS int))) "
+        "AS CRS_DEP_TIMESTAMP", "timestamp_ntz'2024-01-02 23:59:00' + make_dt_interval(0, cast(id % 26 AS int)) "
+        "AS SCHEDULED_ARRIVAL_TIMESTAMP", "cast(id AS double) AS ARR_DELAY_NEW")
+    rows = lambda df: sorted(map(str, WN.window_summary(df, "WO_List", "WD_List").collect()))
+    got = rows(WN.attach_windows_frame(trips, obs))
+    assert len(got) > 50 and got == rows(WN.attach_windows(trips, O.complete_lists(obs)))
