@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from aerowx.functions.hashing import ROW_KEY
 from aerowx.operators import features as FT
 from aerowx.operators import model as MD
 from aerowx.operators import observations as O
@@ -164,3 +165,33 @@ def test_frame_windows_by_hour_as_lists(spark):
     rows = lambda df: sorted(map(str, WN.window_summary(df, "WO_List", "WD_List").collect()))
     got = rows(WN.attach_windows_frame(trips, obs))
     assert len(got) > 50 and got == rows(WN.attach_windows(trips, O.complete_lists(obs)))
+
+
+def test_rows_for_fits_lie_in_few_even_tasks(spark):
+    rows = spark.range(5200).repartition(40, F.col("id") % 3)       # three uneven partitions, 37 empty ones
+    got = MD.for_fits(rows, rows=1000)
+    sizes = [len(p) for p in got.rdd.glom().collect()]
+    assert len(sizes) == 6 and max(sizes) - min(sizes) <= 40
+    ids = [r.id for r in got.collect()]
+    assert sorted(ids) == list(range(5200)) and ids == [r.id for r in got.collect()]
+    assert MD.for_fits(rows).rdd.getNumPartitions() == MD.FIT_TASKS
+    assert MD.for_fits(rows.limit(0)).count() == 0
+
+
+def test_grid_rows_do_not_follow_the_shuffle_partitions(spark, tables):
+    """Every task of a fit has statistics of its own for every node."""
+    keys = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "24",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        c = CAT.Ctx(spark, tables)
+        rows = CAT._grid_rows(c)
+        want = MD.split(MD.balance(c.encoded))[0]
+        seen = lambda df: sorted((r[ROW_KEY], r.label, tuple(r.features)) for r in df.collect())
+        assert rows.rdd.getNumPartitions() == MD.FIT_TASKS
+        assert seen(rows) == seen(want) and rows.count() > 100
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
