@@ -195,3 +195,30 @@ def test_grid_rows_do_not_follow_the_shuffle_partitions(spark, tables):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_encode_pipeline_does_not_change_with_the_number_of_airports(spark, tables):
+    """Against the oracle's SQL: numbers in their places, not label means behind the hours."""
+    con = duckdb.connect()
+    for name in ("supplier", "customer", "orders", "events"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tables}/{name}.parquet/*.parquet')")
+    con.execute("CREATE VIEW labels AS SELECT 0 AS quality, 0 AS toxic")
+    got = CAT.QUERIES["encode_pipeline"](spark, tables)
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({oracle_sql()['encode_pipeline']})").fetchall()
+    rows = sorted(tuple(r) for r in got.collect())
+    assert max(r[0] for r in rows) > 270 and rows == sorted(want)
+
+
+def test_numbered_encoding_is_the_same_above_and_below_the_bins(spark):
+    df = spark.range(900).selectExpr(
+        "IF(id % 50 = 0, NULL, concat('w', id * id % 300)) AS wide", "IF(id % 70 = 0, NULL, concat('n', id % 7)) AS narrow",
+        "cast(3 * (id % 5) AS int) AS hour", "cast(id % 2 AS int) AS Target", "id AS row_key")
+    n = df.select("wide").distinct().count()
+    def vectors(categories):
+        options = MD.ModelOptions(categories=categories)
+        encoder = MD.fit_encoder(df, options, by_mean=False)
+        return encoder.wide, {r[ROW_KEY]: list(r[MD.FEATURES]) for r in MD.encode(df, encoder).collect()}
+    few, many = vectors(n - 2), vectors(n)
+    assert few[0] == ("wide",) and many[0] == () and few[1] == many[1]
+    assert len(few[1]) == df.where("wide IS NOT NULL AND narrow IS NOT NULL").count()
+    assert {v[2] for v in few[1].values()} == {0.0, 1.0, 2.0, 3.0, 4.0}
