@@ -7,7 +7,7 @@ import pytest
 
 from aerowx.schemas import WEATHER_RAW, SchemaMismatch
 from aerowx.session import scratch_path
-from aerowx.sources.chunks import chunk_dirs, read_chunk_dirs, write_chunks
+from aerowx.sources.chunks import chunk_dirs, read_chunk_dirs, read_chunks, write_chunks
 from aerowx.sources.csv import read_flights, read_stations, read_weather, write_csv
 
 
@@ -99,3 +99,16 @@ def test_application_from_exports_to_a_model(spark):
     out = preprocess_csv(spark, *paths, nullValue="<null>")
     result = learn_from_chunks(spark, out, num_trees=2, options=ModelOptions(max_depth=4))
     assert result.encoded_rows == 1333 and 0.0 <= result.auc <= 1.0
+
+
+def test_chunks_are_written_where_their_rows_lie(spark):
+    from pyspark.sql import functions as F
+    path = scratch_path(spark, "in-place")
+    df = spark.range(0, 600, 1, 3).selectExpr(
+        "cast(id AS int) AS ORIGIN_AIRPORT_ID", "0 AS DEST_AIRPORT_ID", "timestamp_ntz'2024-01-05 00:00:00' AS CRS_DEP_TIMESTAMP",
+        "timestamp_ntz'2024-01-05 02:00:00' AS SCHEDULED_ARRIVAL_TIMESTAMP", "1.0D AS Class")
+    write_chunks(df, path, 4)
+    found = read_chunks(spark, path).groupBy(F.input_file_name().alias("file")).agg(
+        F.countDistinct(F.floor(F.col("ORIGIN_AIRPORT_ID") / 200)).alias("tasks"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in found) == 600 and len(chunk_dirs(spark, path)) == 4
+    assert len(found) == 12 and {r.tasks for r in found} == {1}
