@@ -112,3 +112,16 @@ def test_chunks_are_written_where_their_rows_lie(spark):
         F.countDistinct(F.floor(F.col("ORIGIN_AIRPORT_ID") / 200)).alias("tasks"), F.count("*").alias("n")).collect()
     assert sum(r.n for r in found) == 600 and len(chunk_dirs(spark, path)) == 4
     assert len(found) == 12 and {r.tasks for r in found} == {1}
+
+
+def test_exports_of_the_application_are_compressed(spark):
+    import glob
+    from aerowx.plans.catalog import QUERIES
+    from aerowx.session import ensure_checkpoint_dir
+    from conftest import SF_SMALL
+    files = lambda: set(glob.glob(ensure_checkpoint_dir(spark).removeprefix("file:")
+                                  + "/aerowx-scratch/export-*/part-*"))
+    before = files()
+    assert QUERIES["application"](spark, SF_SMALL).count() == 1333
+    made = files() - before
+    assert made and all(f.endswith(".csv.gz") for f in made)
