@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from aerowx.operators.hotkeys import HotKeys, find_hot_keys, key_hash
 from aerowx.operators.observations import complete_lists
 from aerowx.operators.packed import attach_packed, pack, unpack, widen_packed
-from aerowx.operators.windows import DEST, ORIGIN, attach_windows, widen
+from aerowx.operators.windows import DEST, ORIGIN, attach_windows, salted_lists, widen
 from aerowx.plans import preprocess as PP
 from aerowx.plans.explain import final_plan
 from aerowx.sources import fixtures as FX
@@ -126,3 +126,30 @@ def test_no_hot_keys_leave_the_plan_alone(prepared):
     lists = pack(complete_lists(prepared.observations))
     plain = attach_packed(prepared.trips, lists, *ORIGIN, hot=HotKeys())
     assert "_lb" not in plain._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("hours", [1, 12, 24])
+def test_salted_windows_are_the_same_rows(prepared, hours):
+    want = PP.with_windows(prepared, hours=hours)
+    cols = want.columns
+    rows = lambda df: sorted(map(str, df.select(*cols).collect()))
+    got = rows(PP.with_windows(prepared, hours=hours, salt=8))
+    assert len(got) > 1000 and got == rows(want)
+    assert got == rows(PP.with_windows(prepared, hours=hours, salt=3, colocate=True))
+    if hours == 12:
+        lists = complete_lists(prepared.observations)
+        assert got == rows(attach_windows(prepared.trips, lists, salt=8))
+        assert got == rows(attach_windows(prepared.trips, lists, salt=8, complete=False))
+
+
+def test_lists_go_only_to_buckets_with_trips(spark):
+    day = F.lit("2024-01-05").cast("date")
+    lists = spark.range(100).select(F.col("id").cast("int").alias("_la"), day.alias("_ld"), F.lit("x").alias("_wl"))
+    # airport 0 has 4,000 trips, 1 to 49 have one each, the others (and null) none
+    keys = spark.range(4060).select(
+        F.when(F.col("id") < 4000, 0).when(F.col("id") < 4049, F.col("id") - 3999).cast("int").alias("a"),
+        (day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), (F.col("id") % 7 + 3).cast("int"))).alias("t"), "id")
+    got = salted_lists(lists, keys, "a", "t", 8).collect()
+    assert len(got) == 8 + 49 and len({(r._la, r._lsalt) for r in got}) == 57
+    assert {r._lsalt for r in got if r._la == 0} == set(range(8))
+    assert all((r._lo, r._hi) == (3, 9) for r in got if r._la == 0) and all(r._lo == r._hi for r in got if r._la)
