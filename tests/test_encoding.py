@@ -155,3 +155,18 @@ def test_ranked_auc_of_ties(spark):
     pairs = [(a[0][1], b[0][1]) for a in rows for b in rows if a[1] == 1 and b[1] == 0]
     want = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p, n in pairs) / len(pairs)
     assert math.isclose(M.ranked_auc(df).first()["auc"], want)
+
+
+def test_node_statistics_of_all_tasks_fit_the_heap(spark):
+    df = trips(spark, 30, 600)
+    enc = MD.encode(df, MD.fit_encoder(df))
+    heap = spark._jvm.java.lang.Runtime.getRuntime().maxMemory() >> 20
+    at_once = spark.sparkContext.defaultParallelism
+    own = 0.4 * (heap - 300)                         # beside Spark's managed memory
+    assert 0.8 * own < MD.task_memory_mb(spark) * at_once < 1.2 * own
+    alone = MD.train_forest(enc, 2, SMALL)
+    cv = MD.grid_search(enc, [2], [2], [2])
+    for model in (alone, cv.bestModel):
+        assert 1 <= model.getMaxMemoryInMB() and model.getMaxMemoryInMB() * at_once <= own
+    few = MD.within_memory(spark, MD.ModelOptions(memory_mb=2))
+    assert few.memory_mb == 2 and few.max_depth == MD.FOREST_DEPTH
