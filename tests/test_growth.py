@@ -222,3 +222,9 @@ def test_numbered_encoding_is_the_same_above_and_below_the_bins(spark):
     assert few[0] == ("wide",) and many[0] == () and few[1] == many[1]
     assert len(few[1]) == df.where("wide IS NOT NULL AND narrow IS NOT NULL").count()
     assert {v[2] for v in few[1].values()} == {0.0, 1.0, 2.0, 3.0, 4.0}
+
+
+def test_a_task_of_a_fit_has_more_rows_than_nodes_have_bins(spark):
+    """600,000 rows are no reason for more tasks, each with statistics of every node."""
+    rows = MD.for_fits(spark.range(0, 600_000, 1, 12).toDF("id"))
+    assert rows.rdd.getNumPartitions() == MD.FIT_TASKS and rows.count() == 600_000
